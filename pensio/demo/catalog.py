@@ -22,6 +22,7 @@ from pensio.operators.rows import (
     with_ids,
 )
 from pensio.plans import agreements, contracts, reconcile, registry, repair, reports, restrictions, run
+from pensio.sources.snapshots import stage
 
 # The operation date of the prepared run: that of payments accrued in August 1998.
 DATE_OP = dt.date(1998, 9, 10)
@@ -42,7 +43,7 @@ class Plans(Model):
 
     @cached_property
     def v_payments(self) -> DataFrame:
-        return contracts.payments_by_contract(self.vypl_pen, self.v_periods)
+        return contracts.payments_by_contract(self.vypl_pen, self.v_periods, self.line.select("d"))
 
     @cached_property
     def v_invalid(self) -> DataFrame:
@@ -96,8 +97,9 @@ class Plans(Model):
 
     @cached_property
     def participants(self) -> DataFrame:
-        return run.run_participants(
-            self.v_payments, self.transform_contragents, self.v_agreements, DATE_OP
+        # A table at the source too: every step of the preparation reads it.
+        return stage(
+            run.run_participants(self.v_payments, self.transform_contragents, self.v_agreements, DATE_OP)
         )
 
     @cached_property

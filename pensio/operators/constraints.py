@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from pensio.operators.ordering import rank
 from pensio.operators.rows import with_ids
 from pensio.session import scratch_dir
 
@@ -238,7 +239,7 @@ def _reject_repeats(judged: DataFrame, rule: Unique, order: list[str]) -> DataFr
 
     The first place per key is a map-side minimum: a key with very many rows leaves each task as one row.
     """
-    place, contending = _place(order), F.col("_error").isNull() & _any_present(rule.columns)
+    place, contending = rank(order), F.col("_error").isNull() & _any_present(rule.columns)
     first = (
         judged.where(contending)
         .groupBy(_key(rule.columns).alias("_key"))
@@ -254,10 +255,6 @@ def _reject_repeats(judged: DataFrame, rule: Unique, order: list[str]) -> DataFr
     )
 
 
-def _place(order: list[str]) -> Column:
-    return F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])
-
-
 def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: list[str]) -> DataFrame:
     """The same for several unique keys, where a row rejected for one key leaves its other keys free.
 
@@ -267,7 +264,7 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     written to the shared scratch folder, so a round neither recomputes the earlier ones nor is lost with an
     executor.
     """
-    spark, place = judged.sparkSession, _place(order)
+    spark, place = judged.sparkSession, rank(order)
     open_ = F.col("_state") == "open"
     state = judged.withColumn(
         "_state", F.when(F.col("_error").isNotNull(), "out").otherwise("open")

@@ -1,10 +1,10 @@
-"""Numbering, counting and neighbour access inside groups that may be very large.
+"""Numbering, counting and neighbour access inside groups, of which a few may be very large.
 
-A plain ``row_number().over(partitionBy(key))`` sends every row of a key to one task. Here the group is cut
-into consecutive pieces along its own order ("``by``": a date, or a block of ids). Rows are numbered inside
-their piece; the pieces themselves are counted with a map-side aggregate, and only that short list - one row
-per piece - is windowed per key. The wide rows are shuffled once, by (key, piece), and meet the short list in
-a join that needs no further shuffle of them.
+A window sends all rows of a key to one task. That is the cheapest plan - one shuffle - as long as every key fits
+a task, so the keys are counted first (a map-side aggregate of the key columns alone). Keys above ``HOT_ROWS`` are
+taken out and numbered in pieces: their rows are range-partitioned along the window's own order, so that pieces are
+even whatever the keys look like, numbered inside each piece, and put right with one summary row per piece and key.
+No row is dropped and the results are those of the plain window.
 """
 
 from __future__ import annotations
@@ -12,141 +12,100 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pensio.functions.semantics import asc
+from pensio.sources.snapshots import stage
 
-BLOCK = 1 << 16
+HOT_ROWS = 1_000_000  # rows of one key that a single task sorts comfortably
 
 
-def id_block(c, size: int = BLOCK) -> Column:
-    """Consecutive blocks of a whole-number order key: a piece holds at most ``size`` distinct ids."""
-    return F.floor((F.col(c) if isinstance(c, str) else c) / F.lit(size)).cast("long")
-
-
-def number_within(
+def windowed(
     df: DataFrame,
     keys: list[str],
-    by: list[Column],
-    ties: list[Column],
+    order: list[str],
     *,
     rn: str | None = None,
     cnt: str | None = None,
-    following: str | None = None,
+    lead: dict[str, str] | None = None,
+    lag: dict[str, str] | None = None,
 ) -> DataFrame:
-    """``row_number``, ``count`` and ``lead(by[0])`` over (partition by keys order by by, ties).
+    """``df`` with row_number, count, lead and lag over (partition by keys order by order).
 
-    ``by`` must be non-decreasing along the wanted order, ``ties`` orders rows with equal ``by``; both sort
-    ascending with NULLs last. NULL keys form one group, as in a window. The results are the columns named by
-    ``rn``, ``cnt`` (both long) and ``following``.
+    ``rn`` and ``cnt`` name result columns, ``lead`` and ``lag`` map result names to columns. The order is
+    ascending with NULLs last and must tell the rows of a key apart; NULL keys form one group. Without keys the
+    whole input is one group and is always numbered in pieces.
     """
-    piece_cols = [c.alias(f"b{i}") for i, c in enumerate(by)]
-    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *piece_cols)
-    keyed = df.withColumn("_piece", group)
-
-    k = [f"k{i}" for i in range(len(keys))]
-    b = [f"b{i}" for i in range(len(by))]
-    pieces = (
-        df.select(group.alias("_piece"))
-        .groupBy("_piece")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_piece", "_rows", *[F.col("_piece")[c].alias(c) for c in k + b])
-    )
-    along = Window.partitionBy(*k).orderBy(*asc(*b))
-    pieces = pieces.select(
-        "_piece",
-        "_rows",
-        F.coalesce(
-            F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-        F.lead("b0").over(along).alias("_following"),
-        F.sum("_rows").over(Window.partitionBy(*k)).alias("_total"),
-    )
-    numbered = keyed.withColumn(
-        "_pos", F.row_number().over(Window.partitionBy("_piece").orderBy(*asc(*ties)))
-    ).join(pieces, "_piece")
-    extra = []
+    wanted = (rn, cnt, lead or {}, lag or {})
+    if not keys:
+        return _in_pieces(df, keys, order, *wanted)
+    hot = df.groupBy(*keys).count().where(F.col("count") > HOT_ROWS).select(F.struct(*keys).alias("_hot"))
+    if hot.isEmpty():
+        return _plain(df, keys, order, *wanted)
+    # At most one key per HOT_ROWS rows: a short list, joined by its real size.
+    hot = stage(hot)
+    keyed = df.withColumn("_hot", F.struct(*keys))
+    cold = keyed.join(hot, "_hot", "left_anti").drop("_hot")
+    large = keyed.join(hot, "_hot", "left_semi").drop("_hot")
+    return _plain(cold, keys, order, *wanted).unionByName(_in_pieces(large, keys, order, *wanted))
+
+
+def _plain(df, keys, order, rn, cnt, lead, lag) -> DataFrame:
+    along = Window.partitionBy(*keys).orderBy(*asc(*order))
+    new = {name: F.lead(c).over(along) for name, c in lead.items()}
+    new |= {name: F.lag(c).over(along) for name, c in lag.items()}
     if rn:
-        extra.append((F.col("_before") + F.col("_pos")).alias(rn))
+        new[rn] = F.row_number().over(along).cast("long")
     if cnt:
-        extra.append(F.col("_total").alias(cnt))
-    if following:
-        # Inside a piece the next row has the same b0, except that the piece is the whole order key.
-        extra.append(
-            F.when(F.col("_pos") < F.col("_rows"), F.col("_piece")["b0"])
-            .otherwise(F.col("_following"))
-            .alias(following)
-        )
-    return numbered.select(*[F.col(c) for c in df.columns], *extra)
+        new[cnt] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return df.withColumns(new)
 
 
-def with_neighbours(
-    df: DataFrame,
-    keys: list[str],
-    block: Column,
-    order: list[str],
-    *,
-    lead: dict[str, str] | None = None,
-    lag: dict[str, str] | None = None,
-    sub_number: tuple[str, str] | None = None,
-) -> DataFrame:
-    """``lead(col)`` / ``lag(col)`` over (partition by keys order by order), group cut into ``block`` pieces.
-
-    ``lead`` and ``lag`` map result names to columns. ``sub_number=(sub_key, name)`` adds the row number inside
-    (keys, sub_key) in the same order from the same shuffle. Only the edge rows of a piece need its neighbour
-    piece, so one edge row per piece is windowed per key.
-    """
-    lead, lag = lead or {}, lag or {}
-    group = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], block.alias("b"))
-    k = [f"k{i}" for i in range(len(keys))]
-    rank = F.struct(*[x for o in order for x in (F.col(o).isNull(), F.col(o))])
+def _in_pieces(df, keys, order, rn, cnt, lead, lag) -> DataFrame:
+    # The pieces are fixed by writing them: both passes below must see the same ones.
+    cut = stage(
+        df.repartitionByRange(*asc(*keys, *order)).withColumn("_piece", F.spark_partition_id())
+    )
+    group = F.struct("_piece", *keys)
     heads = F.struct(*[F.col(c).alias(n) for n, c in lead.items()], F.lit(1).alias("_"))
     tails = F.struct(*[F.col(c).alias(n) for n, c in lag.items()], F.lit(1).alias("_"))
+    place = rank(order)
 
-    edges = (
-        df.groupBy(group.alias("_piece"))
-        .agg(F.min_by(heads, rank).alias("_head"), F.max_by(tails, rank).alias("_tail"))
-        .select("_piece", "_head", "_tail", *[F.col("_piece")[c].alias(c) for c in k + ["b"]])
+    # One row per key and piece: a key has no more of them than there are partitions.
+    pieces = cut.groupBy(*keys, "_piece").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min_by(heads, place).alias("_head"),
+        F.max_by(tails, place).alias("_tail"),
     )
-    along = Window.partitionBy(*k).orderBy(*asc("b"))
-    edges = edges.select(
-        "_piece",
+    along = Window.partitionBy(*keys).orderBy("_piece")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(
+        group.alias("_group"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
         F.lead("_head").over(along).alias("_next_head"),
         F.lag("_tail").over(along).alias("_last_tail"),
     )
-    if sub_number:
-        edges = edges.join(_sub_offsets(df, group, k, sub_number[0]), "_piece", "left")
-
-    inside = Window.partitionBy("_piece").orderBy(*asc(*order))
-    local = df.withColumn("_piece", group)
-    local = local.withColumn("_n", F.lead(heads).over(inside)).withColumn("_l", F.lag(tails).over(inside))
-    if sub_number:
-        # Rows of (piece, sub key) are already in one partition: a second sort, no second shuffle.
-        sub = Window.partitionBy("_piece", sub_number[0]).orderBy(*asc(*order))
-        local = local.withColumn("_sub", F.row_number().over(sub))
-    joined = local.join(edges, "_piece")
-    extra = [F.coalesce("_n", "_next_head")[n].alias(n) for n in lead]
-    extra += [F.coalesce("_l", "_last_tail")[n].alias(n) for n in lag]
-    if sub_number:
-        before = F.coalesce(F.col("_offsets")[_as_map_key(sub_number[0])], F.lit(0))
-        extra.append((F.col("_sub") + before).alias(sub_number[1]))
-    return joined.select(*[F.col(c) for c in df.columns], *extra)
-
-
-def _as_map_key(sub_key: str) -> Column:
-    return F.coalesce(F.col(sub_key).cast("string"), F.lit(""))
-
-
-def _sub_offsets(df: DataFrame, group: Column, k: list[str], sub_key: str) -> DataFrame:
-    """Per piece: rows of each sub key in earlier pieces of the same key (only sub keys that span pieces)."""
-    counts = (
-        df.groupBy(group.alias("_piece"), _as_map_key(sub_key).alias("_sub_key"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_piece", "_sub_key", "_rows", *[F.col("_piece")[c].alias(c) for c in k + ["b"]])
-    )
-    earlier = (
-        Window.partitionBy(*k, "_sub_key").orderBy(*asc("b")).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_group").orderBy(*asc(*order))
+    numbered = (
+        cut.withColumn("_group", group)
+        .withColumns(
+            {
+                "_pos": F.row_number().over(inside),
+                "_n": F.lead(heads).over(inside),
+                "_l": F.lag(tails).over(inside),
+            }
+        )
+        .join(pieces, "_group")
     )
-    return (
-        counts.withColumn("_before", F.sum("_rows").over(earlier))
-        .where("_before > 0")
-        .groupBy("_piece")
-        .agg(F.map_from_entries(F.collect_list(F.struct("_sub_key", "_before"))).alias("_offsets"))
+    new = {n: F.coalesce("_n", "_next_head")[n] for n in lead}
+    new |= {n: F.coalesce("_l", "_last_tail")[n] for n in lag}
+    if rn:
+        new[rn] = F.col("_before") + F.col("_pos")
+    if cnt:
+        new[cnt] = F.col("_total")
+    return numbered.withColumns(new).drop(
+        "_group", "_piece", "_pos", "_n", "_l", "_before", "_total", "_next_head", "_last_tail"
     )
+
+
+def rank(order: list[str]) -> Column:
+    """A value that sorts as ``order`` does: ascending, NULLs last."""
+    return F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))])

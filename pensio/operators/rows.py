@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pensio.operators.ordering import id_block, number_within
+from pensio.operators.ordering import windowed
 
 
 def update_where(
@@ -49,7 +49,7 @@ def delete_by_key(target: DataFrame, keys: DataFrame, on: list[str]) -> DataFram
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, on: list[str], ids: str | None = None,
-                      first_id: int | Column = 1) -> DataFrame:
+                      first_id: int = 1) -> DataFrame:
     """MERGE that only inserts: source rows whose key is not in the target are appended.
 
     With ``ids`` the appended rows get new numbers in that column, from ``first_id`` on in key order. Columns the
@@ -66,23 +66,12 @@ def multi_insert(source: DataFrame, *projections: list[Column]) -> tuple[DataFra
     return tuple(source.select(*columns) for columns in projections)
 
 
-def with_ids(
-    df: DataFrame, name: str, order: list[str], first_id: int | Column = 1, block: Column | None = None
-) -> DataFrame:
-    """Consecutive new ids in the given order, without sorting everything in one task.
-
-    The rows are cut into blocks of the first order column - whole numbers in blocks of ids, anything else by
-    value, or as ``block`` says - and numbered inside their block; only the block counts are added up globally.
-    """
-    if block is None:
-        kind = df.schema[order[0]].dataType.typeName()
-        block = id_block(order[0]) if kind in ("long", "integer", "short", "byte") else F.col(order[0])
+def with_ids(df: DataFrame, name: str, order: list[str], first_id: int = 1) -> DataFrame:
+    """Consecutive new ids in the given order, which must tell the rows apart; no task sees more than a piece."""
     base = df.drop(name) if name in df.columns else df
-    numbered = number_within(base, [], [block], order, rn="_rn")
-    first = F.lit(first_id) if isinstance(first_id, int) else first_id
-    new = (F.col("_rn") + first - 1).cast("long")
     columns = df.columns if name in df.columns else [name, *df.columns]
-    return numbered.withColumn(name, new).select(*columns)
+    numbered = windowed(base, [], order, rn=name)
+    return numbered.withColumn(name, F.col(name) + F.lit(first_id - 1).cast("long")).select(*columns)
 
 
 def apply_corrections(

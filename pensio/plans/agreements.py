@@ -18,7 +18,7 @@ from pensio.functions.semantics import (
     strict_least,
     year_start,
 )
-from pensio.operators.ordering import id_block, number_within, with_neighbours
+from pensio.operators.ordering import windowed
 
 # Fixed values.
 PENSION_ACCOUNT_TYPE = 4
@@ -40,14 +40,16 @@ def addendum_segments(addendums: DataFrame) -> DataFrame:
     active = addendums.where(F.col("canceled") == 0).withColumn(
         "from_month", month_start("alt_date_begin")
     )
-    placed = with_neighbours(
+    # Two windows, one shuffle: the months of an agreement are where the agreement is.
+    placed = windowed(
         active,
         ["fk_pension_agreement"],
-        id_block("serialno"),
         ["serialno", "id"],
         lead={"_next": "alt_date_begin"},
         lag={"amount_prev": "amount"},
-        sub_number=("from_month", "month_serialno"),
+    )
+    placed = windowed(
+        placed, ["fk_pension_agreement", "from_month"], ["serialno", "id"], rn="month_serialno"
     )
     return placed.select(
         "id",
@@ -163,14 +165,13 @@ def agreements_import(agreements_v: DataFrame) -> DataFrame:
 
     Equal effective dates are ordered by contract, which the source leaves open.
     """
-    numbered = number_within(
+    numbered = windowed(
         agreements_v,
         ["fk_base_contract"],
-        [F.col("effective_date")],
-        ["fk_contract"],
+        ["effective_date", "fk_contract"],
         rn="rn",
         cnt="cnt",
-        following="effective_date_next",
+        lead={"effective_date_next": "effective_date"},
     )
     return numbered.select(
         "fk_base_contract", "fk_contract", "cntr_number", "state", "isarhv", "fk_debit", "fk_credit",

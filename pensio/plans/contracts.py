@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pensio.functions.semantics import OPEN_END, OPEN_START, day, month_start
 from pensio.operators.intervals import interval_join
-from pensio.operators.ordering import number_within
+from pensio.operators.ordering import windowed
 
 # Archived contract versions to leave out, as (participant, archive time).
 CONTRACT_EXCLUSIONS = (
@@ -55,20 +55,19 @@ def not_in_pairs(df: DataFrame, pairs: DataFrame, left: tuple[str, str], right:
     """Rows of ``df`` whose column pair is NOT IN ``pairs``, with the three-valued logic of a tuple NOT IN.
 
     A row is also dropped when its comparison is unknown: one side NULL and the other listed, or both NULL
-    and the list not empty. ``pairs`` itself holds no NULLs. Each case is an equality anti-join, so it hashes
-    on its key; the both-NULL case costs one scalar look at the list.
+    and the list not empty. ``pairs`` itself holds no NULLs. Spelling these cases out as listed pairs with
+    NULLs turns the whole test into one null-safe anti-join that hashes on both columns.
     """
     (a, b), (x, y) = left, right
-    listed = pairs.select(F.col(x).alias("_x"), F.col(y).alias("_y"))
-    both = df.join(listed, (df[a] == F.col("_x")) & (df[b] == F.col("_y")), "left_anti")
-    no_b = both.join(
-        listed.select("_x").distinct(), (both[a] == F.col("_x")) & both[b].isNull(), "left_anti"
+    no_x, no_y = (F.lit(None).cast(pairs.schema[c].dataType) for c in (x, y))
+    cases = [(F.col(x), F.col(y)), (F.col(x), no_y), (no_x, F.col(y)), (no_x, no_y)]
+    listed = (
+        pairs.select(F.explode(F.array(*[F.struct(p.alias("x"), q.alias("y")) for p, q in cases])).alias("p"))
+        .select(F.col("p.x").alias("_x"), F.col("p.y").alias("_y"))
+        .distinct()
     )
-    no_a = no_b.join(
-        listed.select("_y").distinct(), (no_b[b] == F.col("_y")) & no_b[a].isNull(), "left_anti"
-    )
-    empty = listed.agg((F.count(F.lit(1)) == 0).alias("e")).scalar()
-    return no_a.where(F.col(a).isNotNull() | F.col(b).isNotNull() | empty)
+    same = df[a].eqNullSafe(listed["_x"]) & df[b].eqNullSafe(listed["_y"])
+    return df.join(listed, same, "left_anti")
 
 
 def pension_contracts(
@@ -114,15 +113,13 @@ def pension_contracts(
         F.col("data_arh").cast("timestamp_ntz").alias("cntr_print_date"),
         F.coalesce(F.col("data_arh").cast("date"), F.col("data_nach_vypl")).alias("cntr_date"),
     )
-    # A participant's contracts are cut by start day, the key the target system declares unique per participant.
-    numbered = number_within(
+    numbered = windowed(
         current.unionByName(archived),
         ["ssylka"],
-        [F.col("data_nach_vypl")],
-        ["ref_kodinsz", "source_table", "data_arh"],
+        ["data_nach_vypl", "ref_kodinsz", "source_table", "data_arh"],
         rn="dog_rn",
         cnt="dog_cnt",
-        following="_next",
+        lead={"_next": "data_nach_vypl"},
     )
     return numbered.select(
         "dog_rn", "dog_cnt", "source_table", "nom_vkl", "nom_ips", "fio", "data_arh", "data_otkr", "ssylka",
@@ -152,8 +149,13 @@ def contract_periods(contracts: DataFrame) -> DataFrame:
     )
 
 
-def payments_by_contract(vypl_pen: DataFrame, periods: DataFrame) -> DataFrame:
-    """Each payment with the contract whose interval contains its accrual date."""
+def payments_by_contract(
+    vypl_pen: DataFrame, periods: DataFrame, accruals: DataFrame | None = None
+) -> DataFrame:
+    """Each payment with the contract whose interval contains its accrual date.
+
+    ``accruals`` may name a cheaper DataFrame than ``vypl_pen`` whose first column covers the accrual dates.
+    """
     contract = periods.select(
         F.col("ssylka").alias("ssylka_fl"), "status_pen", "data_nach_vypl", "data_okon_vypl",
         "lspv_nach_vypl_pen", "pd_data_okon_vypl", "ref_kodinsz", "shema_dog", "data_perevoda_5_cx",
@@ -164,8 +166,9 @@ def payments_by_contract(vypl_pen: DataFrame, periods: DataFrame) -> DataFrame:
         "ssylka_doc",
     )
     matched = interval_join(
-        payment, contract, key="ssylka_fl", point="data_nachisl", lo="from_date", hi="to_date"
-    )
+        payment, contract, key="ssylka_fl", point="data_nachisl", lo="from_date", hi="to_date",
+        years=accruals,
+    )
     return matched.select(
         "status_pen", "ssylka_fl", "data_op", "data_nachisl", "tip_vypl", "summa", "oplach_dni",
         "data_nach_vypl", "data_okon_vypl", "lspv_nach_vypl_pen", "pd_data_okon_vypl", "ref_kodinsz",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pensio.functions import registry_text as rt
 from pensio.functions.semantics import MONEY, month_start
-from pensio.operators.ordering import id_block, number_within
+from pensio.operators.ordering import windowed
 from pensio.plans.contracts import SKIPPED_CONTRIBUTOR
 
 # Plan types whose contracts hold an individual account.
@@ -52,13 +52,12 @@ def registry_pay_orders(reer_doc_ngpf: DataFrame) -> DataFrame:
     last_half = read.groupBy(F.col("payment_period").alias("_period")).agg(
         F.max("half_month").alias("max_half_month")
     )
-    numbered = number_within(
-        read,
+    numbered = windowed(
+        read.join(F.broadcast(last_half), F.col("payment_period").eqNullSafe(F.col("_period"))),
         ["payment_period", "half_month"],
-        [F.col("_day"), id_block("ssylka")],
-        ["ssylka"],
+        ["_day", "ssylka"],
         rn="rn",
-    ).join(F.broadcast(last_half), F.col("payment_period").eqNullSafe(F.col("_period")))
+    )
     rest = ["tip_doc", "data_doc", "kem_podpis", "kr_soderg"]
     regular = numbered.select(
         F.lit(1).alias("flag_usage"), "rn", "max_half_month", document.alias("ssylka_doc"),

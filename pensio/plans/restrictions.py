@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from pensio.functions.semantics import OPEN_END, asc, day
 from pensio.operators.intervals import interval_join, next_on_or_after
-from pensio.operators.ordering import number_within
+from pensio.operators.ordering import windowed
 from pensio.plans.contracts import SKIPPED_CONTRIBUTOR
+from pensio.sources.snapshots import stage
 
 # Participants whose archived disability records are left out.
 ARCHIVED_INVALID_EXCLUSIONS = (311413, 218130, 786929, 188380, 491724)
@@ -127,7 +128,8 @@ def restrictions_by_contract(
         & F.col("okon_deistv").isNull()
         & (F.col("source_table") == CURRENT)
     )
-    gaps = usable.where(open_gap)
+    # The days asked for are few (the last gap of each disabled participant) and are read twice.
+    gaps = stage(usable.where(open_gap).select("ssylka_fl", "nach_deistv").distinct())
     next_paid = next_on_or_after(
         gaps,
         vypl_pen.join(gaps.select("ssylka_fl"), "ssylka_fl", "left_semi"),
@@ -136,8 +138,7 @@ def restrictions_by_contract(
         mark="data_nachisl",
         out="_next_paid",
     )
-    known = usable.where(~open_gap).withColumn("_next_paid", F.lit(None).cast("date"))
-    marked = known.unionByName(gaps.join(next_paid, ["ssylka_fl", "nach_deistv"], "left"))
+    marked = usable.join(next_paid, ["ssylka_fl", "nach_deistv"], "left")
 
     # A contract's interval of days: unlike the month-aligned one it starts and ends on the contract's own days.
     contract = periods.select(
@@ -156,15 +157,21 @@ def restrictions_by_contract(
     )
 
     ends_before = F.col("okon_deistv") <= F.col("nach_deistv")
-    cancelled = (F.col("source_table") == ARCHIVE) | ends_before | (F.col("_next_paid") <= F.col("to_date"))
-    ranked = number_within(
-        held.withColumn("is_cancel", F.when(cancelled, "Y").otherwise("N")),
+    paid_in_gap = open_gap & (F.col("_next_paid") <= F.col("to_date"))
+    cancelled = (F.col("source_table") == ARCHIVE) | ends_before | paid_in_gap
+    judged = held.select(
+        *rev.columns,
+        "data_nach_vypl",
+        "status_pen",
+        F.when(cancelled, "Y").otherwise("N").alias("is_cancel"),
+        F.when(F.col("source_table") == CURRENT, 2).otherwise(1).alias("_source"),
+        F.datediff("nach_deistv", F.coalesce("okon_deistv", day(OPEN_END))).alias("_minus_length"),
+        "_contract",
+    )
+    ranked = windowed(
+        stage(judged),
         ["ssylka_fl", "data_nach_vypl", "nach_deistv"],
-        [
-            F.when(F.col("source_table") == CURRENT, 2).otherwise(1),
-            F.datediff("nach_deistv", F.coalesce("okon_deistv", day(OPEN_END))),
-        ],
-        ["kod_ogr_pv", "real_nach_deistv", "id", "_contract"],
+        ["_source", "_minus_length", "kod_ogr_pv", "real_nach_deistv", "id", "_contract"],
         rn="rn",
         cnt="cnt",
     )

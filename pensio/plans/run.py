@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pensio.functions.semantics import month_start
 from pensio.operators.intervals import next_on_or_after
-from pensio.operators.rows import delete_where, multi_insert, update_where, with_ids
+from pensio.operators.rows import delete_where, multi_insert, update_where
 from pensio.plans.agreements import NOT_ARCHIVED, STATE_ACTIVE, STATE_DEACTIVATED, is_active
-from pensio.sources.tables import publish
+from pensio.sources.snapshots import publish
 
 # Fixed values.
 ACCRUAL_ORDER_TYPE = 5
@@ -53,9 +53,10 @@ def ensure_pay_orders(
         .agg(F.min("fk_document").alias("fk_document"))
         .join(wanted, "operation_date", "left_semi")
     )
-    # At most one row per calendar day.
-    new = with_ids(
-        wanted.join(existing, "operation_date", "left_anti"), "fk_document", ["operation_date"], first_id
+    # At most one row per calendar day: the window without a partition sees no more than that.
+    number = F.row_number().over(Window.orderBy("operation_date"))
+    new = wanted.join(existing, "operation_date", "left_anti").select(
+        "operation_date", (number + F.lit(first_id - 1).cast("long")).alias("fk_document")
     )
     documents, orders = multi_insert(
         new,

@@ -1,4 +1,4 @@
-"""Reading input tables and publishing snapshots."""
+"""Reading input tables and creating reject tables."""
 
 from __future__ import annotations
 
@@ -14,23 +14,6 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(schemas.schema(table)).parquet(f"{root.rstrip('/')}/{table}")
 
 
-def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Writes a snapshot, replacing what is at ``path``, and reads it back with the same schema.
-
-    ``path`` must not be one that ``df`` reads from. An assignments table partitioned by its run column lets a
-    single run be found without a scan.
-    """
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 

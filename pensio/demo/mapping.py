@@ -41,7 +41,9 @@ _RESTRICTION = f"""
          FROM {{{{ord}}}} WHERE {{where}}) r"""
 
 # Assignments and addenda need a number that tells line items apart.
-_LINE_ID = "(k * 8 + n) * 1000000 + (p * 31 + s * 7 + q * 1009 + CAST(price * 100 AS BIGINT)) % 1000000"
+_LINE_ID = (
+    "(k * 8 + n) * 100000000 + (((p * 131 + s) * 53 + q) * 7919 + CAST(price * 100 AS BIGINT)) % 99999989"
+)
 _OP = "(last_day(d) + 10)"
 _ORDER_OF_OP = "8000000000 + CAST(year({0}) * 10000 + month({0}) * 100 + day({0}) AS BIGINT)"
 

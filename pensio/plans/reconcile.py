@@ -49,7 +49,7 @@ def reconcile_assignments(
             "new_amount", "new_paydays", "balance_debit", "calc_date", "expiration_date", "period_code",
             "fk_scheme", "last_pay_date", "pa_amount", "fk_base_contract", "fk_contragent",
         )
-        .orderBy(*asc("fk_doc_with_acct", "paydate"))
+        .orderBy(*asc("fk_doc_with_acct", "paydate", "amount", "new_amount"))
     )
 
 

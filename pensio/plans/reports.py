@@ -1,4 +1,8 @@
-"""Drill-downs for sets of participants or agreements, and progress reports."""
+"""Drill-downs for sets of participants or agreements, and progress reports.
+
+Where a report asks for an order by a date alone, further columns follow it, so that a range-partitioned sort can
+divide the rows of one date.
+"""
 
 from __future__ import annotations
 
@@ -37,8 +41,12 @@ def participant_dossier(
     """Everything the legacy views hold about a set of participants, one DataFrame per subject."""
     return {
         "contracts": of(contracts, "ssylka", participants),
-        "payments": of(vypl_pen, "ssylka_fl", participants).orderBy(*asc("data_op", "data_nachisl")),
-        "balances": of(balances, "ssylka", participants).orderBy(*asc("date_op")),
+        "payments": of(vypl_pen, "ssylka_fl", participants).orderBy(
+            *asc("data_op", "data_nachisl", "ssylka_fl", "ssylka_doc")
+        ),
+        "balances": of(balances, "ssylka", participants).orderBy(
+            *asc("date_op", "ssylka", "ref_kodinsz")
+        ),
         "changes": of(changes, "ssylka_fl", participants),
         "restrictions": of(restrictions, "ssylka_fl", participants),
         "invalid": of(invalid, "ssylka_fl", participants),
@@ -73,6 +81,7 @@ def agreement_dossier(
 
 
 def progress_by_state(control: DataFrame) -> DataFrame:
+    """Span and number of control rows per state."""
     return (
         control.groupBy("state")
         .agg(
@@ -110,7 +119,8 @@ def progress_by_month(control: DataFrame) -> DataFrame:
 
 
 def progress_listing(control: DataFrame) -> DataFrame:
-    return control.orderBy(*desc("date_op"))
+    """All control rows, latest operation date first."""
+    return control.orderBy(*desc("date_op"), *asc("ssylka_doc"))
 
 
 def pay_order_summary(control: DataFrame, transform_po: DataFrame, assignments: DataFrame) -> DataFrame:
@@ -137,7 +147,7 @@ def pay_order_summary(control: DataFrame, transform_po: DataFrame, assignments:
             "ssylka_doc", "fk_pay_order", "operation_date", "payment_period", "min_date_op", "max_date_op",
             "cnt_date_op", "cnt_assignments", "min_paydate", "max_paydate",
         )
-        .orderBy(*asc("payment_period"))
+        .orderBy(*asc("payment_period", "fk_pay_order", "ssylka_doc"))
     )
 
 

@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pensio.sources.snapshots import stage
+
 BENCHMARK_TABLES = ("orders", "customer", "lineitem", "events")
 
 # Participant number -> contributor number; one in 25 falls on the contributor that is left out.
@@ -255,6 +257,10 @@ MAPPINGS = {
   SELECT ssylka, ref_kodinsz + 1 AS ref_kodinsz, ref_kodinsz + 1 AS kod_insz FROM {reer_doc_ngpf} WHERE tip_doc = 1""",
 }
 
+# Texts put together from many pieces are written once, as the table they stand for is; otherwise every use of a text
+# would put it together again.
+COMPOSED = {"reer_doc_ngpf"}
+
 _REFERENCE = re.compile(r"\{([a-z]\w*)\}")
 
 
@@ -277,7 +283,8 @@ class Model:
             elif name in MAPPINGS:
                 sql = MAPPINGS[name].replace("@TS", "TIMESTAMP_NTZ")
                 parts = {r: getattr(self, r) for r in references(sql)}
-                self._built[name] = self.spark.sql(sql, **parts)
+                built = self.spark.sql(sql, **parts)
+                self._built[name] = stage(built) if name in COMPOSED else built
             else:
                 raise AttributeError(name)
         return self._built[name]

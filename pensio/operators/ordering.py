@@ -26,17 +26,22 @@ def windowed(
     cnt: str | None = None,
     lead: dict[str, str] | None = None,
     lag: dict[str, str] | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with row_number, count, lead and lag over (partition by keys order by order).
 
     ``rn`` and ``cnt`` name result columns, ``lead`` and ``lag`` map result names to columns. The order is
     ascending with NULLs last and must tell the rows of a key apart; NULL keys form one group. Without keys the
     whole input is one group and is always numbered in pieces.
+
+    ``sizes`` may hold the keys and their ``count`` where that is cheaper to get than from ``df``. It only decides
+    how a key is numbered, not the result, so near figures will do.
     """
     wanted = (rn, cnt, lead or {}, lag or {})
     if not keys:
         return _in_pieces(df, keys, order, *wanted)
-    hot = df.groupBy(*keys).count().where(F.col("count") > HOT_ROWS).select(F.struct(*keys).alias("_hot"))
+    counted = df.groupBy(*keys).count() if sizes is None else sizes
+    hot = counted.where(F.col("count") > HOT_ROWS).select(F.struct(*keys).alias("_hot"))
     if hot.isEmpty():
         return _plain(df, keys, order, *wanted)
     # At most one key per HOT_ROWS rows: a short list, joined by its real size.

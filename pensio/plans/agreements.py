@@ -49,7 +49,11 @@ def addendum_segments(addendums: DataFrame) -> DataFrame:
         lag={"amount_prev": "amount"},
     )
     placed = windowed(
-        placed, ["fk_pension_agreement", "from_month"], ["serialno", "id"], rn="month_serialno"
+        placed,
+        ["fk_pension_agreement", "from_month"],
+        ["serialno", "id"],
+        rn="month_serialno",
+        sizes=active.groupBy("fk_pension_agreement", "from_month").count(),
     )
     return placed.select(
         "id",

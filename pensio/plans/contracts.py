@@ -113,6 +113,7 @@ def pension_contracts(
         F.col("data_arh").cast("timestamp_ntz").alias("cntr_print_date"),
         F.coalesce(F.col("data_arh").cast("date"), F.col("data_nach_vypl")).alias("cntr_date"),
     )
+    versions = sp_pen_dog.select("ssylka").unionByName(sp_pen_dog_arh.select("ssylka"))
     numbered = windowed(
         current.unionByName(archived),
         ["ssylka"],
@@ -120,6 +121,7 @@ def pension_contracts(
         rn="dog_rn",
         cnt="dog_cnt",
         lead={"_next": "data_nach_vypl"},
+        sizes=versions.groupBy("ssylka").count(),
     )
     return numbered.select(
         "dog_rn", "dog_cnt", "source_table", "nom_vkl", "nom_ips", "fio", "data_arh", "data_otkr", "ssylka",

@@ -10,6 +10,7 @@ from pensio.functions import registry_text as rt
 from pensio.functions.semantics import MONEY, month_start
 from pensio.operators.ordering import windowed
 from pensio.plans.contracts import SKIPPED_CONTRIBUTOR
+from pensio.sources.snapshots import stage
 
 # Plan types whose contracts hold an individual account.
 ACCOUNT_SCHEMES = (2, 3, 4, 5, 8)
@@ -48,8 +49,9 @@ def registry_pay_orders(reer_doc_ngpf: DataFrame) -> DataFrame:
         .withColumn("payment_period", F.make_date("_year", "_month", F.lit(1)))
         .withColumn("half_month", rt.half_month(F.col("_day"), document))
     )
-    # One row per calendar month at most, whatever the number of documents: small enough to broadcast.
-    last_half = read.groupBy(F.col("payment_period").alias("_period")).agg(
+    # At most two rows per calendar month, whatever the number of documents: small enough to broadcast.
+    halves = stage(read.groupBy("payment_period", "half_month").count())
+    last_half = halves.groupBy(F.col("payment_period").alias("_period")).agg(
         F.max("half_month").alias("max_half_month")
     )
     numbered = windowed(
@@ -57,6 +59,7 @@ def registry_pay_orders(reer_doc_ngpf: DataFrame) -> DataFrame:
         ["payment_period", "half_month"],
         ["_day", "ssylka"],
         rn="rn",
+        sizes=halves,
     )
     rest = ["tip_doc", "data_doc", "kem_podpis", "kr_soderg"]
     regular = numbered.select(

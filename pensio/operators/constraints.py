@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from pensio.operators.ordering import rank
 from pensio.operators.rows import with_ids
-from pensio.session import scratch_dir
+from pensio.sources.snapshots import stage
 
 # Public error numbers of the source database for each kind of rule.
 ERROR_NUMBERS = {"not_null": 1400, "digits": 1438, "check": 2290, "unique": 1, "foreign_key": 2291}
@@ -203,6 +203,7 @@ def append_with_rejects(
         judged = _reject_repeats(judged, unique[0], order)
     elif unique:
         judged = _reject_repeats_of_several(judged, unique, order)
+    judged = stage(judged)  # both outcomes come from one judgement
 
     accepted = judged.where(F.col("_error").isNull()).select(*columns)
     numbers = F.create_map(*[F.lit(x) for r in rules for x in (r.name, ERROR_NUMBERS[r.kind])])
@@ -264,7 +265,7 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     written to the shared scratch folder, so a round neither recomputes the earlier ones nor is lost with an
     executor.
     """
-    spark, place = judged.sparkSession, rank(order)
+    place = rank(order)
     open_ = F.col("_state") == "open"
     state = judged.withColumn(
         "_state", F.when(F.col("_error").isNotNull(), "out").otherwise("open")
@@ -296,8 +297,6 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
             taken_by = F.when(F.col(f"_hit{i}"), F.lit(rule.name)).otherwise(taken_by)
         frame = frame.withColumn("_error", F.when(open_, taken_by).otherwise(F.col("_error")))
         frame = frame.withColumn("_state", F.when(F.col("_error").isNotNull(), "out").otherwise(F.col("_state")))
-        path = scratch_dir(spark)
-        frame.select(*state.columns).write.parquet(path)
-        state = spark.read.schema(state.schema).parquet(path)
+        state = stage(frame.select(*state.columns))
         if state.where(open_).isEmpty():
             return state.drop("_state")

@@ -38,6 +38,7 @@ def _local_root() -> str:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
+    All folders of one application lie under its id, so they can be removed together once it has ended.
     Only a local session without that setting falls back to a temporary folder: on a cluster the executors
     could not see it.
     """
@@ -46,4 +47,4 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = _local_root()
-    return f"{root.rstrip('/')}/pensio-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/pensio-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

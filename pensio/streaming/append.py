@@ -28,13 +28,10 @@ def append_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Two outputs from one judgement; what an executor loses is computed again.
-        batch = batch.persist()
         earlier = _earlier(spark, target_path, batch_id) if unique_target else None
         accepted, rejected = append_with_rejects(batch, rules, order, target=earlier, **options)
         accepted.write.mode("overwrite").parquet(f"{target_path}/batch={batch_id}")
         rejected.write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
-        batch.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 

@@ -22,12 +22,19 @@ from pensio.operators.rows import (
     with_ids,
 )
 from pensio.plans import agreements, contracts, reconcile, registry, repair, reports, restrictions, run
-from pensio.sources.snapshots import stage
+from pensio.session import scratch_dir
+from pensio.sources.snapshots import publish, stage
+from pensio.sources.tables import read_table
+from pensio.streaming.append import append_stream
 
 # The operation date of the prepared run: that of payments accrued in August 1998.
 DATE_OP = dt.date(1998, 9, 10)
 
 
+# Inline constants beside the fixed exclusions, for participants that every data folder holds.
+LISTED_VERSIONS = ((1, "1998-01-01"), (2, "1999-03-10"), (3, "2000-07-21"), (5, "1997-11-30"), (8, "2001-02-14"))
+
+
 class Plans(Model):
     """The public plans over the mapped tables."""
 
@@ -223,6 +230,10 @@ def _appended_unique(p: Plans) -> DataFrame:
         ["line_id"],
         target=p.transform_pa_assignments.where("state = 'W'"),
     )
+    return _outcomes(accepted, rejected)
+
+
+def _outcomes(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
     return accepted.select(
         F.lit("accepted").alias("outcome"), F.lit(None).cast("int").alias("error_number"),
         F.col("line_id").cast("string").alias("line_id"),
@@ -231,6 +242,33 @@ def _appended_unique(p: Plans) -> DataFrame:
     )
 
 
+def _appended_stream(p: Plans) -> DataFrame:
+    """The control rows as a stream of line items, run to its end through the streaming sink."""
+    root = scratch_dir(p.spark)
+    arriving = p.with_table(
+        "lineitem",
+        p.spark.readStream.schema(p.lineitem.schema).parquet(f"{p.folder}/lineitem*.parquet"),
+    )
+    sink = append_stream(
+        arriving.control_batch,
+        f"{root}/accepted",
+        f"{root}/rejected",
+        f"{root}/checkpoint",
+        schemas.rules("transform_pa_assignments"),
+        ["line_id"],
+    )
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return _outcomes(p.spark.read.parquet(f"{root}/accepted"), p.spark.read.parquet(f"{root}/rejected"))
+
+
+def _scanned(p: Plans, table: str) -> DataFrame:
+    """A table written in the model's layout, twice over the same place, and read with its declared schema."""
+    root = scratch_dir(p.spark)
+    for _ in range(2):
+        publish(getattr(p, table), f"{root}/{table}")
+    return read_table(p.spark, root, table)
+
+
 def _order_inserts(p: Plans) -> DataFrame:
     """Both targets of the two-way insert, told apart by a label."""
     _, documents, orders = p.new_order_documents
@@ -258,9 +296,11 @@ def _update_where(p: Plans) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     # sources and sinks
+    "scan_table": lambda p: _scanned(p, "pension_agreements"),
     "snapshot_run": lambda p: run.snapshot_run(p.assignments, p.pay_orders, DATE_OP),
     "append_with_rejects": _appended,
     "append_unique": _appended_unique,
+    "append_stream": _appended_stream,
     "check_constraints": _violations,
     "multi_insert": _order_inserts,
     "merge_insert_only": lambda p: merge_insert_only(
@@ -276,6 +316,12 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     "delete_where": lambda p: delete_where(p.assignments, F.col("direction") == -1),
     "surrogate_key": lambda p: with_ids(p.filter_requests, "id", ["fk_pay_order"], 500),
     "ensure_pay_orders": lambda p: p.new_order_documents[0],
+    "const_relation": lambda p: contracts.not_in_pairs(
+        p.sp_pen_dog_arh,
+        contracts.exclusions(p.spark, (*contracts.CONTRACT_EXCLUSIONS, *LISTED_VERSIONS)),
+        ("ssylka", "data_arh"),
+        ("ssylka_fl", "data_arh"),
+    ),
     # views
     "accounts_sspv": lambda p: agreements.accounts_sspv(p.accounts),
     "izmeneniya_pd": lambda p: registry.izmeneniya_pd(p.izmeneniya, p.izm_key_val, p.izm_spr_soderg),

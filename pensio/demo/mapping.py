@@ -272,14 +272,20 @@ class Model:
     """The pension tables of one data folder as attributes, each built once and lazily."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self._folder, self._built = spark, folder, {}
+        self.spark, self.folder, self._built = spark, folder, {}
+
+    def with_table(self, name: str, df: DataFrame) -> Model:
+        """The same model with one benchmark table replaced."""
+        other = type(self)(self.spark, self.folder)
+        other._built[name] = df
+        return other
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._built:
             if name in BENCHMARK_TABLES:
-                self._built[name] = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+                self._built[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
             elif name in MAPPINGS:
                 sql = MAPPINGS[name].replace("@TS", "TIMESTAMP_NTZ")
                 parts = {r: getattr(self, r) for r in references(sql)}

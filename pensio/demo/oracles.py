@@ -6,7 +6,9 @@ Spark plans. ``{name}`` refers to another fragment, a table mapping or a benchma
 
 from __future__ import annotations
 
+from pensio.demo.catalog import LISTED_VERSIONS
 from pensio.demo.mapping import BENCHMARK_TABLES, MAPPINGS, references
+from pensio.plans.contracts import CONTRACT_EXCLUSIONS
 
 _OP_DATE = "DATE '1998-09-10'"
 
@@ -191,6 +193,8 @@ _SOURCE_CONTRACT_DATES = (
 
 _MONTH_NUMBER = "list_position(['январь','февраль','март','апрель','май','июнь','июль','август','сентябрь','октябрь','ноябрь','декабрь'], {})"
 
+_LISTED = ", ".join(f"({k}, '{t}')" for k, t in (*CONTRACT_EXCLUSIONS, *LISTED_VERSIONS))
+
 # Query -> (SQL, date columns rendered as text).
 ORACLES: dict[str, tuple[str, str]] = {
     "snapshot_run": (
@@ -224,6 +228,16 @@ ORACLES: dict[str, tuple[str, str]] = {
                   FROM {control_batch} b) j""",
         "",
     ),
+    "append_stream": (
+        """SELECT if(e IS NULL, 'accepted', 'rejected') AS outcome, e AS error_number, CAST(line_id AS VARCHAR) AS line_id
+           FROM  (SELECT line_id,
+                         CASE WHEN import_id IS NULL THEN 1400
+                              WHEN row_number() OVER (PARTITION BY date_op, ssylka_doc, import_id IS NULL
+                                                      ORDER BY line_id) > 1 THEN 1 END AS e
+                  FROM {control_batch} b) j""",
+        "",
+    ),
+    "scan_table": ("SELECT * FROM {pension_agreements}", _TABLE_AGREEMENT_DATES),
     "check_constraints": (
         """SELECT 'pay_order_filters' AS tbl, 'filter_code is COMPANY or CONTRACT' AS rule, CAST(id AS VARCHAR) AS row_key
            FROM {pay_order_filters} WHERE filter_code NOT IN ('COMPANY', 'CONTRACT')
@@ -297,6 +311,13 @@ ORACLES: dict[str, tuple[str, str]] = {
         "SELECT 499 + row_number() OVER (ORDER BY fk_pay_order) AS id, * FROM {filter_requests}",
         "",
     ),
+    "const_relation": (
+        f"""SELECT a.* FROM {{sp_pen_dog_arh}} a
+            WHERE NOT EXISTS (SELECT 1 FROM (VALUES {_LISTED}) AS e(ssylka_fl, data_arh)
+                              WHERE e.ssylka_fl = a.ssylka
+                              AND (a.data_arh IS NULL OR a.data_arh = CAST(e.data_arh AS TIMESTAMP)))""",
+        f"{_SOURCE_CONTRACT_DATES} data_arh",
+    ),
     "accounts_sspv": (
         "SELECT fk_scheme, id, acct_number, title FROM {accounts} WHERE fk_acct_type = 4",
         "",

@@ -30,6 +30,11 @@ def session(app: str = "pensio", master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def _context_dir(spark: SparkSession) -> str | None:
+    """The checkpoint folder set on the context, if there is one."""
+    return spark.sparkContext.getCheckpointDir()
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="pensio-")
@@ -42,7 +47,7 @@ def scratch_dir(spark: SparkSession) -> str:
     Only a local session without that setting falls back to a temporary folder: on a cluster the executors
     could not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")

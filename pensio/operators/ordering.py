@@ -64,50 +64,52 @@ def _plain(df, keys, order, rn, cnt, lead, lag) -> DataFrame:
 
 
 def _in_pieces(df, keys, order, rn, cnt, lead, lag) -> DataFrame:
-    # The pieces are fixed by writing them: both passes below must see the same ones.
+    # The pieces are fixed by writing them: both passes below must see the same ones. Inside a piece the rows of a
+    # key lie together and in order, so a row's place in the piece already gives its place in the key.
+    along_keys = asc(*keys, *order)
     cut = stage(
-        df.repartitionByRange(*asc(*keys, *order)).withColumn("_piece", F.spark_partition_id())
+        df.repartitionByRange(*along_keys)
+        .sortWithinPartitions(*along_keys)
+        .withColumns({"_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
     )
     group = F.struct("_piece", *keys)
     heads = F.struct(*[F.col(c).alias(n) for n, c in lead.items()], F.lit(1).alias("_"))
     tails = F.struct(*[F.col(c).alias(n) for n, c in lag.items()], F.lit(1).alias("_"))
-    place = rank(order)
 
     # One row per key and piece: a key has no more of them than there are partitions.
     pieces = cut.groupBy(*keys, "_piece").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.min_by(heads, place).alias("_head"),
-        F.max_by(tails, place).alias("_tail"),
+        F.min("_at").alias("_first"),
+        F.min_by(heads, "_at").alias("_head"),
+        F.max_by(tails, "_at").alias("_tail"),
     )
     along = Window.partitionBy(*keys).orderBy("_piece")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select(
-        group.alias("_group"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
-        F.lead("_head").over(along).alias("_next_head"),
-        F.lag("_tail").over(along).alias("_last_tail"),
-    )
-    inside = Window.partitionBy("_group").orderBy(*asc(*order))
-    numbered = (
-        cut.withColumn("_group", group)
-        .withColumns(
-            {
-                "_pos": F.row_number().over(inside),
-                "_n": F.lead(heads).over(inside),
-                "_l": F.lag(tails).over(inside),
-            }
+    pieces = stage(
+        pieces.select(
+            group.alias("_group"),
+            "_first",
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
+            F.lead("_head").over(along).alias("_next_head"),
+            F.lag("_tail").over(along).alias("_last_tail"),
         )
-        .join(pieces, "_group")
     )
-    new = {n: F.coalesce("_n", "_next_head")[n] for n in lead}
-    new |= {n: F.coalesce("_l", "_last_tail")[n] for n in lag}
+    numbered = cut.withColumn("_group", group)
+    new = {}
+    if lead or lag:
+        inside = Window.partitionBy("_group").orderBy("_at")
+        numbered = numbered.withColumns({"_n": F.lead(heads).over(inside), "_l": F.lag(tails).over(inside)})
+        new |= {n: F.coalesce("_n", "_next_head")[n] for n in lead}
+        new |= {n: F.coalesce("_l", "_last_tail")[n] for n in lag}
     if rn:
-        new[rn] = F.col("_before") + F.col("_pos")
+        new[rn] = F.col("_before") + F.col("_at") - F.col("_first") + 1
     if cnt:
         new[cnt] = F.col("_total")
-    return numbered.withColumns(new).drop(
-        "_group", "_piece", "_pos", "_n", "_l", "_before", "_total", "_next_head", "_last_tail"
+    return (
+        numbered.join(pieces, "_group")
+        .withColumns(new)
+        .drop("_group", "_piece", "_at", "_first", "_n", "_l", "_before", "_total", "_next_head", "_last_tail")
     )
 
 

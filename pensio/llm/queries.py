@@ -6,16 +6,65 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pensio.llm import packing
-from pensio.llm.common import documents
+from pensio.llm import decontaminate, jaccard, language, lm, neighbours, packing, pii, quality, substring, toxicity
+from pensio.llm.common import documents, table
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lm.score(docs, lm.fit(docs, lm.good_documents(table(spark, sf_dir, "labels"))))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_predictions(documents(spark, sf_dir))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(documents(spark, sf_dir))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(documents(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated(documents(spark, sf_dir))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_best_fit_packing,)}
+    own = (
+        op1_lm_scoring,
+        op2_language_id,
+        op3_quality,
+        op4_pii,
+        op5_decontamination,
+        op6_jaccard_join,
+        op7_toxicity,
+        op8_best_fit_packing,
+        op9_substring_dedup,
+        op10_embedding_dedup,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -13,6 +13,8 @@ pieces by hash and summed over the buckets, so a length that many documents shar
 from __future__ import annotations
 
 import bisect
+import string
+import unicodedata
 import zlib
 from collections.abc import Callable
 
@@ -24,7 +26,9 @@ from pensio.llm.common import map_batches, stage
 CAPACITY = 4096
 SEPARATOR = 1
 BUCKET_ROWS = 2000
-CACHED = 1_000_000  # words whose ids a Python worker keeps
+CACHED = 600_000  # words whose ids a Python worker keeps
+
+_SPECIAL = ("\u03a3", "\u0130", "<|")  # letters whose lower case is not one for one, and special tokens
 
 _known: dict[str, dict[str, bytes]] = {}  # by tokenizer file; kept while the worker lives
 
@@ -42,42 +46,51 @@ def encoder(path: str) -> Callable[[str], bytes]:
     encoded one by one and remembered; only parts not seen before reach the tokenizer.
     """
     from tokenizers import Tokenizer
+    from tokenizers.normalizers import Sequence
 
     tokenizer = Tokenizer.from_file(path)
+    plain = Tokenizer.from_file(path)  # for words its normalizer would leave as they are
+    plain.normalizer = Sequence([])
     last = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
     for token, i in tokenizer.get_vocab().items():
         last[i] = token.endswith("</w>")
     known = _known.setdefault(path, {})
 
-    def ids(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def ids(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
     def learn(parts: set[str]) -> None:
-        plain, words = {}, {}
+        # A word of letters with marks after it is the ids of the word and of the marks.
+        fresh, marked, whole = [], {}, []
         for part in parts:
-            low = part.lower() if part.isascii() and "<|" not in part else part
-            if low[-1:] in (".", ",") and low[:-1].isalpha():
-                plain[part] = (low[:-1], low[-1])
+            if part.isalpha() and (part.isascii() or unicodedata.is_normalized("NFC", part)):
+                fresh.append(part)
+                continue
+            word = part.rstrip(string.punctuation)
+            if word.isalpha() and unicodedata.is_normalized("NFC", word):
+                marked[part] = (word, part[len(word) :])
+                if word not in known and word not in parts:
+                    fresh.append(word)
+            else:
+                whole.append(part)
+        known.update((part, ids(part)) for part in whole)
+        known.update((m, ids(m)) for m in {m for _, m in marked.values()} if m not in known)
+        if fresh:
+            fresh = list(dict.fromkeys(fresh))
+            flat = plain.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids
+            flat = np.array(flat, np.uint32)
+            ends = np.flatnonzero(last[flat]) + 1
+            if len(ends) == len(fresh):
+                own, bounds = flat.tobytes(), [0, *(4 * ends).tolist()]
+                known.update((w, own[i:j]) for w, i, j in zip(fresh, bounds, bounds[1:]))
             else:
-                plain[part] = (low, "")
-            words[plain[part][0]] = None
-        words = [w for w in words if w not in known]
-        letters = [w for w in words if w.isalpha()]
-        flat = ids(" ".join(letters))
-        ends = np.flatnonzero(last[flat]) + 1
-        if len(ends) == len(letters):
-            bounds = [0, *ends.tolist()]
-            known.update((w, flat[a:b].tobytes()) for w, a, b in zip(letters, bounds, bounds[1:]))
-            words = [w for w in words if w not in known]
-        known.update((w, ids(w).tobytes()) for w in words)
-        for part, (word, mark) in plain.items():
-            if part not in known:
-                if mark not in known:
-                    known[mark] = ids(mark).tobytes()
-                known[part] = known[word] + known[mark]
+                known.update((w, ids(w)) for w in fresh)
+        known.update((part, known[word] + known[mark]) for part, (word, mark) in marked.items())
 
     def encode(text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
+        if any(x in text for x in _SPECIAL):
+            return ids(text)
+        parts = text.lower().replace("\n", " ").split(" ")
         try:
             return b"".join(map(known.__getitem__, parts))
         except KeyError:
@@ -89,29 +102,33 @@ def encoder(path: str) -> Callable[[str], bytes]:
     return encode
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, digest: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids) of every document: its ids and a separator, cut only where longer than
-    ``capacity``. A null text is empty. ``ids`` is little-endian unsigned 32-bit numbers."""
+    ``capacity``. A null text is empty. ``ids`` is little-endian unsigned 32-bit numbers; with ``digest``, their
+    crc32 takes their place."""
     path = path or tokenizer_path()
+    last = "ids_crc32" if digest else "ids"
 
     def make():
         encode = encoder(path)
 
         def step(batch):
-            out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
+            out = {"doc_id": [], "piece": [], "start": [], "length": [], last: []}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = encode(text or "") + SEPARATOR.to_bytes(4, "little")
                 for k, start in enumerate(range(0, len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + capacity)]
-                    for name, value in zip(out, (doc_id, k, start, len(own) // 4, own)):
-                        out[name].append(value)
+                    out["doc_id"].append(doc_id)
+                    out["piece"].append(k)
+                    out["start"].append(start)
+                    out["length"].append(len(own) // 4)
+                    out[last].append(zlib.crc32(own) if digest else own)
             return out
 
         return step
 
-    return map_batches(
-        docs.select("doc_id", "text"), "doc_id long, piece int, start long, length long, ids binary", make
-    )
+    kind = "ids_crc32 long" if digest else "ids binary"
+    return map_batches(docs.select("doc_id", "text"), f"doc_id long, piece int, start long, length long, {kind}", make)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -232,22 +249,6 @@ def sequences(packed: DataFrame) -> DataFrame:
     ).select("sequence_id", F.unhex("h").alias("ids"))
 
 
-def digests(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` with the ids' crc32 in their place."""
-
-    def make():
-        def step(batch):
-            out = {n: batch.column(n) for n in ("doc_id", "piece", "start", "length")}
-            out["ids_crc32"] = np.array([zlib.crc32(x.as_buffer()) for x in batch.column("ids")], np.int64)
-            return out
-
-        return step
-
-    return map_batches(
-        pieces(docs, path, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long", make
-    )
-
-
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Per piece of ``docs``: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(stage(digests(docs, path, capacity)), capacity)
+    return pack(stage(pieces(docs, path, capacity, digest=True)), capacity)

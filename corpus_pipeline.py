@@ -1,26 +1,58 @@
 """A corpus pipeline over ``documents``: filter, deduplicate, decontaminate, redact and pack.
 
 ``STAGES`` holds (name, function) pairs. A function takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
-writes each result as Parquet and reads it back as the next stage's ``docs``.
+writes each result as Parquet and reads it back as the next stage's ``docs``. All but the last return the columns of
+``documents``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pensio.llm import packing
-from pensio.llm.common import documents, stage
+from pensio.llm import decontaminate, jaccard, packing, pii, quality
+from pensio.llm.common import documents, stage, table
 
-#: Tokenizing and boosted trees are beyond SQL; the stages are tested against brute-force versions.
+#: Tokenizing, boosted trees and importance weights are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the quality classifier rejects.
+
+    A row goes where its doc_id is not selected; one without doc_id cannot be selected and goes too.
+    """
+    judged = quality.resample(docs, table(spark, sf_dir, "labels"))
+    gone = stage(judged.where(~F.col("selected")).select(F.col("doc_id").alias("gone")).distinct())
+    return docs.where("doc_id is not null").join(jaccard.small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return jaccard.deduplicate(docs, size=5, percent=80)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a test item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document left, each with its sequence and place."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("pack", pack)]
+STAGES = [
+    ("quality", good),
+    ("near_duplicates", distinct),
+    ("decontamination", clean),
+    ("personal_data", private),
+    ("packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

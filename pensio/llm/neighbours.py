@@ -25,8 +25,9 @@ from pensio.llm.common import components, map_batches, stage, union_find
 THRESHOLD = 0.93
 CELL = 300  # vectors a centre stands for
 BLOCK = 1000  # vectors in one task's graph, about
+MERGE = 0.8  # centres at least this near are one
 SAMPLE = 50_000  # vectors the centres are fitted on, at most
-CANDIDATES, DEGREE, ALPHA = 24, 12, 1.2
+CANDIDATES, DEGREE, ALPHA, NEAREST = 24, 12, 1.2, 3
 MEDOIDS = 24
 BEAM = 10
 SLACK = 0.06  # nodes this far below the threshold are still expanded
@@ -64,6 +65,12 @@ def fit_centres(nodes: DataFrame) -> dict[tuple[int, int], tuple[np.ndarray, int
             np.add.at(sums, near, x)
             norm = np.linalg.norm(sums, axis=1, keepdims=True)
             centres = np.where(norm > 0, sums / np.maximum(norm, 1e-12), centres)
+        # A dense group draws several centres: one stands for those within its range, so the group stays together.
+        kept = [0]
+        for i in range(1, len(centres)):
+            if (centres[kept] @ centres[i]).max() < MERGE:
+                kept.append(i)
+        centres = centres[kept]
         out[key] = (centres, first)
         first += len(centres)
     return out
@@ -98,7 +105,10 @@ def deal(nodes: DataFrame) -> DataFrame:
 
 
 def prune(x: np.ndarray) -> list[np.ndarray]:
-    """Robust-pruned neighbours of each row of ``x`` (unit vectors): its nearest and some spread ones as candidates."""
+    """Robust-pruned neighbours of each row of ``x`` (unit vectors): its nearest and some spread ones as candidates.
+
+    The very nearest stay in any case: in a dense group around one vector, pruning alone would leave that one only.
+    """
     m = len(x)
     if m == 1:
         return [np.zeros(0, np.int64)]
@@ -117,6 +127,8 @@ def prune(x: np.ndarray) -> list[np.ndarray]:
     kept = np.zeros_like(alive)
     for r in range(cand.shape[1]):
         take = alive[:, r] & (kept.sum(1) < DEGREE)
+        if r < NEAREST:
+            take = own[:, r] > -2
         kept[:, r] = take
         if r + 1 < cand.shape[1]:
             between = 1 - sims[cand[:, r][:, None], cand[:, r + 1 :]]
@@ -136,14 +148,19 @@ def medoids(x: np.ndarray, count: int = MEDOIDS) -> np.ndarray:
 
 
 def range_search(
-    x: np.ndarray, adjacency: np.ndarray, queries: np.ndarray, own: np.ndarray, threshold: float = THRESHOLD
+    x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarray, threshold: float = THRESHOLD
 ) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs found with at least about ``threshold``.
 
-    ``adjacency`` holds node numbers padded with -1, ``own`` each query's node or -1. A query expands the ``BEAM``
+    ``edges`` (2, edges) are followed both ways, ``own`` is each query's node or -1. A query expands the ``BEAM``
     nearest nodes seen so far and all in range, until none of them is left.
     """
     m, n = len(x), len(queries)
+    a, b = np.concatenate([edges, edges[::-1]], 1)
+    both = np.unique(a * m + b)
+    a, b = both // m, both % m
+    first = np.searchsorted(a, np.arange(m + 1))
+    degree = np.diff(first)
     seen = np.full((n, m), -np.inf, np.float32)
     done = np.zeros((n, m), bool)
     start = medoids(x)
@@ -158,18 +175,18 @@ def range_search(
         if not len(q):
             break
         done[q, v] = True
-        near = adjacency[v]
-        q = np.repeat(q, near.shape[1])
-        near = near.ravel()
-        new = near >= 0
-        new[new] = seen[q[new], near[new]] == -np.inf
+        d = degree[v]
+        at = np.arange(d.sum()) - np.repeat(np.cumsum(d) - d, d)
+        near = b[np.repeat(first[v], d) + at]
+        q = np.repeat(q, d)
+        new = seen[q, near] == -np.inf
         q, near = q[new], near[new]
         if len(q):
             pair = np.unique(q * m + near)
             q, near = pair // m, pair % m
             for a in range(0, len(q), 1 << 16):
-                b = slice(a, a + (1 << 16))
-                seen[q[b], near[b]] = np.einsum("ij,ij->i", queries[q[b]], x[near[b]])
+                c = slice(a, a + (1 << 16))
+                seen[q[c], near[c]] = np.einsum("ij,ij->i", queries[q[c]], x[near[c]])
     return np.nonzero(seen >= threshold - 1e-4)
 
 
@@ -191,11 +208,9 @@ def _search(threshold: float):
         x, y = normalised(np.stack(index["embedding"])), normalised(np.stack(query["embedding"]))
         place = pd.Series(np.arange(len(index)), index["node"].to_numpy())
         lists = [place.reindex(n).dropna().to_numpy(np.int64) for n in index["near"]]
-        adjacency = np.full((len(index), max(1, max(map(len, lists)))), -1, np.int64)
-        for i, own in enumerate(lists):
-            adjacency[i, : len(own)] = own
+        edges = np.stack([np.repeat(np.arange(len(lists)), list(map(len, lists))), np.concatenate(lists)])
         own = place.reindex(query["node"]).fillna(-1).to_numpy(np.int64)
-        q, v = range_search(x.astype(np.float32), adjacency, y.astype(np.float32), own, threshold)
+        q, v = range_search(x.astype(np.float32), edges, y.astype(np.float32), own, threshold)
         cos = np.concatenate(
             [np.einsum("ij,ij->i", y[q[a : a + 65536]], x[v[a : a + 65536]]) for a in range(0, len(q), 65536)] or [[]]
         )
@@ -230,7 +245,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         .withColumn("dim", F.size("embedding"))
     )
     dealt = stage(deal(nodes))
-    members = dealt.withColumnRenamed("cell", "home").withColumn("cell", F.explode(F.array_distinct(F.array("cell", "other"))))
+    members = dealt.withColumnRenamed("cell", "home").withColumn("cell", F.explode(F.array_distinct(F.array("home", "other"))))
     blocks = stage(
         members.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("blocks"))
     )
@@ -243,7 +258,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
         .join(dealt, "node")
     )
-    rows = graph.withColumnRenamed("cell", "home").withColumn("cell", F.explode(F.array_distinct(F.array("cell", "other"))))
+    rows = graph.withColumnRenamed("cell", "home").withColumn("cell", F.explode(F.array_distinct(F.array("home", "other"))))
     rows = rows.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     each = F.sequence(F.lit(0), F.col("blocks") - 1)
     as_index = rows.withColumn("with", F.explode(each)).withColumns(

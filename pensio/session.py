@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,21 +33,13 @@ def _context_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="pensio-")
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    All folders of one application lie under its id, so they can be removed together once it has ended.
-    Only a local session without that setting falls back to a temporary folder: on a cluster the executors
-    could not see it.
+    All folders of one application lie under its id, so they can be removed together once it has ended. There is no
+    default: a folder of the driver's machine would not be seen by executors.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = _local_root()
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return f"{root.rstrip('/')}/pensio-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

@@ -18,8 +18,13 @@ TABLES = ("orders", "customer", "lineitem", "events")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    spark = session("tests", "local[8]", **{"spark.sql.shuffle.partitions": 4, "spark.ui.enabled": "false"})
+def spark(tmp_path_factory):
+    settings = {
+        "spark.sql.shuffle.partitions": 4,
+        "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    spark = session("tests", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -94,6 +94,15 @@ class Plans(Model):
     def v_agreements(self) -> DataFrame:
         return agreements.pension_agreements(self.pension_agreements, self.contracts)
 
+    @cached_property
+    def updated_agreements(self) -> DataFrame:
+        """The agreements with the states the run preparation gives them."""
+        return run.update_states(self.pension_agreements, self.v_agreements, self.participants)
+
+    @cached_property
+    def v_updated_agreements(self) -> DataFrame:
+        return agreements.pension_agreements(self.updated_agreements, self.contracts)
+
     @cached_property
     def v_active(self) -> DataFrame:
         return agreements.agreements_active(self.v_agreements)
@@ -158,8 +167,8 @@ def _violations(p: Plans) -> DataFrame:
         )
 
     filters = schemas.rules("pay_order_filters", {"pay_orders": p.pay_orders})
-    periods = schemas.rules("pension_agreement_periods", {"pension_agreements": p.v_agreements})
-    balances = schemas.rules("accounts_balance", {"accounts": agreements.accounts_sspv(p.accounts)})
+    periods = schemas.rules("pension_agreement_periods", {"pension_agreements": p.pension_agreements})
+    balances = schemas.rules("accounts_balance", {"accounts": p.accounts})
     return (
         of("pay_order_filters", p.pay_order_filters, filters, "id")
         .unionByName(of("pension_agreement_periods", p.pension_agreement_periods, periods, "fk_pension_agreement"))
@@ -181,17 +190,6 @@ def _violations(p: Plans) -> DataFrame:
     )
 
 
-# What an accrual gets where it brings nothing.
-ASSIGNMENT_DEFAULTS = {
-    "amount": 0, "amount_detail": 0, "paytax": 0, "paydays": 0, "asgmt_state": 0, "isexists": 0, "isauto": 0,
-    "iscancel": 0, "direction": 1,
-}
-
-
-def assignment_defaults(run_time: dt.datetime) -> dict:
-    return {**{c: F.lit(v) for c, v in ASSIGNMENT_DEFAULTS.items()}, "creation_date": F.lit(run_time)}
-
-
 def _appended(p: Plans) -> DataFrame:
     """Accruals appended to nothing, in the order of their given ids; both outcomes side by side."""
     rules = [
@@ -203,7 +201,7 @@ def _appended(p: Plans) -> DataFrame:
         p.assignments.withColumnRenamed("id", "given"),
         rules,
         ["given"],
-        defaults={c: v for c, v in assignment_defaults(dt.datetime(1998, 9, 1, 12)).items()},
+        defaults=schemas.defaults("assignments", dt.datetime(1998, 9, 1, 12)),
         ids="id",
         first_id=1001,
         tag="accrual",
@@ -284,6 +282,28 @@ def _order_inserts(p: Plans) -> DataFrame:
     )
 
 
+def _captured(p: Plans) -> DataFrame:
+    """Both results of a run's capture, told apart by a label."""
+    order = run.run_order(p.pay_orders, DATE_OP)
+    filters, result = run.capture_run(p.assignments, p.order_filters, order)
+    return filters.select(F.lit("filter").alias("part"), "id", "fk_pay_order").unionByName(
+        result.select(F.lit("assignment").alias("part"), "id", F.col("fk_doc_with_action").alias("fk_pay_order"))
+    )
+
+
+def _purged(p: Plans) -> DataFrame:
+    """Rows left in each purged table, in the order of the purge."""
+    tables = {"debt_withholdings": p.debt_withholdings, "assignments": p.assignments, "pay_orders": p.pay_orders}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            t.groupBy().agg(F.count(F.lit(1)).alias("rows_left"))
+            .select(F.lit(i).alias("step"), F.lit(name).alias("tbl"), "rows_left")
+            for i, (name, t) in enumerate(run.purge_runs(tables).items(), 1)
+        ],
+    )
+
+
 def _update_where(p: Plans) -> DataFrame:
     return update_where(
         p.contracts,
@@ -359,8 +379,10 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
         run.reopen_addenda(p.pension_agreement_addendums, p.participants, DATE_OP), p.participants, DATE_OP
     ),
     "agreements_without_addenda": lambda p: run.agreements_without_addenda(
-        p.participants, p.v_agreements, p.pension_agreement_addendums
+        p.participants, p.v_updated_agreements, p.pension_agreement_addendums
     ),
+    "capture_run": _captured,
+    "purge_runs": _purged,
     # reconciliation and reports
     "reconcile_assignments": lambda p: reconcile.reconcile_assignments(
         p.assignments, p.assignments_new, p.v_agreement_periods, p.accounts_balance
@@ -394,11 +416,14 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     "apply_corrections": lambda p: apply_corrections(
         p.reer_doc_ngpf, p.corrections, "ssylka", ["kod_insz", "ref_kodinsz"]
     ),
+    "correct_contragents": lambda p: apply_corrections(
+        p.transform_contragents, p.contragent_corrections, "fk_contract", ["ssylka_fl"]
+    ),
     "backfill_contract_ref": lambda p: repair.backfill_contract_ref(
         p.sp_pen_dog_unlinked, p.pension_agreements, p.contracts, p.transform_contragents
     ),
     "contracts_without_agreement": lambda p: repair.contracts_without_agreement(
-        p.sp_pen_dog_unlinked, p.v_agreements
+        p.sp_pen_dog_unlinked, p.pension_agreements
     ),
 }
 

@@ -136,7 +136,7 @@ VIEWS = {
          base.fk_cntr_type AS fk_base_cntr_type, base.fk_scheme AS fk_base_scheme, a.date_pension_age
   FROM   {pension_agreements} a JOIN {contracts} own ON own.fk_document = a.fk_contract
          JOIN {contracts} base ON base.fk_document = a.fk_base_contract
-  WHERE  own.fk_cntr_type = 6 AND own.fk_scheme NOT IN (0, 7) AND base.fk_scheme NOT IN (0, 7)""",
+  WHERE  own.fk_cntr_type = 6 AND own.fk_scheme IN (1, 2, 3, 4, 5, 6, 8) AND base.fk_scheme IN (1, 2, 3, 4, 5, 6, 8)""",
     "active_v": """
   SELECT * EXCLUDE (cntr_number, isarhv, fk_pay_detail, last_update, fk_base_cntr_type, fk_base_scheme)
   FROM   {agreements_v} WHERE state = 1 AND isarhv = 0""",
@@ -220,10 +220,12 @@ ORACLES: dict[str, tuple[str, str]] = {
         """SELECT if(e IS NULL, 'accepted', 'rejected') AS outcome, e AS error_number, CAST(line_id AS VARCHAR) AS line_id
            FROM  (SELECT line_id,
                          CASE WHEN import_id IS NULL THEN 1400
+                              WHEN length(import_id) > 14 OR length(state) > 1 THEN 12899
                               WHEN EXISTS (SELECT 1 FROM {transform_pa_assignments} t
                                            WHERE t.state = 'W' AND t.date_op = b.date_op AND t.ssylka_doc = b.ssylka_doc)
                               THEN 1
                               WHEN row_number() OVER (PARTITION BY date_op, ssylka_doc, import_id IS NULL
+                                                           OR length(import_id) > 14 OR length(state) > 1
                                                       ORDER BY line_id) > 1 THEN 1 END AS e
                   FROM {control_batch} b) j""",
         "",
@@ -232,7 +234,9 @@ ORACLES: dict[str, tuple[str, str]] = {
         """SELECT if(e IS NULL, 'accepted', 'rejected') AS outcome, e AS error_number, CAST(line_id AS VARCHAR) AS line_id
            FROM  (SELECT line_id,
                          CASE WHEN import_id IS NULL THEN 1400
+                              WHEN length(import_id) > 14 OR length(state) > 1 THEN 12899
                               WHEN row_number() OVER (PARTITION BY date_op, ssylka_doc, import_id IS NULL
+                                                           OR length(import_id) > 14 OR length(state) > 1
                                                       ORDER BY line_id) > 1 THEN 1 END AS e
                   FROM {control_batch} b) j""",
         "",
@@ -246,10 +250,10 @@ ORACLES: dict[str, tuple[str, str]] = {
            WHERE fk_pay_order NOT IN (SELECT fk_document FROM {pay_orders})
            UNION ALL
            SELECT 'pension_agreement_periods', 'parent of (fk_pension_agreement)', CAST(fk_pension_agreement AS VARCHAR)
-           FROM {pension_agreement_periods} WHERE fk_pension_agreement NOT IN (SELECT fk_contract FROM {agreements_v})
+           FROM {pension_agreement_periods} WHERE fk_pension_agreement NOT IN (SELECT fk_contract FROM {pension_agreements})
            UNION ALL
            SELECT 'accounts_balance', 'parent of (fk_account)', CAST(fk_account AS VARCHAR) FROM {accounts_balance}
-           WHERE fk_account NOT IN (SELECT id FROM {accounts} WHERE fk_acct_type = 4)
+           WHERE fk_account NOT IN (SELECT id FROM {accounts})
            UNION ALL
            SELECT 'pension_agreements', 'date_pension_age is a month start', CAST(fk_contract AS VARCHAR)
            FROM {pension_agreements} WHERE day(date_pension_age) <> 1
@@ -257,9 +261,18 @@ ORACLES: dict[str, tuple[str, str]] = {
            SELECT 'debt_withholdings', 'parent of (fk_debt_assignment)', CAST(fk_debt_assignment AS VARCHAR)
            FROM {debt_withholdings} WHERE fk_debt_assignment NOT IN (SELECT id FROM {assignments})
            UNION ALL
+           SELECT 'pay_order_filters', 'filter_code is longer than 10', CAST(id AS VARCHAR)
+           FROM {pay_order_filters} WHERE length(filter_code) > 10
+           UNION ALL
            SELECT 'control_batch', 'import_id is null', CAST(line_id AS VARCHAR)
            FROM {control_batch} WHERE import_id IS NULL
            UNION ALL
+           SELECT 'control_batch', 'import_id is longer than 14', CAST(line_id AS VARCHAR)
+           FROM {control_batch} WHERE length(import_id) > 14
+           UNION ALL
+           SELECT 'control_batch', 'state is longer than 1', CAST(line_id AS VARCHAR)
+           FROM {control_batch} WHERE length(state) > 1
+           UNION ALL
            SELECT 'control_batch', 'unique (date_op, ssylka_doc)', CAST(line_id AS VARCHAR) FROM {control_batch}
            QUALIFY count(*) OVER (PARTITION BY date_op, ssylka_doc) > 1""",
         "",
@@ -427,7 +440,10 @@ ORACLES: dict[str, tuple[str, str]] = {
         _ADDENDUM_DATES,
     ),
     "agreements_without_addenda": (
-        """SELECT a.* FROM {paid} p JOIN {agreements_v} a USING (fk_contract)
+        """SELECT a.* EXCLUDE (hit, gone) REPLACE (if(hit, 1, if(gone, 2, state)) AS state, if(hit, 0, isarhv) AS isarhv)
+           FROM {paid} p JOIN (SELECT *, fk_contract IN (SELECT fk_contract FROM {paid} EXCEPT SELECT fk_contract FROM {active_v}) AS hit,
+                                      fk_contract IN (SELECT fk_contract FROM {active_v} EXCEPT SELECT fk_contract FROM {paid}) AS gone
+                               FROM {agreements_v}) a USING (fk_contract)
            WHERE p.fk_contract NOT IN (SELECT fk_pension_agreement FROM {pension_agreement_addendums})""",
         _AGREEMENT_DATES,
     ),
@@ -566,8 +582,26 @@ ORACLES: dict[str, tuple[str, str]] = {
            FROM {sp_pen_dog_unlinked} d""",
         _SOURCE_CONTRACT_DATES,
     ),
+    "correct_contragents": (
+        """SELECT t.* REPLACE (coalesce(c.ssylka_fl, t.ssylka_fl) AS ssylka_fl)
+           FROM {transform_contragents} t LEFT JOIN {contragent_corrections} c USING (fk_contract)""",
+        "",
+    ),
+    "capture_run": (
+        f"""SELECT 'filter' AS part, id, fk_pay_order FROM {{order_filters}} WHERE fk_pay_order NOT IN (
+              SELECT fk_document FROM {{pay_orders}} WHERE operation_date = {_OP_DATE} AND fk_pay_order_type = 5)
+            UNION ALL
+            SELECT 'assignment', id, fk_doc_with_action FROM {{assignments}} WHERE fk_doc_with_action IN (
+              SELECT fk_document FROM {{pay_orders}} WHERE operation_date = {_OP_DATE} AND fk_pay_order_type = 5)""",
+        "",
+    ),
+    "purge_runs": (
+        """SELECT step, tbl, CAST(0 AS BIGINT) AS rows_left
+           FROM (VALUES (1, 'debt_withholdings'), (2, 'assignments'), (3, 'pay_orders')) AS v(step, tbl)""",
+        "",
+    ),
     "contracts_without_agreement": (
-        """SELECT d.* FROM {sp_pen_dog_unlinked} d LEFT JOIN {agreements_v} a ON a.fk_contract = d.ref_kodinsz
+        """SELECT d.* FROM {sp_pen_dog_unlinked} d LEFT JOIN {pension_agreements} a ON a.fk_contract = d.ref_kodinsz
            WHERE d.shema_dog <> 7 AND a.fk_contract IS NULL""",
         _SOURCE_CONTRACT_DATES,
     ),

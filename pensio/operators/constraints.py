@@ -13,7 +13,9 @@ from pensio.operators.rows import with_ids
 from pensio.sources.snapshots import stage
 
 # Public error numbers of the source database for each kind of rule.
-ERROR_NUMBERS = {"not_null": 1400, "digits": 1438, "check": 2290, "unique": 1, "foreign_key": 2291}
+ERROR_NUMBERS = {
+    "not_null": 1400, "digits": 1438, "length": 12899, "check": 2290, "unique": 1, "foreign_key": 2291,
+}
 
 
 @dataclass(frozen=True)
@@ -45,6 +47,22 @@ class Digits:
         return F.coalesce(F.abs(F.col(self.column)) >= F.lit(10**self.digits), F.lit(False))
 
 
+@dataclass(frozen=True)
+class Length:
+    """A text of at most ``size`` characters."""
+
+    column: str
+    size: int
+    kind = "length"
+
+    @property
+    def name(self):
+        return f"{self.column} is longer than {self.size}"
+
+    def broken(self) -> Column:
+        return F.coalesce(F.length(self.column) > self.size, F.lit(False))
+
+
 @dataclass(frozen=True)
 class Check:
     """``condition`` (SQL text) must not be false; unknown passes."""
@@ -83,7 +101,7 @@ class ForeignKey:
         return f"parent of ({', '.join(self.columns)})"
 
 
-Rule = NotNull | Digits | Check | Unique | ForeignKey
+Rule = NotNull | Digits | Length | Check | Unique | ForeignKey
 
 
 def _key(columns) -> Column:

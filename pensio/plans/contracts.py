@@ -46,9 +46,9 @@ _CARRIED = (
 
 
 def exclusions(spark, pairs=CONTRACT_EXCLUSIONS) -> DataFrame:
-    """The inline exclusion list as a relation (ssylka_fl, data_arh)."""
-    rows = [(k, dt.datetime.fromisoformat(t)) for k, t in pairs]
-    return spark.createDataFrame(rows, "ssylka_fl long, data_arh timestamp_ntz")
+    """The inline exclusion list as a relation (ssylka_fl, data_arh), whose size the planner sees."""
+    rows = ", ".join(f"({int(k)}L, TIMESTAMP_NTZ '{dt.datetime.fromisoformat(t)}')" for k, t in pairs)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(ssylka_fl, data_arh)")
 
 
 def not_in_pairs(df: DataFrame, pairs: DataFrame, left: tuple[str, str], right: tuple[str, str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pensio.functions import registry_text as rt
 from pensio.functions.semantics import MONEY, month_start
 from pensio.operators.ordering import windowed
+from pensio.operators.rows import apply_corrections
 from pensio.plans.contracts import SKIPPED_CONTRIBUTOR
 from pensio.sources.snapshots import stage
 
@@ -49,13 +50,13 @@ def registry_pay_orders(reer_doc_ngpf: DataFrame) -> DataFrame:
         .withColumn("payment_period", F.make_date("_year", "_month", F.lit(1)))
         .withColumn("half_month", rt.half_month(F.col("_day"), document))
     )
-    # At most two rows per calendar month, whatever the number of documents: small enough to broadcast.
+    # At most two rows per calendar month, written, so the planner knows their size.
     halves = stage(read.groupBy("payment_period", "half_month").count())
     last_half = halves.groupBy(F.col("payment_period").alias("_period")).agg(
         F.max("half_month").alias("max_half_month")
     )
     numbered = windowed(
-        read.join(F.broadcast(last_half), F.col("payment_period").eqNullSafe(F.col("_period"))),
+        read.join(last_half, F.col("payment_period").eqNullSafe(F.col("_period"))),
         ["payment_period", "half_month"],
         ["_day", "ssylka"],
         rn="rn",
@@ -142,10 +143,9 @@ def participant_balance(
 
 def sp_izm_pd(changes: DataFrame, patches: dict[int, dt.date] = CHANGE_DATE_PATCHES) -> DataFrame:
     """Change rows with corrected dates."""
-    date = F.col("data_izm")
-    for row_id, correct in patches.items():
-        date = F.when(F.col("id") == row_id, F.lit(correct)).otherwise(date)
-    return changes.select(
-        "ssylka_fl", "nom_izm", date.alias("data_izm"), "summa_izm", "otpechatano", "ssylka_doc", "mod_pism",
+    values = ", ".join(f"({int(i)}L, DATE '{d.isoformat()}')" for i, d in patches.items())
+    corrections = changes.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(id, data_izm)")
+    return apply_corrections(changes, corrections, "id", ["data_izm"]).select(
+        "ssylka_fl", "nom_izm", "data_izm", "summa_izm", "otpechatano", "ssylka_doc", "mod_pism",
         "data_pism", "sagenev", "dat_zanes", "no_otpr", "coment", "id", "sostoyanie", "forma",
     )

@@ -18,7 +18,7 @@ def backfill_contract_ref(
     """
     unlinked = sp_pen_dog.where(F.col("ref_kodinsz").isNull()).select(
         "ssylka", F.col("data_nach_vypl").alias("effective_date"), F.col("razm_pen").alias("amount")
-    )
+    ).distinct()
     owner = transform_contragents.select(
         F.col("fk_contract").alias("fk_base_contract"), F.col("ssylka_fl").alias("ssylka")
     )

@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from pensio.functions.semantics import month_start
 from pensio.operators.intervals import next_on_or_after
-from pensio.operators.rows import delete_where, multi_insert, update_where
-from pensio.plans.agreements import NOT_ARCHIVED, STATE_ACTIVE, STATE_DEACTIVATED, is_active
-from pensio.sources.snapshots import publish
+from pensio.operators.rows import delete_by_key, delete_where, multi_insert, update_where
+from pensio.plans.agreements import (
+    NOT_ARCHIVED,
+    STATE_ACTIVE,
+    STATE_DEACTIVATED,
+    is_active,
+    pension_agreements,
+)
+from pensio.sources.snapshots import publish, stage
 
 # Fixed values.
 ACCRUAL_ORDER_TYPE = 5
@@ -46,18 +52,29 @@ def ensure_pay_orders(
     A date keeps its existing accrual order (the lowest, where there are several). Each other date gets a document
     and a pay order with the next free number, in date order.
     """
-    wanted = dates.select(F.col(dates.columns[0]).alias("operation_date")).dropna().distinct()
-    existing = (
-        pay_orders.where(F.col("fk_pay_order_type") == ACCRUAL_ORDER_TYPE)
+    wanted = dates.select(F.col(dates.columns[0]).alias("operation_date"), F.lit(None).cast("long").alias("_id"))
+    held = pay_orders.where(F.col("fk_pay_order_type") == ACCRUAL_ORDER_TYPE).select(
+        "operation_date", F.col("fk_document").alias("_id")
+    )
+    # One aggregate by date for both outcomes; it leaves at most one row per calendar day, which is what the
+    # window without a partition sees.
+    by_date = (
+        wanted.withColumn("_wanted", F.lit(True))
+        .unionByName(held.withColumn("_wanted", F.lit(False)))
+        .where(F.col("operation_date").isNotNull())
         .groupBy("operation_date")
-        .agg(F.min("fk_document").alias("fk_document"))
-        .join(wanted, "operation_date", "left_semi")
+        .agg(F.min("_id").alias("_id"), F.max("_wanted").alias("_wanted"))
+        .where("_wanted")
     )
-    # At most one row per calendar day: the window without a partition sees no more than that.
-    number = F.row_number().over(Window.orderBy("operation_date"))
-    new = wanted.join(existing, "operation_date", "left_anti").select(
-        "operation_date", (number + F.lit(first_id - 1).cast("long")).alias("fk_document")
+    number = F.row_number().over(Window.orderBy(F.col("_id").isNotNull(), "operation_date"))
+    known = stage(
+        by_date.select(
+            "operation_date",
+            F.coalesce("_id", number + F.lit(first_id - 1).cast("long")).alias("fk_document"),
+            F.col("_id").isNull().alias("is_new"),
+        )
     )
+    new = known.where("is_new")
     documents, orders = multi_insert(
         new,
         [
@@ -75,8 +92,7 @@ def ensure_pay_orders(
             F.lit(ACCRUAL_ORDER_TYPE).alias("fk_pay_order_type"),
         ],
     )
-    known = existing.select("operation_date", "fk_document", F.lit(False).alias("is_new"))
-    return known.unionByName(new.withColumn("is_new", F.lit(True))), documents, orders
+    return known, documents, orders
 
 
 def run_participants(
@@ -97,6 +113,27 @@ def run_participants(
     )
 
 
+def capture_run(
+    assignments: DataFrame, filters: DataFrame, orders: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(filters left, assignments) of runs given by their pay orders (fk_document).
+
+    The orders' filters are cleared before a run is calculated; its result is what refers to the orders.
+    """
+    left = delete_by_key(filters, orders.select(F.col("fk_document").alias("fk_pay_order")), ["fk_pay_order"])
+    ids = orders.select(F.col("fk_document").alias("fk_doc_with_action")).distinct()
+    return left, assignments.join(ids, "fk_doc_with_action", "left_semi").select(assignments.columns)
+
+
+# Fixed value: tables of a purge, each before the one it refers to.
+PURGE_ORDER = ("debt_withholdings", "assignments", "pay_orders")
+
+
+def purge_runs(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Empty snapshots of all runs' tables, children first: write them in this order."""
+    return {name: delete_where(tables[name]) for name in PURGE_ORDER}
+
+
 def _minus(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("fk_contract").join(b.select("fk_contract"), "fk_contract", "left_anti")
 
@@ -118,6 +155,11 @@ def activate_agreements(agreements: DataFrame, agreements_v: DataFrame, paid: Da
     )
 
 
+def update_states(agreements: DataFrame, agreements_v: DataFrame, paid: DataFrame) -> DataFrame:
+    """Both updates: they concern disjoint agreements and look at the states before either."""
+    return activate_agreements(deactivate_agreements(agreements, agreements_v, paid), agreements_v, paid)
+
+
 def cancel_restrictions(pay_restrictions: DataFrame, paid: DataFrame) -> DataFrame:
     """Cancels uncancelled restrictions that cover an accrual date of a paid agreement.
 
@@ -173,7 +215,7 @@ def cancel_recent_addenda(addendums: DataFrame, paid: DataFrame, date_op: dt.dat
 
 
 def agreements_without_addenda(paid: DataFrame, agreements_v: DataFrame, addendums: DataFrame) -> DataFrame:
-    """Control: paid agreements without any addendum, once per paid row."""
+    """Control: paid agreements without any addendum, once per paid row, with their states after the updates."""
     bare = paid.select("fk_contract").join(
         addendums.select(F.col("fk_pension_agreement").alias("fk_contract")), "fk_contract", "left_anti"
     )
@@ -203,6 +245,7 @@ def prepare_run(
     transform_contragents: DataFrame,
     agreements: DataFrame,
     agreements_v: DataFrame,
+    contracts: DataFrame,
     pay_restrictions: DataFrame,
     addendums: DataFrame,
 ) -> PreparedRun:
@@ -214,15 +257,15 @@ def prepare_run(
     paid = publish(
         run_participants(payments, transform_contragents, agreements_v, date_op), f"{root}/participants"
     )
-    states = activate_agreements(deactivate_agreements(agreements, agreements_v, paid), agreements_v, paid)
+    states = publish(update_states(agreements, agreements_v, paid), f"{root}/pension_agreements")
     # Cancelling wins over reopening, and neither changes what the other looks at.
     changed_addendums = cancel_recent_addenda(reopen_addenda(addendums, paid, date_op), paid, date_op)
     return PreparedRun(
         publish(snapshot_run(assignments, pay_orders, date_op), f"{root}/reference_assignments"),
         publish(delete_run(assignments, pay_orders, date_op), f"{root}/assignments"),
         paid,
-        publish(states, f"{root}/pension_agreements"),
+        states,
         publish(cancel_restrictions(pay_restrictions, paid), f"{root}/pay_restrictions"),
         publish(changed_addendums, f"{root}/pension_agreement_addendums"),
-        agreements_without_addenda(paid, agreements_v, addendums),
+        agreements_without_addenda(paid, pension_agreements(states, contracts), addendums),
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from pensio.operators.constraints import Check, Digits, ForeignKey, NotNull, Rule, Unique
+from pensio.operators.constraints import Check, Digits, ForeignKey, Length, NotNull, Rule, Unique
 
 _CONTRACT = (
     "nom_vkl long, nom_ips long, fio string, data_otkr date, ssylka long, data_nach_vypl date, "
@@ -144,10 +146,38 @@ def rules(table: str, parents: dict[str, DataFrame] | None = None) -> list[Rule]
     return found
 
 
+def _whole(columns: str) -> tuple[Rule, ...]:
+    """Columns declared as whole numbers of ten digits."""
+    return tuple(Digits(c, 10) for c in columns.split())
+
+
+# What a column gets where a row brings nothing. ``sysdate`` is the run time, an argument.
+_DEFAULTS = {
+    "transform_pa_assignments": {"state": "N"},
+    "pension_agreement_periods": {"creation_date": "sysdate"},
+    "assignments": {
+        "amount": 0, "amount_detail": 0, "paytax": 0, "paydays": 0, "asgmt_state": 0, "isexists": 0, "isauto": 0,
+        "iscancel": 0, "direction": 1, "creation_date": "sysdate",
+    },
+}
+
+
+def defaults(table: str, run_time: dt.datetime) -> dict[str, Column]:
+    """Default values of a table's columns, for ``append_with_rejects``. Ids are its ``ids`` argument."""
+    return {c: F.lit(run_time if v == "sysdate" else v) for c, v in _DEFAULTS.get(table, {}).items()}
+
+
 _RULES: dict[str, tuple[Rule, ...]] = {
-    "accounts_balance": (NotNull("update_date"), Digits("fk_account", 10), Unique(("fk_account",))),
+    "accounts_balance": (
+        NotNull("fk_account"),
+        NotNull("update_date"),
+        Digits("fk_account", 10),
+        Unique(("fk_account",)),
+    ),
     "pay_order_filters": (
+        NotNull("id"),
         NotNull("fk_pay_order"),
+        Length("filter_code", 10),
         Check("filter_code is COMPANY or CONTRACT", "filter_code in ('COMPANY', 'CONTRACT')"),
         Unique(("id",)),
     ),
@@ -155,22 +185,28 @@ _RULES: dict[str, tuple[Rule, ...]] = {
         Check("date_pension_age is a month start", "date_pension_age = trunc(date_pension_age, 'MM')"),
     ),
     "pension_agreement_periods": (
+        NotNull("fk_pension_agreement"),
         NotNull("calc_date"),
         NotNull("check_date"),
         NotNull("pa_effective_date"),
         Digits("fk_pension_agreement", 10),
+        Length("is_disabled_pa", 1),
         Unique(("fk_pension_agreement",)),
     ),
     "transform_pa": (
         NotNull("ssylka_fl"),
         NotNull("date_nach_vypl"),
         NotNull("source_table"),
+        Length("source_table", 32),
         Unique(("ssylka_fl", "date_nach_vypl")),
         Unique(("source_table", "ssylka_fl", "data_arh")),
     ),
     "transform_pa_portfolios": (
         NotNull("ssylka_fl"),
         NotNull("date_nach_vypl"),
+        Length("source_table", 32),
+        Length("true_kod_izm", 1),
+        *_whole("kod_izm kod_doc nom_izm fk_document fk_pay_portfolio fk_pay_decision"),
         Unique(("ssylka_fl", "date_nach_vypl")),
     ),
     "transform_pa_restrictions": (
@@ -179,6 +215,10 @@ _RULES: dict[str, tuple[Rule, ...]] = {
         NotNull("kod_ogr_pv"),
         NotNull("nach_deistv"),
         NotNull("fnd_nach_deistv"),
+        Length("import_id", 14),
+        Length("primech", 255),
+        Length("is_cancel", 1),
+        *_whole("ssylka fk_contragent fk_contract fk_pay_restriction"),
         Digits("kod_ogr_pv", 1),
         Digits("cnt", 2),
         Digits("rn", 2),
@@ -188,11 +228,15 @@ _RULES: dict[str, tuple[Rule, ...]] = {
         NotNull("ssylka_fl"),
         NotNull("pa_effective_date"),
         NotNull("source_table"),
+        Length("account_type", 2),
+        Length("source_table", 32),
+        *_whole("ssylka_fl fk_contragent fk_base_contract fk_contract cntr_number fk_scheme fk_account"),
         Unique(("account_type", "ssylka_fl", "pa_effective_date")),
         Unique(("account_type", "fk_contract")),
     ),
     "transform_po": (
         NotNull("ssylka_doc"),
+        *_whole("ssylka_doc fk_document"),
         Digits("flag_usage", 1),
         Digits("rn", 2),
         Digits("max_half_month", 1),
@@ -204,6 +248,9 @@ _RULES: dict[str, tuple[Rule, ...]] = {
         NotNull("date_op"),
         NotNull("fk_pay_order"),
         NotNull("import_id"),
+        Length("import_id", 14),
+        Length("state", 1),
+        *_whole("ssylka_doc fk_pay_order"),
         Unique(("date_op", "ssylka_doc")),
     ),
 }

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from pensio import schemas
-from pensio.demo.catalog import assignment_defaults
 from pensio.operators import rows
 from pensio.operators.constraints import (
     REJECT_TABLES,
@@ -89,7 +88,7 @@ def test_defaults_ids_and_tag_over_many_rows(spark):
         df.withColumn("fk_created", F.col("id")),
         [NotNull("fk_doc_with_acct")],
         ["fk_created"],
-        defaults=assignment_defaults(run_time),
+        defaults=schemas.defaults("assignments", run_time),
         ids="id",
         first_id=50,
         tag="accrual",

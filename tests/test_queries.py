@@ -6,8 +6,9 @@ import pytest
 from conftest import DATA, spark_rows, sql_rows
 
 import __spark_entry__ as entry
+from pensio.demo import catalog, oracles
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), oracles.oracle_sql()
 
 
 def test_every_query_has_sql():
@@ -25,5 +26,9 @@ def test_same_as_sql(spark, name):
     assert not re.search("NestedLoop|Cartesian|Python", plan)
 
 
+def test_the_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry_is_the_flagship(spark):
     assert entry.entry(spark).columns == ["ssylka_fl", "ref_kodinsz", "data_nach_vypl", "payments", "paid"]

@@ -44,6 +44,7 @@ def test_prepared_run(plans, tmp_path):
         transform_contragents=plans.transform_contragents,
         agreements=plans.pension_agreements,
         agreements_v=plans.v_agreements,
+        contracts=plans.contracts,
         pay_restrictions=plans.pay_restrictions,
         addendums=plans.pension_agreement_addendums,
     )

@@ -22,8 +22,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A row goes where its doc_id is not selected; one without doc_id cannot be selected and goes too.
     """
     judged = quality.resample(docs, table(spark, sf_dir, "labels"))
-    gone = stage(judged.where(~F.col("selected")).select(F.col("doc_id").alias("gone")).distinct())
-    return docs.where("doc_id is not null").join(jaccard.small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = stage(judged.where(~F.col("selected")).select(F.col("doc_id").alias("_gone_")).distinct())
+    return docs.where("doc_id is not null").join(jaccard.small(gone), F.col("doc_id") == F.col("_gone_"), "left_anti")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

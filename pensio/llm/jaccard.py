@@ -228,6 +228,6 @@ def _apart(bucket: DataFrame, members: DataFrame, parts: DataFrame, percent: int
 def deduplicate(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of linked ones: the one with the smallest doc_id."""
     gone = stage(
-        similar(docs, size, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+        similar(docs, size, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone_")).distinct()
     )
-    return docs.join(small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    return docs.join(small(gone), F.col("doc_id") == F.col("_gone_"), "left_anti")

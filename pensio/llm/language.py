@@ -52,8 +52,9 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows.append(word[:-2][inner])
     keys.append(three)
     script = np.searchsorted(_STARTS, codes, "right") - 1
-    letter = np.array([chr(x).isalpha() if x < 0xD800 or x > 0xDFFF else False for x in np.unique(codes)])
-    is_letter = letter[np.searchsorted(np.unique(codes), codes)]
+    used = np.unique(codes)
+    letter = np.array([x < 0xD800 or x > 0xDFFF for x in used]) & [chr(x).isalpha() for x in used]
+    is_letter = letter[np.searchsorted(used, codes)]
     sets = np.zeros(len(words), np.int64)
     np.bitwise_or.at(sets, word[is_letter], np.int64(1) << script[is_letter])
     return np.concatenate(rows), (np.concatenate(keys) % np.uint64(BUCKETS)).astype(np.int64), sets
@@ -106,20 +107,21 @@ class Words:
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
         self.scores[n : n + len(words)] = scores
-        self.letters[n : n + len(words)] = [sum(map(str.isalpha, w)) for w in words]
+        self.letters[n : n + len(words)] = [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in words]
         self.at.update(zip(words, range(n, n + len(words))))
         self.chars += sum(map(len, words))
 
-    def rows(self, words: list[str]) -> np.ndarray:
+    def know(self, texts: list[list[str]]) -> None:
+        """Learns the words of several texts at once."""
+        if len(self.at) > self.LIMIT or self.chars > self.LIMIT_CHARS:
+            self.reset()
         at = self.at
-        try:
-            return np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            if len(at) > self.LIMIT or self.chars > self.LIMIT_CHARS:
-                self.reset()
-                at = self.at
-            self.learn(list(dict.fromkeys(w for w in words if w not in at)))
-            return np.fromiter(map(at.__getitem__, words), np.int64, len(words))
+        fresh = list(dict.fromkeys(w for words in texts for w in words if w not in at))
+        for a in range(0, len(fresh), 20_000):
+            self.learn(fresh[a : a + 20_000])
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
 
 
 def viterbi(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
@@ -148,10 +150,11 @@ def viterbi(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     return path
 
 
-def label(text: str | None, words: Words, penalty: float = PENALTY) -> tuple[str, float, list[tuple[str, int, int]]]:
-    """Language, its share of the letters, and the spans (language, start, stop) of a text."""
+def label(
+    text: str | None, parts: list[str], words: Words, penalty: float = PENALTY
+) -> tuple[str, float, list[tuple[str, int, int]]]:
+    """Language, its share of the letters, and the spans (language, start, stop) of a text with words ``parts``."""
     languages = words.model.languages
-    parts = text.lower().split() if text and languages else []
     if not parts:
         return UNDETERMINED, 0.0, []
     rows = words.rows(parts)
@@ -217,7 +220,10 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFra
         words = model.words()
 
         def step(batch):
-            found = [label(t, words, penalty) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
+            parts = [t.lower().split() if t and model.languages else [] for t in texts]
+            words.know(parts)
+            found = [label(t, p, words, penalty) for t, p in zip(texts, parts)]
             return {
                 "doc_id": batch.column("doc_id"),
                 "lang_pred": [f[0] for f in found],

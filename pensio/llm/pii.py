@@ -197,7 +197,9 @@ class Model:
             last[:-1] = q[order][1:] != q[order][:-1]
             good = np.flatnonzero((right >= precision) & last & (q[order] >= 0.5))
             if len(good) and y.sum() >= 5:
-                self.thresholds[kind] = float(q[order][good[-1]])
+                # Half way down to the next candidate, or to even odds where there is none.
+                after = q[order][good[-1] + 1] if good[-1] + 1 < len(y) else 0.5
+                self.thresholds[kind] = max(0.5, float(q[order][good[-1]] + after) / 2 if after > 0.5 else 0.5)
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         if self.trees is None:

@@ -1,6 +1,6 @@
 """Repeated passages by MinHash banding of paragraphs.
 
-A text is cut where a sentence-like start - a line, a word after a full stop, a capital - has a smaller hash of its
+A text is cut where a sentence-like start - a line, a word after a full stop, a capital, some words by hash - has a smaller hash of its
 first words than one of the starts next to it. So the cuts follow the text itself: a passage keeps its inner cuts
 wherever it stands, also in the middle of a line. Paragraphs of at least ``MIN_WORDS`` words get MinHash values over
 their five-word shingles, combined into bands; ``bands`` finds the fewest bands that reach a recall at the threshold.
@@ -29,6 +29,8 @@ SIMILARITY = 0.8
 RECALL = 0.99
 MIN_WORDS = 8
 MIN_RUN = 20
+HASHED = 32  # one word in so many is a start in any case, for texts without sentences
+GAP = 100  # code points of short paragraphs that a run may skip
 PLACES = 1 << 20
 
 
@@ -53,14 +55,18 @@ class Paragraphs:
         lines = np.zeros(len(data) + 1, np.int64)
         np.cumsum(data == 10, out=lines[1:])
         begin = np.zeros(n, bool)
-        begin[words.first[:-1][np.diff(words.first) > 0]] = True
         if n:
             head = data[words.start]
             after = data[np.minimum(words.start + 1, len(data) - 1)]
             begin |= (head >= 65) & (head <= 90) | (head == 0xC3) & (after >= 0x80) & (after <= 0x9E)
             tail = data[words.end - 1]
             stop = (tail == 46) | (tail == 33) | (tail == 63)
-            begin[1:] |= stop[:-1] | (lines[words.start[1:]] > lines[words.end[:-1]])
+            begin[1:] |= stop[:-1]
+            begin |= words.hash % np.uint64(HASHED) == 0
+            # Where several words in a row look like a start, the last one is.
+            begin[:-1] &= ~begin[1:] | (words.row[1:] != words.row[:-1])
+            begin[1:] |= lines[words.start[1:]] > lines[words.end[:-1]]
+            begin[words.first[:-1][np.diff(words.first) > 0]] = True
         at = np.flatnonzero(begin)
         if len(at):
             pad = np.concatenate([words.hash, np.zeros(3, np.uint64)])
@@ -231,7 +237,10 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     clusters = stage(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
     found = places(docs).join(small(clusters), "node")
     along = Window.partitionBy("doc_id").orderBy("paragraph")
-    apart = F.when(F.col("paragraph") - F.lag("paragraph").over(along) == 1, 0).otherwise(1)
+    near = (F.col("paragraph") - F.lag("paragraph").over(along) == 1) & (
+        F.col("start") - F.lag("stop").over(along) <= GAP
+    )
+    apart = F.when(near, 0).otherwise(1)
     run = F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0))
     return (
         found.withColumn("new", apart)

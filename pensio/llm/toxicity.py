@@ -154,24 +154,17 @@ class Words:
             self.at[w] = len(self.near)
             self.near.append(row)
 
-    def sentences(self, text: str | None) -> list[np.ndarray]:
-        """For each sentence with a word near a landmark, its greatest nearness to each."""
-        if not text:
-            return []
-        lines = tokens(text)
+    def sentences(self, texts: list[str | None]) -> list[list[np.ndarray]]:
+        """Of each text, for each sentence with a word near a landmark, its greatest nearness to each."""
+        split = [tokens(t) if t else [] for t in texts]
+        if len(self.at) > self.LIMIT or self.chars > 16_000_000:
+            self.reset()
         at = self.at
-        fresh = {w for line in lines for w in line if w not in at}
-        if fresh:
-            if len(at) > self.LIMIT or self.chars > 16_000_000:
-                self.reset()
-                fresh = {w for line in lines for w in line}
-            self.learn(list(fresh))
-            at = self.at
+        self.learn(list({w for lines in split for line in lines for w in line if w not in at}))
         out = []
-        for line in lines:
-            rows = [r for r in map(at.__getitem__, line) if r]
-            if rows:
-                out.append(np.max([self.near[r] for r in rows], 0))
+        for lines in split:
+            rows = ([r for r in map(at.__getitem__, line) if r] for line in lines)
+            out.append([np.max([self.near[r] for r in own], 0) for own in rows if own])
         return out
 
 
@@ -306,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
 
         def step(batch):
             texts, ys = batch.column("text").to_pylist(), batch.column("y").to_pylist()
-            return {"y": ys, "near": [[s.tolist() for s in own.sentences(t)] for t in texts]}
+            return {"y": ys, "near": [[s.tolist() for s in lines] for lines in own.sentences(texts)]}
 
         return step
 
@@ -322,10 +315,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
         def step(batch):
             texts = batch.column("text").to_pylist()
-            return {
-                "doc_id": batch.column("doc_id"),
-                "score": [model.score(words.sentences(t) if model.landmarks else []) for t in texts],
-            }
+            found = words.sentences(texts) if model.landmarks else [[]] * len(texts)
+            return {"doc_id": batch.column("doc_id"), "score": [model.score(s) for s in found]}
 
         return step
 

@@ -1,10 +1,11 @@
 """Numbering, counting and neighbour access inside groups, of which a few may be very large.
 
-A window sends all rows of a key to one task. That is the cheapest plan - one shuffle - as long as every key fits
-a task, so the keys are counted first (a map-side aggregate of the key columns alone). Keys above ``HOT_ROWS`` are
-taken out and numbered in pieces: their rows are range-partitioned along the window's own order, so that pieces are
-even whatever the keys look like, numbered inside each piece, and put right with one summary row per piece and key.
-No row is dropped and the results are those of the plain window.
+A window sends all rows of a key to one task. Here a key is cut along the window's own order into buckets that the caller
+names (a year, a day, a range of numbers). Rows are numbered inside their bucket; one summary row per key and bucket
+gives what lies before and after it. So a task sees one bucket of a key, or the bucket list of a key, never a whole key.
+There is one plan for keys of any size, built without running a job, and its results are those of the plain window.
+
+Without keys the whole input is one group: it is cut into even range pieces.
 """
 
 from __future__ import annotations
@@ -14,103 +15,78 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pensio.functions.semantics import asc
 from pensio.sources.snapshots import stage
 
-HOT_ROWS = 1_000_000  # rows of one key that a single task sorts comfortably
-
 
 def windowed(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     *,
+    bucket: list[Column],
     rn: str | None = None,
     cnt: str | None = None,
     lead: dict[str, str] | None = None,
     lag: dict[str, str] | None = None,
-    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with row_number, count, lead and lag over (partition by keys order by order).
 
     ``rn`` and ``cnt`` name result columns, ``lead`` and ``lag`` map result names to columns. The order is
-    ascending with NULLs last and must tell the rows of a key apart; NULL keys form one group. Without keys the
-    whole input is one group and is always numbered in pieces.
-
-    ``sizes`` may hold the keys and their ``count`` where that is cheaper to get than from ``df``. It only decides
-    how a key is numbered, not the result, so near figures will do.
+    ascending with NULLs last and must tell the rows of a key apart; NULL keys form one group. ``bucket`` are
+    expressions that never decrease along the order; rows of a key with equal ones should fit a task.
     """
-    wanted = (rn, cnt, lead or {}, lag or {})
-    if not keys:
-        return _in_pieces(df, keys, order, *wanted)
-    counted = df.groupBy(*keys).count() if sizes is None else sizes
-    hot = counted.where(F.col("count") > HOT_ROWS).select(F.struct(*keys).alias("_hot"))
-    if hot.isEmpty():
-        return _plain(df, keys, order, *wanted)
-    # At most one key per HOT_ROWS rows: a short list, joined by its real size.
-    hot = stage(hot)
-    keyed = df.withColumn("_hot", F.struct(*keys))
-    cold = keyed.join(hot, "_hot", "left_anti").drop("_hot")
-    large = keyed.join(hot, "_hot", "left_semi").drop("_hot")
-    return _plain(cold, keys, order, *wanted).unionByName(_in_pieces(large, keys, order, *wanted))
-
-
-def _plain(df, keys, order, rn, cnt, lead, lag) -> DataFrame:
-    along = Window.partitionBy(*keys).orderBy(*asc(*order))
-    new = {name: F.lead(c).over(along) for name, c in lead.items()}
-    new |= {name: F.lag(c).over(along) for name, c in lag.items()}
-    if rn:
-        new[rn] = F.row_number().over(along).cast("long")
-    if cnt:
-        new[cnt] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return df.withColumns(new)
-
-
-def _in_pieces(df, keys, order, rn, cnt, lead, lag) -> DataFrame:
-    # The pieces are fixed by writing them: both passes below must see the same ones. Inside a piece the rows of a
-    # key lie together and in order, so a row's place in the piece already gives its place in the key.
-    along_keys = asc(*keys, *order)
-    cut = stage(
-        df.repartitionByRange(*along_keys)
-        .sortWithinPartitions(*along_keys)
-        .withColumns({"_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    )
-    group = F.struct("_piece", *keys)
-    heads = F.struct(*[F.col(c).alias(n) for n, c in lead.items()], F.lit(1).alias("_"))
-    tails = F.struct(*[F.col(c).alias(n) for n, c in lag.items()], F.lit(1).alias("_"))
-
-    # One row per key and piece: a key has no more of them than there are partitions.
-    pieces = cut.groupBy(*keys, "_piece").agg(
+    lead, lag = lead or {}, lag or {}
+    names = [f"_b{i}" for i in range(len(bucket))]
+    frame = df.withColumns(dict(zip(names, bucket)))
+    frame = frame.withColumn("_group", F.struct(*keys, *names))
+    place = rank(order)
+    summary = frame.groupBy("_group", *keys, *names).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.min("_at").alias("_first"),
-        F.min_by(heads, "_at").alias("_head"),
-        F.max_by(tails, "_at").alias("_tail"),
+        *[F.min_by(c, place).alias(f"_head_{n}") for n, c in lead.items()],
+        *[F.max_by(c, place).alias(f"_tail_{n}") for n, c in lag.items()],
     )
-    along = Window.partitionBy(*keys).orderBy("_piece")
+    along = Window.partitionBy(*keys).orderBy(*asc(*names))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    pieces = stage(
-        pieces.select(
-            group.alias("_group"),
-            "_first",
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
-            F.lead("_head").over(along).alias("_next_head"),
-            F.lag("_tail").over(along).alias("_last_tail"),
-        )
+    summary = summary.select(
+        "_group",
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_total"),
+        *[F.lead(f"_head_{n}").over(along).alias(f"_next_{n}") for n in lead],
+        *[F.lag(f"_tail_{n}").over(along).alias(f"_last_{n}") for n in lag],
     )
-    numbered = cut.withColumn("_group", group)
-    new = {}
-    if lead or lag:
-        inside = Window.partitionBy("_group").orderBy("_at")
-        numbered = numbered.withColumns({"_n": F.lead(heads).over(inside), "_l": F.lag(tails).over(inside)})
-        new |= {n: F.coalesce("_n", "_next_head")[n] for n in lead}
-        new |= {n: F.coalesce("_l", "_last_tail")[n] for n in lag}
+    inside = Window.partitionBy("_group").orderBy(*asc(*order))
+    own = {"_n": F.row_number().over(inside)}
+    # A neighbour may be NULL: whether there is one is told apart from its value.
+    own |= {f"_in_{n}": F.lead(F.struct(c)).over(inside) for n, c in lead.items()}
+    own |= {f"_in_{n}": F.lag(F.struct(c)).over(inside) for n, c in lag.items()}
+    numbered = frame.withColumns(own).join(summary, "_group")
+    new = {n: F.when(F.col(f"_in_{n}").isNotNull(), F.col(f"_in_{n}")[c]).otherwise(F.col(f"_next_{n}")) for n, c in lead.items()}
+    new |= {n: F.when(F.col(f"_in_{n}").isNotNull(), F.col(f"_in_{n}")[c]).otherwise(F.col(f"_last_{n}")) for n, c in lag.items()}
     if rn:
-        new[rn] = F.col("_before") + F.col("_at") - F.col("_first") + 1
+        new[rn] = F.col("_before") + F.col("_n")
     if cnt:
         new[cnt] = F.col("_total")
-    return (
-        numbered.join(pieces, "_group")
-        .withColumns(new)
-        .drop("_group", "_piece", "_at", "_first", "_n", "_l", "_before", "_total", "_next_head", "_last_tail")
+    return numbered.select(*df.columns, *[v.alias(n) for n, v in new.items()])
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with the place of each row in the order, which must tell the rows apart; no task sees more than a piece.
+
+    The pieces are fixed by writing them: counting and numbering must see the same ones.
+    """
+    along = asc(*order)
+    cut = stage(
+        df.repartitionByRange(*along)
+        .sortWithinPartitions(*along)
+        .withColumns({"_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    )
+    # One row per piece.
+    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (
+        cut.groupBy("_piece")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+        .select("_piece", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
+    place = F.col("_before") + F.col("_at") - F.col("_first") + 1
+    return cut.join(pieces, "_piece").withColumn(name, place).select(*df.columns, name)
 
 
 def rank(order: list[str]) -> Column:

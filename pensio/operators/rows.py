@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pensio.operators.ordering import windowed
+from pensio.operators.ordering import numbered
 
 
 def update_where(
@@ -70,8 +70,8 @@ def with_ids(df: DataFrame, name: str, order: list[str], first_id: int = 1) -> D
     """Consecutive new ids in the given order, which must tell the rows apart; no task sees more than a piece."""
     base = df.drop(name) if name in df.columns else df
     columns = df.columns if name in df.columns else [name, *df.columns]
-    numbered = windowed(base, [], order, rn=name)
-    return numbered.withColumn(name, F.col(name) + F.lit(first_id - 1).cast("long")).select(*columns)
+    placed = numbered(base, order, name)
+    return placed.withColumn(name, F.col(name) + F.lit(first_id - 1).cast("long")).select(*columns)
 
 
 def apply_corrections(

@@ -35,16 +35,20 @@ def accounts_sspv(accounts: DataFrame) -> DataFrame:
     )
 
 
+# Serial numbers of an agreement that one task numbers.
+SERIALS = 1000
+
+
 def addendum_segments(addendums: DataFrame) -> DataFrame:
     """Valid addenda as segments that end the day before the agreement's next addendum by serial number."""
     active = addendums.where(F.col("canceled") == 0).withColumn(
         "from_month", month_start("alt_date_begin")
     )
-    # Two windows, one shuffle: the months of an agreement are where the agreement is.
     placed = windowed(
         active,
         ["fk_pension_agreement"],
         ["serialno", "id"],
+        bucket=[F.floor(F.col("serialno") / SERIALS)],
         lead={"_next": "alt_date_begin"},
         lag={"amount_prev": "amount"},
     )
@@ -52,8 +56,8 @@ def addendum_segments(addendums: DataFrame) -> DataFrame:
         placed,
         ["fk_pension_agreement", "from_month"],
         ["serialno", "id"],
+        bucket=[F.floor(F.col("serialno") / SERIALS)],
         rn="month_serialno",
-        sizes=active.groupBy("fk_pension_agreement", "from_month").count(),
     )
     return placed.select(
         "id",
@@ -173,6 +177,7 @@ def agreements_import(agreements_v: DataFrame) -> DataFrame:
         agreements_v,
         ["fk_base_contract"],
         ["effective_date", "fk_contract"],
+        bucket=[F.year("effective_date")],
         rn="rn",
         cnt="cnt",
         lead={"effective_date_next": "effective_date"},

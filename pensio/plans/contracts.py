@@ -76,7 +76,8 @@ def pension_contracts(
     """Current and archived contracts of each participant, numbered by start date.
 
     ``data_okon_vypl`` is the day before the participant's next contract starts. Equal starts are ordered by
-    ``ref_kodinsz`` and source, which the source system leaves open.
+    ``ref_kodinsz``, source, archive time, account status and start, and contract number, which the source system leaves
+    open: a participant with several accounts has each contract once per account.
     """
     if excluded is None:
         excluded = exclusions(sp_pen_dog.sparkSession)
@@ -113,15 +114,14 @@ def pension_contracts(
         F.col("data_arh").cast("timestamp_ntz").alias("cntr_print_date"),
         F.coalesce(F.col("data_arh").cast("date"), F.col("data_nach_vypl")).alias("cntr_date"),
     )
-    versions = sp_pen_dog.select("ssylka").unionByName(sp_pen_dog_arh.select("ssylka"))
     numbered = windowed(
         current.unionByName(archived),
         ["ssylka"],
-        ["data_nach_vypl", "ref_kodinsz", "source_table", "data_arh"],
+        ["data_nach_vypl", "ref_kodinsz", "source_table", "data_arh", "status_pen", "lspv_nach_vypl_pen", "nom_dog"],
+        bucket=[F.year("data_nach_vypl")],
         rn="dog_rn",
         cnt="dog_cnt",
         lead={"_next": "data_nach_vypl"},
-        sizes=versions.groupBy("ssylka").count(),
     )
     return numbered.select(
         "dog_rn", "dog_cnt", "source_table", "nom_vkl", "nom_ips", "fio", "data_arh", "data_otkr", "ssylka",

@@ -11,7 +11,6 @@ from pensio.functions.semantics import MONEY, month_start
 from pensio.operators.ordering import windowed
 from pensio.operators.rows import apply_corrections
 from pensio.plans.contracts import SKIPPED_CONTRIBUTOR
-from pensio.sources.snapshots import stage
 
 # Plan types whose contracts hold an individual account.
 ACCOUNT_SCHEMES = (2, 3, 4, 5, 8)
@@ -50,17 +49,14 @@ def registry_pay_orders(reer_doc_ngpf: DataFrame) -> DataFrame:
         .withColumn("payment_period", F.make_date("_year", "_month", F.lit(1)))
         .withColumn("half_month", rt.half_month(F.col("_day"), document))
     )
-    # At most two rows per calendar month, written, so the planner knows their size.
-    halves = stage(read.groupBy("payment_period", "half_month").count())
-    last_half = halves.groupBy(F.col("payment_period").alias("_period")).agg(
-        F.max("half_month").alias("max_half_month")
-    )
+    # At most one row per calendar month.
+    last_half = read.groupBy(F.col("payment_period").alias("_period")).agg(F.max("half_month").alias("max_half_month"))
     numbered = windowed(
         read.join(last_half, F.col("payment_period").eqNullSafe(F.col("_period"))),
         ["payment_period", "half_month"],
         ["_day", "ssylka"],
+        bucket=[F.col("_day"), F.floor(F.col("ssylka") / 100_000)],
         rn="rn",
-        sizes=halves,
     )
     rest = ["tip_doc", "data_doc", "kem_podpis", "kr_soderg"]
     regular = numbered.select(

@@ -169,9 +169,10 @@ def restrictions_by_contract(
         "_contract",
     )
     ranked = windowed(
-        stage(judged),
+        judged,
         ["ssylka_fl", "data_nach_vypl", "nach_deistv"],
         ["_source", "_minus_length", "kod_ogr_pv", "real_nach_deistv", "id", "_contract"],
+        bucket=[F.col("_source"), F.col("_minus_length")],
         rn="rn",
         cnt="cnt",
     )

@@ -1,4 +1,4 @@
-"""One key with a third of all rows, and the piecewise window path forced for every larger key."""
+"""One key with a third of all rows."""
 
 import pytest
 import skew
@@ -33,25 +33,24 @@ def folder(tmp_path_factory):
         "append_unique",
     ],
 )
-def test_hot_key(spark, folder, monkeypatch, name):
-    monkeypatch.setattr(ordering, "HOT_ROWS", 30)
+def test_hot_key(spark, folder, name):
     got = spark_rows(entry.queries()[name](spark, folder))
     assert got == sql_rows(folder, entry.oracle_sql()[name])[1]
 
 
-@pytest.mark.parametrize("limit", [10**9, 10, 0])
-def test_windowed_is_the_plain_window(spark, monkeypatch, limit):
-    """Plain, mixed and piecewise numbering agree, with NULL keys and NULLs in the order."""
-    monkeypatch.setattr(ordering, "HOT_ROWS", limit)
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_windowed_is_the_plain_window(spark, width):
+    """Numbering in buckets agrees with it, with NULL keys, NULLs in the order and NULL neighbours."""
     df = spark.range(2000).select(
         F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 7 > 0, F.col("id") % 11)).alias("k"),
         F.when(F.col("id") % 5 > 0, F.col("id") % 50).alias("o"),
         F.col("id").alias("t"),
-        (F.col("id") * 7 % 13).alias("v"),
+        F.when(F.col("id") % 4 > 0, F.col("id") * 7 % 13).alias("v"),
     )
     got = ordering.windowed(
-        df, ["k"], ["o", "t"], rn="rn", cnt="cnt", lead={"next_v": "v"}, lag={"last_v": "v"}
-    )
+        df, ["k"], ["o", "t"], bucket=[F.floor(F.col("o") / width)], rn="rn", cnt="cnt", lead={"next_v": "v"},
+        lag={"last_v": "v"},
+    )
     over = "OVER (PARTITION BY k ORDER BY o NULLS LAST, t)"
     want = spark.sql(
         f"""SELECT k, o, t, v, lead(v) {over} AS next_v, lag(v) {over} AS last_v,
@@ -61,17 +60,35 @@ def test_windowed_is_the_plain_window(spark, monkeypatch, limit):
     assert spark_rows(got) == spark_rows(want)
 
 
-def test_pieces_divide_a_hot_key(spark, monkeypatch):
-    """No partition of the numbered rows holds more than a share of the hot key."""
+def test_pieces_are_even(spark):
     df = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("k"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        cut = ordering.windowed(df, [], ["id"], rn="rn")
-        sizes = [r["n"] for r in cut.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        cut = ordering.numbered(df, ["id"], "rn")
+        read = cut.groupBy(F.floor((F.col("rn") - 1) / 10_000)).count().count()
+        pieces = stage_sizes(spark, df)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert cut.where("rn <> id + 1").isEmpty()
-    assert max(sizes) < 30_000
+    assert cut.where("rn <> id + 1").isEmpty() and read == 4
+    assert max(pieces) < 1.3 * 40_000 / len(pieces)
+
+
+def stage_sizes(spark, df):
+    cut = df.repartitionByRange("id")
+    return [r["n"] for r in cut.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+
+
+def test_no_job_runs_while_a_window_is_built(spark, folder):
+    from pensio.demo.catalog import Plans
+
+    plans = Plans(spark, folder)
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        for view in (plans.v_contracts, plans.v_segments):
+            assert view.columns
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_ids_are_dense_and_in_order(spark):

@@ -231,32 +231,46 @@ def _appended_unique(p: Plans) -> DataFrame:
     return _outcomes(accepted, rejected)
 
 
-def _outcomes(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
+def _outcomes(accepted: DataFrame, rejected: DataFrame, *more: str) -> DataFrame:
+    kept = ["line_id", *more]
     return accepted.select(
         F.lit("accepted").alias("outcome"), F.lit(None).cast("int").alias("error_number"),
-        F.col("line_id").cast("string").alias("line_id"),
+        *[F.col(c).cast("string").alias(c) for c in kept],
     ).unionByName(
-        rejected.select(F.lit("rejected").alias("outcome"), "error_number", "line_id")
+        rejected.select(F.lit("rejected").alias("outcome"), "error_number", *kept)
     )
 
 
 def _appended_stream(p: Plans) -> DataFrame:
-    """The control rows as a stream of line items, run to its end through the streaming sink."""
+    """The control rows delivered in three parts by line number, as a stream of one part a micro-batch, with ids."""
     root = scratch_dir(p.spark)
+    for part in range(3):
+        arrived = p.lineitem.where(F.col("l_linenumber") % 3 == part)
+        arrived.repartition(1).write.mode("append").parquet(f"{root}/arriving")
     arriving = p.with_table(
         "lineitem",
-        p.spark.readStream.schema(p.lineitem.schema).parquet(f"{p.folder}/lineitem*.parquet"),
+        p.spark.readStream.schema(p.lineitem.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{root}/arriving"),
     )
     sink = append_stream(
-        arriving.control_batch,
+        arriving.control_batch.withColumn("given", F.lit(None).cast("long")),
         f"{root}/accepted",
         f"{root}/rejected",
         f"{root}/checkpoint",
         schemas.rules("transform_pa_assignments"),
         ["line_id"],
+        ids="given",
+        first_id=100,
     )
     sink.trigger(availableNow=True).start().awaitTermination()
-    return _outcomes(p.spark.read.parquet(f"{root}/accepted"), p.spark.read.parquet(f"{root}/rejected"))
+    return _outcomes(p.spark.read.parquet(f"{root}/accepted"), p.spark.read.parquet(f"{root}/rejected"), "given")
+
+
+def _appended_two_keys(p: Plans) -> DataFrame:
+    """Documents under both unique rules of their table: first come, first served."""
+    accepted, rejected = append_with_rejects(p.document_batch, schemas.rules("transform_po"), ["line_id"])
+    return _outcomes(accepted, rejected)
 
 
 def _scanned(p: Plans, table: str) -> DataFrame:
@@ -321,6 +335,7 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     "append_with_rejects": _appended,
     "append_unique": _appended_unique,
     "append_stream": _appended_stream,
+    "append_two_keys": _appended_two_keys,
     "check_constraints": _violations,
     "multi_insert": _order_inserts,
     "merge_insert_only": lambda p: merge_insert_only(

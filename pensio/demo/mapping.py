@@ -261,7 +261,13 @@ MAPPINGS = {
     "control_batch": f"""
   SELECT {_OP} AS date_op, s AS ssylka_doc, {_ORDER_OF_OP.format(_OP)} AS fk_pay_order,
          CASE WHEN disc = 0.05 THEN NULL WHEN disc = 0.06 AND n = 2 THEN 'IMPORT 1998-09-01' ELSE 'IMP' END AS import_id,
-         CASE WHEN n = 3 THEN 'NEW' ELSE NULL END AS state, {_LINE_ID} AS line_id
+         CASE WHEN n = 3 THEN 'NEW' ELSE NULL END AS state, n AS line_number, {_LINE_ID} AS line_id
+  FROM   {{line}}""",
+    # Documents as they arrive: line items of one order compete for two keys, in short chains.
+    "document_batch": f"""
+  SELECT k * 10 + n % 3 AS ssylka_doc, k * 10 + (n * n + q) % 4 AS fk_document, CAST(1 AS INT) AS flag_usage,
+         CAST(n AS BIGINT) AS rn, CAST(2 AS INT) AS max_half_month, CAST(CASE WHEN disc = 0.05 THEN 10 ELSE 1 END AS INT) AS half_month,
+         k, {_LINE_ID} AS line_id
   FROM   {{line}}""",
     "contragent_corrections": """
   SELECT fk_contract, ssylka_fl + 500000 AS ssylka_fl FROM {transform_contragents} WHERE fk_contract % 9 = 0""",

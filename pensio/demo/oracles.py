@@ -231,14 +231,30 @@ ORACLES: dict[str, tuple[str, str]] = {
         "",
     ),
     "append_stream": (
-        """SELECT if(e IS NULL, 'accepted', 'rejected') AS outcome, e AS error_number, CAST(line_id AS VARCHAR) AS line_id
-           FROM  (SELECT line_id,
+        """SELECT if(e IS NULL, 'accepted', 'rejected') AS outcome, e AS error_number, CAST(line_id AS VARCHAR) AS line_id,
+                  CAST(99 + i AS VARCHAR) AS given
+           FROM  (SELECT line_id, row_number() OVER (ORDER BY part, line_id) AS i,
                          CASE WHEN import_id IS NULL THEN 1400
                               WHEN length(import_id) > 14 OR length(state) > 1 THEN 12899
                               WHEN row_number() OVER (PARTITION BY date_op, ssylka_doc, import_id IS NULL
                                                            OR length(import_id) > 14 OR length(state) > 1
-                                                      ORDER BY line_id) > 1 THEN 1 END AS e
-                  FROM {control_batch} b) j""",
+                                                      ORDER BY part, line_id) > 1 THEN 1 END AS e
+                  FROM (SELECT *, line_number % 3 AS part FROM {control_batch}) b) j""",
+        "",
+    ),
+    "append_two_keys": (
+        """WITH RECURSIVE b AS (SELECT k, line_id, ssylka_doc, fk_document, half_month > 9 AS bad,
+                                       row_number() OVER (PARTITION BY k ORDER BY line_id) AS i FROM {document_batch}),
+                r AS (SELECT k, i, line_id, CASE WHEN bad THEN 1438 END AS e, if(bad, [], [ssylka_doc]) AS s,
+                             if(bad, [], [fk_document]) AS f FROM b WHERE i = 1
+                      UNION ALL
+                      SELECT b.k, b.i, b.line_id, CASE WHEN bad THEN 1438 WHEN taken THEN 1 END,
+                             if(bad OR taken, s, list_append(s, b.ssylka_doc)),
+                             if(bad OR taken, f, list_append(f, b.fk_document))
+                      FROM  (SELECT b.*, r.s, r.f, list_contains(r.s, b.ssylka_doc) OR list_contains(r.f, b.fk_document) AS taken
+                             FROM r JOIN b ON b.k = r.k AND b.i = r.i + 1) b)
+           SELECT if(e IS NULL, 'accepted', 'rejected') AS outcome, e AS error_number, CAST(line_id AS VARCHAR) AS line_id
+           FROM r""",
         "",
     ),
     "scan_table": ("SELECT * FROM {pension_agreements}", _TABLE_AGREEMENT_DATES),

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from pensio.operators.ordering import rank
 from pensio.operators.rows import with_ids
-from pensio.sources.snapshots import stage
+from pensio.sources.snapshots import stage, unstage
 
 # Public error numbers of the source database for each kind of rule.
 ERROR_NUMBERS = {
@@ -277,44 +277,57 @@ def _reject_repeats(judged: DataFrame, rule: Unique, order: list[str]) -> DataFr
 def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: list[str]) -> DataFrame:
     """The same for several unique keys, where a row rejected for one key leaves its other keys free.
 
-    In each round a row that is first among the undecided rows of all its keys is accepted, and the undecided
-    rows sharing a key with an accepted one are rejected. At least the first undecided row is decided, and every
-    row that precedes all its rivals, so a handful of rounds suffices unless keys form long chains. Each round is
-    written to the shared scratch folder, so a round neither recomputes the earlier ones nor is lost with an
-    executor.
+    Rows without a rival in any key are settled in one pass; the batch is written once, and only the places and keys
+    of the others go round. In each round a row that is first among the undecided rows of all its keys is accepted,
+    and those sharing a key with an accepted one are rejected. A round writes what it decided and what is left, and
+    removes the round before. Rows that follow each other in a chain of shared keys take a round for about every
+    second link, each over what is left only: first come, first served over several keys has no shorter plan known.
     """
-    place = rank(order)
-    open_ = F.col("_state") == "open"
-    state = judged.withColumn(
-        "_state", F.when(F.col("_error").isNotNull(), "out").otherwise("open")
-    )
-    while True:
-        frame = state
-        for i, rule in enumerate(rules):
-            first = (
-                state.where(open_ & _any_present(rule.columns))
-                .groupBy(_key(rule.columns).alias(f"_key{i}"))
-                .agg(F.min(place).alias(f"_first{i}"))
-            )
-            frame = frame.withColumn(f"_key{i}", _key(rule.columns)).join(first, f"_key{i}", "left")
+    keys = [f"_k{i}" for i in range(len(rules))]
+    bulk = judged.withColumn("_place", rank(order))
+    for name, rule in zip(keys, rules):
+        contending = F.col("_error").isNull() & _any_present(rule.columns)
+        bulk = bulk.withColumn(name, F.when(contending, _key(rule.columns)))
+    for i, name in enumerate(keys):
+        repeated = (
+            bulk.where(F.col(name).isNotNull()).groupBy(name).count().where("count > 1")
+            .select(F.col(name).alias("_r"), F.lit(True).alias(f"_rival{i}"))
+        )
+        bulk = bulk.join(repeated, F.col(name) == F.col("_r"), "left").drop("_r")
+    rivals = reduce(lambda a, b: a | b, [F.coalesce(f"_rival{i}", F.lit(False)) for i in range(len(rules))])
+    bulk = stage(bulk.withColumn("_open", rivals).drop(*[f"_rival{i}" for i in range(len(rules))]))
+
+    rest, hits = bulk.where("_open").select("_place", *keys), []
+    last = None
+    while not rest.isEmpty():
+        frame = rest
+        for i, name in enumerate(keys):
+            first = rest.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("_f")).agg(F.min("_place").alias(f"_first{i}"))
+            frame = frame.join(first, F.col(name) == F.col("_f"), "left").drop("_f")
         leads = reduce(
             lambda a, b: a & b,
-            [~_any_present(r.columns) | (place == F.col(f"_first{i}")) for i, r in enumerate(rules)],
+            [F.col(n).isNull() | (F.col("_place") == F.col(f"_first{i}")) for i, n in enumerate(keys)],
         )
-        frame = frame.withColumn("_state", F.when(open_ & leads, "in").otherwise(F.col("_state")))
+        led = stage(frame.select("_place", *keys, leads.alias("_in")))
         taken_by = F.lit(None).cast("string")
-        won = frame.where(F.col("_state") == "in")
-        for i, rule in reversed(list(enumerate(rules))):
-            held = (
-                won.where(_any_present(rule.columns))
-                .select(_key(rule.columns).alias(f"_held{i}"))
-                .distinct()
-                .withColumn(f"_hit{i}", F.lit(True))
-            )
-            frame = frame.join(held, frame[f"_key{i}"] == held[f"_held{i}"], "left")
+        judged_now = led.where("not _in")
+        for i, (name, rule) in reversed(list(enumerate(zip(keys, rules)))):
+            held = led.where(F.col("_in") & F.col(name).isNotNull()).select(F.col(name).alias("_h")).distinct()
+            held = held.withColumn(f"_hit{i}", F.lit(True))
+            judged_now = judged_now.join(held, F.col(name) == F.col("_h"), "left").drop("_h")
             taken_by = F.when(F.col(f"_hit{i}"), F.lit(rule.name)).otherwise(taken_by)
-        frame = frame.withColumn("_error", F.when(open_, taken_by).otherwise(F.col("_error")))
-        frame = frame.withColumn("_state", F.when(F.col("_error").isNotNull(), "out").otherwise(F.col("_state")))
-        state = stage(frame.select(*state.columns))
-        if state.where(open_).isEmpty():
-            return state.drop("_state")
+        judged_now = stage(judged_now.select("_place", *keys, taken_by.alias("_hit")))
+        hits.append(stage(judged_now.where("_hit is not null").select("_place", "_hit")))
+        unstage(led)
+        if last is not None:
+            unstage(last)
+        rest, last = judged_now.where("_hit is null").select("_place", *keys), judged_now
+    bulk = bulk.drop(*keys, "_open")
+    if not hits:
+        return bulk.drop("_place")
+    lost = reduce(DataFrame.unionByName, hits).select(F.col("_place").alias("_p"), "_hit")
+    return (
+        bulk.join(lost, F.col("_place") == F.col("_p"), "left")
+        .withColumn("_error", F.coalesce("_error", "_hit"))
+        .drop("_place", "_p", "_hit")
+    )

@@ -29,5 +29,9 @@ def stage(df: DataFrame) -> DataFrame:
     return publish(df, scratch_dir(df.sparkSession))
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def unstage(df: DataFrame) -> None:
+    """Removes the copy a staged DataFrame reads, once nothing reads it any more."""
+    jvm = df.sparkSession._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

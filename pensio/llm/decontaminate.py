@@ -30,6 +30,7 @@ SIMILARITY = 0.8
 ANSWER = 0.5
 SHARD_ITEMS = 2000
 BLOCK = 8
+COMMON = 0.03  # words in more than this share of the items are not essential
 K1, B = 1.2, 0.75
 _SENTENCE = re.compile(r"(?<=[.!?])\s+(?=\S)")
 
@@ -74,6 +75,12 @@ class Index:
         blocked[:n] = self.least
         self.block_least = blocked.reshape(-1, BLOCK).min(1) * (1 - 1e-5)
         self.least *= 1 - 1e-5
+        # Words of many items are not essential: an item's threshold less all of them is left to its rare words.
+        self.rare = np.append((self.impact > 0).sum(1) <= max(1, COMMON * n), False)
+        common = np.where(self.rare[:-1, None], 0, self.impact).sum(0)
+        left = np.full(self.blocks * BLOCK, np.inf)
+        left[:n] = self.least - common
+        self.block_left = left.reshape(-1, BLOCK).min(1) - 1e-3
         rows, h = words.sets(SHINGLE)
         self.shingles = [h[rows == i] for i in range(n)]
         halves = [split_item(t) for _, t in items]
@@ -91,6 +98,9 @@ class Index:
 
     def retrieve(self, terms: np.ndarray, allowed: np.ndarray) -> list[tuple[int, float]]:
         """Block-max WAND: items of the allowed blocks whose score over ``terms`` reaches their threshold."""
+        allowed = allowed & (self.bounds[terms].sum(0) >= self.block_least)
+        if not allowed.any():
+            return []
         lists = [(t, p) for t in terms for p in (self.postings[t][allowed[self.postings[t] // BLOCK]],) if len(p)]
         at = [0] * len(lists)
         out = []
@@ -115,6 +125,23 @@ class Index:
             for k in here:
                 at[k] += 1
 
+    def _bounds(self, words: Words, terms: np.ndarray, wanted: np.ndarray, row: np.ndarray, start: np.ndarray):
+        """For each passage and block, the sum of the block's greatest weights of the wanted words."""
+        sums = np.zeros((len(start), self.blocks), np.float32)
+        known = np.flatnonzero(wanted[terms])
+        if len(known):
+            group = np.searchsorted(start, known, "right") - 1
+            # Words of one half passage lie together.
+            firsts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            for a in range(0, len(firsts), 2048):
+                part = firsts[a : a + 2048]
+                end = firsts[a + 2048] if a + 2048 < len(firsts) else len(known)
+                sums[group[part]] = np.add.reduceat(self.bounds[terms[known[part[0] : end]]], part - part[0], 0)
+        both = sums.copy()
+        follows = row[1:] == row[:-1]
+        both[:-1][follows] += sums[1:][follows]
+        return both
+
     def search(self, words: Words):
         """(row, item, first word, score, overlap, question's, answer's) of the pairs that hold."""
         terms = np.searchsorted(self.terms, words.hash)
@@ -130,22 +157,15 @@ class Index:
         stop = np.minimum(start + half, words.first[row + 1])
         if not len(start):
             return []
-        known = np.flatnonzero(terms < len(self.terms))
-        sums = np.zeros((len(start), self.blocks), np.float32)
-        group = np.searchsorted(start, known, "right") - 1
-        if len(known):
-            # Rows of one half passage lie together.
-            firsts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-            for a in range(0, len(firsts), 2048):
-                part = firsts[a : a + 2048]
-                end = firsts[a + 2048] if a + 2048 < len(firsts) else len(known)
-                sums[group[part]] = np.add.reduceat(self.bounds[terms[known[part[0] : end]]], part - part[0], 0)
+        # Only rare words are looked at to begin with; where they alone cannot rule a block out, all words are.
+        open_ = self.block_left <= 0
+        both = self._bounds(words, terms, self.rare, row, start)
+        hopeful = (both >= self.block_left) & ((both > 0) | open_)
+        if open_.any():
+            whole = self._bounds(words, terms, np.append(np.ones(len(self.terms), bool), False), row, start)
+            hopeful &= whole >= self.block_least
         follows = np.concatenate([row[1:] == row[:-1], [False]])
-        both = sums.copy()
-        both[:-1][follows[:-1]] += sums[1:][follows[:-1]]
-        alone = ~follows & np.concatenate([[False], row[1:] == row[:-1]])  # the last half is part of the one before
-        both[alone] = 0
-        hopeful = (both >= self.block_least) & (both > 0)
+        hopeful[~follows & np.concatenate([[False], row[1:] == row[:-1]])] = False  # part of the passage before
         found = {}
         for g in np.flatnonzero(hopeful.any(1)):
             a, b = start[g], stop[g + 1] if follows[g] else stop[g]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pensio import schemas
-from pensio.operators import rows
+from pensio.operators import constraints, rows
 from pensio.operators.constraints import (
     REJECT_TABLES,
     Check,
@@ -21,6 +21,7 @@ from pensio.operators.constraints import (
     reject_schema,
     reject_table_name,
 )
+from pensio.session import scratch_dir
 from pensio.sources.snapshots import publish
 from pensio.sources.tables import empty_like, ensure_reject_table, read_table
 
@@ -100,6 +101,46 @@ def test_defaults_ids_and_tag_over_many_rows(spark):
     assert (got["amount"], got["direction"], got["creation_date"], got["paydays"]) == (0, 1, run_time, 0)
 
 
+@pytest.mark.parametrize("length", [2, 9])
+def test_only_rivals_go_round(spark, monkeypatch, length):
+    """The batch is written once; later copies hold the rows of the chain only."""
+    sizes = []
+
+    def counted(df):
+        out = publish(df, scratch_dir(df.sparkSession))
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(constraints, "stage", counted)
+    alone = [(i, 1000 + i, 5000 + i) for i in range(100)]
+    chain = [(200 + i, 2000 + i // 2, 6000 + (i + 1) // 2) for i in range(length)]
+    df = spark.createDataFrame(alone + chain, "o int, a int, b int")
+    accepted, rejected = append_with_rejects(df, [Unique(("a",)), Unique(("b",))], ["o"])
+    assert sorted(r["o"] for r in accepted.collect()) == [*range(100), *range(200, 200 + length, 2)]
+    assert rejected.count() == length // 2
+    assert [n for n in sizes if n >= 100] == [100 + length, 100 + length]  # before and after the rounds
+    assert all(n <= length for n in sizes if n < 100)
+
+
+def test_declared_widths_and_defaults(spark, table):
+    rows_ = table(
+        "transform_pa_assignments",
+        dict(date_op=D(2018, 1, 1), ssylka_doc=1, fk_pay_order=1, import_id="x" * 14),
+        dict(date_op=D(2018, 1, 1), ssylka_doc=2, fk_pay_order=1, import_id="x" * 15),
+        dict(date_op=D(2018, 1, 1), ssylka_doc=10**10, fk_pay_order=1, import_id="x"),
+    )
+    accepted, rejected = append_with_rejects(
+        rows_, schemas.rules("transform_pa_assignments"), ["ssylka_doc"],
+        defaults=schemas.defaults("transform_pa_assignments", dt.datetime(2018, 1, 1)),
+    )
+    assert [(r["ssylka_doc"], r["state"]) for r in accepted.collect()] == [(1, "N")]
+    assert sorted(r["error_number"] for r in rejected.collect()) == [1438, 12899]
+    for name, key in (("accounts_balance", "fk_account"), ("pay_order_filters", "id"),
+                      ("pension_agreement_periods", "fk_pension_agreement")):
+        found = check_constraints(table(name, {}), schemas.rules(name), [key])
+        assert f"{key} is null" in {r["rule"] for r in found.collect()}
+
+
 def test_violations_of_a_table(spark, batch):
     found = check_constraints(batch, RULES, ["o"])
     assert sorted((r["rule"], r["o"]) for r in found.collect()) == [

@@ -8,6 +8,7 @@ from conftest import DATA, spark_rows
 from pyspark.sql import functions as F
 
 from pensio.demo.catalog import DATE_OP, Plans
+from pensio.plans import agreements as agreements_plans
 from pensio.plans import repair, run
 
 D = dt.date
@@ -63,7 +64,42 @@ def test_prepared_run(plans, tmp_path):
     recent = got.addendums.where((F.col("creation_date") > F.lit(since)) & (F.col("serialno") > 0))
     assert {r["canceled"] for r in recent.collect() if r["fk_pension_agreement"] in paid} == {1}
     assert got.restrictions.count() == plans.pay_restrictions.count()
-    assert got.without_addenda.count() >= 0
+    assert {(r["state"], r["isarhv"]) for r in got.without_addenda.collect()} <= {(1, 0)}
+
+
+def test_control_sees_the_states_after_the_updates(table):
+    """A paid agreement that was inactive and has no addendum is listed as active."""
+    agreements = table("pension_agreements", dict(fk_contract=1, fk_base_contract=2, state=2, isarhv=1))
+    contracts = table(
+        "contracts",
+        dict(fk_document=1, fk_scheme=1, fk_cntr_type=6),
+        dict(fk_document=2, fk_scheme=1, fk_cntr_type=1),
+    )
+    before = agreements_plans.pension_agreements(agreements, contracts)
+    paid = before.select("fk_contract")
+    after = agreements_plans.pension_agreements(run.update_states(agreements, before, paid), contracts)
+    listed = run.agreements_without_addenda(paid, after, table("pension_agreement_addendums"))
+    assert [(r["fk_contract"], r["state"], r["isarhv"]) for r in listed.collect()] == [(1, 1, 0)]
+
+
+def test_capture_clears_filters_and_takes_the_result(table, spark):
+    orders = spark.createDataFrame([(5,), (6,), (5,)], "fk_document long")
+    filters = table("pay_order_filters", dict(id=1, fk_pay_order=5), dict(id=2, fk_pay_order=7))
+    accruals = table("assignments", dict(id=1, fk_doc_with_action=6), dict(id=2, fk_doc_with_action=8), dict(id=3))
+    left, result = run.capture_run(accruals, filters, orders)
+    assert [r["id"] for r in left.collect()] == [2] and [r["id"] for r in result.collect()] == [1]
+
+
+def test_purge_empties_children_first(plans):
+    tables = {n: getattr(plans, n) for n in ("pay_orders", "assignments", "debt_withholdings")}
+    purged = run.purge_runs(tables)
+    assert list(purged) == ["debt_withholdings", "assignments", "pay_orders"]
+    assert all(t.isEmpty() and t.schema == tables[n].schema for n, t in purged.items())
+
+
+def test_scans_of_a_run(spark, plans):
+    known = plans.new_order_documents[0]
+    assert known._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 2
 
 
 def test_pay_orders_are_kept_or_created(spark, table):

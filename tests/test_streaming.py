@@ -36,3 +36,30 @@ def test_batches_are_judged_against_earlier_ones_and_repeatable(spark, tmp_path)
     drain("cp")
     assert taken() == [1, 5]
     assert refused() == [("2", 1), ("3", 1400), ("4", 1)]
+
+
+def test_ids_and_keys_go_on_over_batches_and_checkpoints(spark, tmp_path):
+    source, target, rejects = (str(tmp_path / n) for n in ("in", "out", "err"))
+    schema = "o int, a int, id long"
+    rules = [NotNull("a"), Unique(("a",))]
+
+    def deliver(*rows):
+        spark.createDataFrame([(*r, None) for r in rows], schema).coalesce(1).write.mode("append").parquet(source)
+
+    def drain(checkpoint):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        query = append_stream(stream, target, rejects, str(tmp_path / checkpoint), rules, ["o"], ids="id", first_id=100)
+        query.trigger(availableNow=True).start().awaitTermination(120)
+
+    deliver((1, 1), (2, 1))
+    deliver((3, 2), (4, None))
+    deliver((5, 3))
+    drain("cp")
+    taken = lambda: sorted((r["o"], r["id"]) for r in spark.read.parquet(target).collect())
+    refused = lambda: sorted((r["o"], r["id"]) for r in spark.read.parquet(rejects).collect())
+    assert taken() == [(1, 100), (3, 102), (5, 104)]
+    assert refused() == [("2", "101"), ("4", "103")]
+    # A new checkpoint reads everything again: the target stays, and every key is taken.
+    drain("other")
+    assert taken() == [(1, 100), (3, 102), (5, 104)]
+    assert sorted(int(i) for _, i in refused()) == [101, 103, 105, 106, 107, 108, 109]

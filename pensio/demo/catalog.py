@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from pensio import schemas
 from pensio.demo.mapping import Model
-from pensio.functions.semantics import MONEY
+from pensio.functions.semantics import MONEY, text
 from pensio.operators.constraints import Check, ForeignKey, NotNull, append_with_rejects, check_constraints
 from pensio.operators.rows import (
     apply_corrections,
@@ -114,9 +114,9 @@ class Plans(Model):
     @cached_property
     def participants(self) -> DataFrame:
         # A table at the source too: every step of the preparation reads it.
-        return stage(
-            run.run_participants(self.v_payments, self.transform_contragents, self.v_agreements, DATE_OP)
-        )
+        # Payments of the one date are matched, not those of all years.
+        paid = contracts.payments_by_contract(self.vypl_pen.where(F.col("data_op") == F.lit(DATE_OP)), self.v_periods)
+        return stage(run.run_participants(paid, self.transform_contragents, self.v_agreements, DATE_OP))
 
     @cached_property
     def recorded_participants(self) -> DataFrame:
@@ -358,6 +358,11 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
         ("ssylka_fl", "data_arh"),
     ),
     # views
+    "contract_labels": lambda p: p.sp_pen_dog.select(
+        "ref_kodinsz",
+        text(F.upper(F.trim("fio")), F.lit("/"), F.substring("nom_dog", 2, 4), F.date_format("data_nach_vypl", "yyyyMMdd"))
+        .alias("label"),
+    ),
     "accounts_sspv": lambda p: agreements.accounts_sspv(p.accounts),
     "izmeneniya_pd": lambda p: registry.izmeneniya_pd(p.izmeneniya, p.izm_key_val, p.izm_spr_soderg),
     "registry_pay_orders": lambda p: registry.registry_pay_orders(p.reer_doc_ngpf),

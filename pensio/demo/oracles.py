@@ -347,6 +347,11 @@ ORACLES: dict[str, tuple[str, str]] = {
                               AND (a.data_arh IS NULL OR a.data_arh = CAST(e.data_arh AS TIMESTAMP)))""",
         f"{_SOURCE_CONTRACT_DATES} data_arh",
     ),
+    "contract_labels": (
+        """SELECT ref_kodinsz, concat(upper(trim(fio)), '/', substr(nom_dog, 2, 4), strftime(data_nach_vypl, '%Y%m%d')) AS label
+           FROM {sp_pen_dog}""",
+        "",
+    ),
     "accounts_sspv": (
         "SELECT fk_scheme, id, acct_number, title FROM {accounts} WHERE fk_acct_type = 4",
         "",

@@ -25,14 +25,8 @@ def _lookup(key: Column, table: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[key]
 
 
-def _follows(content: Column, first: str, then: str) -> Column:
-    """``then`` occurs after the first ``first``: what LIKE '%first%then%' asks, by substring search."""
-    return F.position(F.lit(then), content, F.instr(content, first) + len(first)) > 0
-
-
 def is_payment_closing(content: Column) -> Column:
-    closing = content.startswith("Закрыть") & _follows(content, "Закрыть", "ИПС")
-    return closing & content.contains("выпл") & _follows(content, "выпл", "пенс")
+    return content.like("Закрыть%ИПС%") & content.like("%выпл%пенс%")
 
 
 def operation_day(content: Column, document_date: Column) -> Column:
@@ -46,15 +40,13 @@ def operation_day(content: Column, document_date: Column) -> Column:
 
 
 def operation_month(content: Column, document_id: Column, document_date: Column) -> Column:
-    # The leftmost month name counts: position and month in one number, the smallest wins.
-    places = [
-        F.when(content.contains(name), F.instr(content, name) * 100 + month)
-        for month, name in enumerate(MONTH_NAMES, start=1)
-    ]
+    """The leftmost month name counts. A document without any month fails the query, as it does at the source."""
+    named = F.regexp_substr(content, F.lit("|".join(MONTH_NAMES)))
     return F.coalesce(
-        F.least(*places) % 100,
+        _lookup(named, {name: month for month, name in enumerate(MONTH_NAMES, start=1)}),
         _lookup(document_id.cast("int"), MONTH_OF_DOCUMENT),
         F.month(document_date),
+        F.raise_error(F.concat(F.lit("no month in document "), document_id.cast("string"))).cast("int"),
     )
 
 

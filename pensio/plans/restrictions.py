@@ -53,21 +53,18 @@ def sp_ogr_pv(current: DataFrame, archive: DataFrame, sp_lspv: DataFrame, invali
     def wanted(df):
         return df.where((F.col("kod_ogr_pv") < CODE_LIMIT) & (F.col("nom_vkl") != SKIPPED_CONTRIBUTOR))
 
-    inverted = F.col("kod_ogr_pv") == INVERTED_CODE
     disabled = (
         sp_lspv.where(F.col("status_pen") == DISABLED_STATUS)
         .select("ssylka_fl")
         .unionByName(invalid.select("ssylka_fl"))
+        .distinct()
+        .withColumn("_disabled", F.lit(True))
+    )
+    counts = (F.col("kod_ogr_pv") != INVERTED_CODE) | F.col("_disabled")
+    now = wanted(current).join(disabled, "ssylka_fl", "left").where(counts)
+    return now.select(F.lit(CURRENT).alias("source_table"), *_RESTRICTION).unionByName(
+        wanted(archive).select(F.lit(ARCHIVE).alias("source_table"), *_RESTRICTION)
     )
-    tagged = [
-        wanted(current).where(~inverted).select(F.lit(CURRENT).alias("source_table"), *_RESTRICTION),
-        wanted(current)
-        .where(inverted)
-        .join(disabled, "ssylka_fl", "left_semi")
-        .select(F.lit(CURRENT).alias("source_table"), *_RESTRICTION),
-        wanted(archive).select(F.lit(ARCHIVE).alias("source_table"), *_RESTRICTION),
-    ]
-    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
 def sp_ogr_pv_rev(restrictions: DataFrame) -> DataFrame:
@@ -77,26 +74,25 @@ def sp_ogr_pv_rev(restrictions: DataFrame) -> DataFrame:
     starts. Only these rows are brought together, and only as one row per participant and start day: a row that
     is not the last of its day is followed by another start on the same day.
     """
-    out = lambda start, end: [
-        "source_table", "nom_vkl", "nom_ips", "kod_ogr_pv", start.alias("nach_deistv"),
-        end.alias("okon_deistv"), "primech", "ssylka_fl", "kod_insz", "ssylka_td", "rid_td", "id",
-        F.col("nach_deistv").alias("real_nach_deistv"), F.col("okon_deistv").alias("real_okon_deistv"),
-    ]
     inverted = F.col("kod_ogr_pv") == INVERTED_CODE
-    plain = restrictions.where(~inverted).select(*out(F.col("nach_deistv"), F.col("okon_deistv")))
-    periods = restrictions.where(inverted)
-    start_day = F.struct("ssylka_fl", "nach_deistv")
     place = F.struct("id", "source_table")
     days = (
-        periods.groupBy(start_day.alias("_day"))
+        restrictions.where(inverted)
+        .groupBy("ssylka_fl", "nach_deistv")
         .agg(F.max(place).alias("_last"))
-        .select("_day", "_last", F.col("_day.ssylka_fl").alias("fl"), F.col("_day.nach_deistv").alias("d"))
+        .select(F.col("ssylka_fl").alias("_fl"), F.col("nach_deistv").alias("_d"), "_last")
     )
-    days = days.withColumn("_next", F.lead("d").over(Window.partitionBy("fl").orderBy(*asc("d"))))
-    gaps = periods.withColumn("_day", start_day).join(days.select("_day", "_last", "_next"), "_day")
+    days = days.withColumn("_next", F.lead("_d").over(Window.partitionBy("_fl").orderBy(*asc("_d"))))
+    # One pass over the restrictions: only an inverted one finds its day, the others keep their dates.
+    same = inverted & F.col("ssylka_fl").eqNullSafe(F.col("_fl")) & F.col("nach_deistv").eqNullSafe(F.col("_d"))
     following = F.when(place < F.col("_last"), F.col("nach_deistv")).otherwise(F.col("_next"))
-    gaps = gaps.select(*out(F.date_add("okon_deistv", 1), F.date_sub(following, 1)))
-    return plain.unionByName(gaps)
+    start = F.when(inverted, F.date_add("okon_deistv", 1)).otherwise(F.col("nach_deistv"))
+    end = F.when(inverted, F.date_sub(following, 1)).otherwise(F.col("okon_deistv"))
+    return restrictions.join(days, same, "left").select(
+        "source_table", "nom_vkl", "nom_ips", "kod_ogr_pv", start.alias("nach_deistv"),
+        end.alias("okon_deistv"), "primech", "ssylka_fl", "kod_insz", "ssylka_td", "rid_td", "id",
+        F.col("nach_deistv").alias("real_nach_deistv"), F.col("okon_deistv").alias("real_okon_deistv"),
+    )
 
 
 def restrictions_by_contract(

@@ -67,5 +67,54 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+_LINKED = """
+  SELECT {key}, {columns}, least({key}, coalesce((SELECT min(y) FROM reach WHERE x = {key}), {key})) AS component_id
+  FROM   {source}"""
+
+_REACH = """
+  reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y)"""
+
+#: All pairs that share a shingle, and reachability over the links: for small tables.
+_JACCARD = (
+    r"""
+WITH RECURSIVE
+  folded AS (SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') AS w FROM documents),
+  placed AS (SELECT doc_id, w, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [1]
+                                           ELSE range(1, len(w) - 1) END) AS i FROM folded),
+  shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g FROM placed),
+  size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+  shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+             FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+  link AS (SELECT x, y FROM shared JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+           WHERE 100 * o >= 90 * (a.n + b.n - o)),"""
+    + _REACH
+    + _LINKED.format(
+        key="doc_id",
+        columns="coalesce((SELECT n FROM size WHERE size.doc_id = d.doc_id), 0) AS n_shingles",
+        source="documents d",
+    )
+)
+
+_VECTORS = (
+    """
+WITH RECURSIVE
+  usable AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+             WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND   len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+           ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+           WHERE list_cosine_similarity(a.e, b.e) >= 0.93),"""
+    + _REACH
+    + """
+SELECT *, vec_id = component_id AS kept FROM ("""
+    + _LINKED.format(
+        key="vec_id", columns="(SELECT count(*) FROM link WHERE x = vec_id) AS n_links", source="embeddings"
+    )
+    + ")"
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_jaccard_join": _JACCARD, "op10_embedding_dedup": _VECTORS}

@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame, functions as F
 from pensio.llm.common import crc32, map_batches, stage
 
 SAMPLE_EACH = 3000  # labelled texts of each class, at most
-LANDMARKS = 48
+LANDMARKS = 96
 ORDER = 3  # letters of a subsequence
 DECAY = 0.6  # weight of each letter a subsequence spans
-NEAR = 0.35
+NEAR = 0.5
+POWER = 3  # of the kernel: a product of kernels, which tells close words from equal ones
 LONG = 32  # letters; longer words are read in overlapping parts
 
 _caches: dict[str, "Words"] = {}  # of the model last used by this worker
@@ -91,29 +92,13 @@ def common(words: list[str], landmarks: list[str]) -> np.ndarray:
     return np.bitwise_count(~v & full)
 
 
-def tokens(text: str) -> list[list[str]]:
-    """Sentences as lists of words of letters; runs of single letters are joined."""
-    out = []
-    for line in text.lower().split("\n"):
-        words, alone = [], []
-        for part in line.split():
-            word = part if part.isalpha() else "".join(filter(str.isalpha, part))
-            if len(word) == 1:
-                alone.append(word)
-            else:
-                if alone:
-                    words.append("".join(alone))
-                    alone = []
-                if word:
-                    words.append(word)
-            if part[-1] in ".!?" and words and not alone:
-                out.append(words)
-                words = []
-        if alone:
-            words.append("".join(alone))
-        if words:
-            out.append(words)
-    return out
+def letters(part: str) -> str:
+    return part if part.isalpha() else "".join(filter(str.isalpha, part))
+
+
+def split(text: str | None) -> list[str]:
+    """Lower-case parts between white space; a line end is a part that ends a sentence."""
+    return text.lower().replace("\n", " . ").split() if text else []
 
 
 def pieces(word: str) -> list[str]:
@@ -121,9 +106,14 @@ def pieces(word: str) -> list[str]:
 
 
 class Words:
-    """Nearness to the landmarks of words seen by this worker: a row number, 0 for words near none."""
+    """Nearness to the landmarks of parts seen by this worker.
+
+    Each part has a number; by number, ``row`` is its row in ``near`` (0: near none), ``stop`` whether it ends a
+    sentence, ``alone`` whether it is a single letter.
+    """
 
-    LIMIT = 400_000
+    LIMIT = 500_000
+    LIMIT_CHARS = 16_000_000
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
@@ -132,40 +122,75 @@ class Words:
     def reset(self):
         self.at: dict[str, int] = {}
         self.chars = 0
-        self.near = [np.zeros(len(self.landmarks))]
-
-    def learn(self, words: list[str]) -> None:
-        for w in words:
-            self.at[w] = 0
-            self.chars += len(w)
-        parts = [(w, p) for w in words if len(w) >= ORDER for p in pieces(w)]
-        parts.sort(key=lambda x: len(x[1]))
+        self.near = np.zeros((1, len(self.landmarks)))
+        self.row, self.stop, self.alone = np.zeros(0, np.int32), np.zeros(0, bool), np.zeros(0, bool)
+
+    def learn(self, parts: list[str]) -> None:
+        first = len(self.at)
+        self.at.update(zip(parts, range(first, first + len(parts))))
+        self.chars += sum(map(len, parts))
+        own = [letters(p) for p in parts]
+        words = list(dict.fromkeys(w for w in own if len(w) >= ORDER))
+        found = self.nearness(words)
+        rows = dict(zip(found, range(len(self.near), len(self.near) + len(found))))
+        self.near = np.vstack([self.near, *found.values()])
+        self.row = np.append(self.row, np.array([rows.get(w, 0) for w in own], np.int32))
+        self.stop = np.append(self.stop, np.array([p[-1] in ".!?" for p in parts], bool))
+        self.alone = np.append(self.alone, np.array([len(w) == 1 for w in own], bool))
+
+    def nearness(self, words: list[str]) -> dict[str, np.ndarray]:
+        """For each word near a landmark, its nearness to each."""
+        parts = sorted(((w, p) for w in words for p in pieces(w)), key=lambda x: len(x[1]))
         least = np.array([max(ORDER, -(-len(m) * 6 // 10)) for m in self.landmarks])
         found: dict[str, np.ndarray] = {}
         for k in range(0, len(parts), 8192):
             own = parts[k : k + 8192]
             i, j = np.nonzero(common([p for _, p in own], self.landmarks) >= least)
             values = similarity([own[x][1] for x in i], [self.landmarks[y] for y in j])
-            for x, y, value in zip(i.tolist(), j.tolist(), values.tolist()):
-                if value >= NEAR:
-                    row = found.setdefault(own[x][0], np.zeros(len(self.landmarks)))
-                    row[y] = max(row[y], value)
-        for w, row in found.items():
-            self.at[w] = len(self.near)
-            self.near.append(row)
-
-    def sentences(self, texts: list[str | None]) -> list[list[np.ndarray]]:
-        """Of each text, for each sentence with a word near a landmark, its greatest nearness to each."""
-        split = [tokens(t) if t else [] for t in texts]
-        if len(self.at) > self.LIMIT or self.chars > 16_000_000:
+            for n in np.flatnonzero(values >= NEAR):
+                row = found.setdefault(own[i[n]][0], np.zeros(len(self.landmarks)))
+                row[j[n]] = max(row[j[n]], values[n] ** POWER)
+        return found
+
+    def know(self, parts: list[list[str]]) -> None:
+        if len(self.at) > self.LIMIT or self.chars > self.LIMIT_CHARS:
             self.reset()
         at = self.at
-        self.learn(list({w for lines in split for line in lines for w in line if w not in at}))
-        out = []
-        for lines in split:
-            rows = ([r for r in map(at.__getitem__, line) if r] for line in lines)
-            out.append([np.max([self.near[r] for r in own], 0) for own in rows if own])
-        return out
+        self.learn(list(dict.fromkeys(p for own in parts for p in own if p not in at)))
+
+    def sentences(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Of each text, for each sentence with a word near a landmark, its greatest nearness to each."""
+        parts = [split(t) for t in texts]
+        self.know(parts)
+        spelled = [(k, joined) for k, own in enumerate(parts) for joined in [self.spelled(own)] if joined]
+        if spelled:
+            self.know([joined for _, joined in spelled])
+            if any(p not in self.at for own in parts for p in own[:1]):  # forgotten to make room
+                self.know(parts)
+        more = dict(spelled)
+        return [self._of(own, more.get(k, [])) for k, own in enumerate(parts)]
+
+    def spelled(self, parts: list[str]) -> list[str]:
+        """Words spelled letter by letter: runs of at least three single letters."""
+        if len(parts) < ORDER:
+            return []
+        alone = self.alone[np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts))]
+        if not (alone[:-2] & alone[1:-1] & alone[2:]).any():
+            return []
+        runs = "".join(letters(p) if a else " " for p, a in zip(parts, alone)).split()
+        return [r for r in runs if len(r) >= ORDER]
+
+    def _of(self, parts: list[str], spelled: list[str]) -> np.ndarray:
+        ids = np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts))
+        row = self.row[ids]
+        hits = np.flatnonzero(row)
+        sentence = np.cumsum(self.stop[ids])[hits] - self.stop[ids[hits]]
+        out = np.zeros((0, len(self.landmarks)))
+        if len(hits):
+            firsts = np.flatnonzero(np.concatenate([[True], sentence[1:] != sentence[:-1]]))
+            out = np.maximum.reduceat(self.near[row[hits]], firsts, 0)
+        extra = [self.near[r] for w in spelled for r in [self.row[self.at[w]]] if r]
+        return np.vstack([out, *extra]) if extra else out
 
 
 class Model:
@@ -179,10 +204,10 @@ class Model:
             _caches[self.key] = Words(self.landmarks)
         return _caches[self.key]
 
-    def score(self, sentences: list[np.ndarray]) -> float:
+    def score(self, sentences: np.ndarray) -> float:
         if not self.landmarks:
             return 0.0
-        best = max((float(s @ self.weights) for s in sentences), default=0.0)
+        best = float((sentences @ self.weights).max(initial=0.0))
         return float(1 / (1 + np.exp(-np.clip(self.slope * (max(best, 0.0) + self.bias) + self.shift, -50, 50))))
 
 
@@ -211,7 +236,7 @@ def choose_landmarks(scored: list[str], count: int = LANDMARKS) -> list[str]:
     for word in scored:
         if len(out) == count:
             break
-        if ORDER < len(word) <= LONG and (not out or similarity([word] * len(out), out).max() < 0.75):
+        if ORDER < len(word) <= LONG and (not out or similarity([word] * len(out), out).max() < 0.85):
             out.append(word)
     return out
 
@@ -220,7 +245,7 @@ def train(landmarks: list[str], rows: list[tuple[int, float, list[list[float]]]]
     """A machine on (label, weight of the text, sentences near a landmark)."""
     m = len(landmarks)
     gram = similarity([a for a in landmarks for _ in landmarks], landmarks * m).reshape(m, m)
-    gram[gram < NEAR] = 0
+    gram = np.where(gram < NEAR, 0, gram) ** POWER
     value, vector = np.linalg.eigh(gram)
     value = np.maximum(value, 1e-2)
     nystroem = vector @ np.diag(value**-0.5) @ vector.T
@@ -276,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
         def step(batch):
             found: dict[tuple[str, int], int] = {}
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                for w in {w for line in tokens(text or "") for w in line if ORDER < len(w) <= LONG}:
+                for w in {w for w in map(letters, split(text)) if ORDER < len(w) <= LONG}:
                     found[w, y] = found.get((w, y), 0) + 1
             return {"word": [w for w, _ in found], "y": [y for _, y in found], "n": list(found.values())}
 
@@ -299,7 +324,7 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
 
         def step(batch):
             texts, ys = batch.column("text").to_pylist(), batch.column("y").to_pylist()
-            return {"y": ys, "near": [[s.tolist() for s in lines] for lines in own.sentences(texts)]}
+            return {"y": ys, "near": [s.tolist() for s in own.sentences(texts)]}
 
         return step
 
@@ -315,7 +340,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
         def step(batch):
             texts = batch.column("text").to_pylist()
-            found = words.sentences(texts) if model.landmarks else [[]] * len(texts)
+            found = words.sentences(texts) if model.landmarks else [np.zeros((0, 0))] * len(texts)
             return {"doc_id": batch.column("doc_id"), "score": [model.score(s) for s in found]}
 
         return step

@@ -6,8 +6,8 @@ hash - two sets that link share a shingle among their first ones, the prefix. St
 1. One pass gives each text its set's size and hash and its prefix. Equal sets are one node, named by the smallest
    doc_id. Nodes with equal prefix and size form a group, which enters the join once.
 2. Prefix shingles of a single group are dropped. Within the others, each group meets the group in whose order the
-   shingle comes first; and the members of a group meet its first. What meets is verified on the texts, and links make
-   first components. So a cloud of near copies costs one pair per member and shingle.
+   shingle comes first; and the members of a group meet its first. What meets is filtered by counts of shingles
+   in 64 parts of the hash range, then verified on the texts, and links make first components. So a cloud of near copies costs one pair per member and shingle.
 3. Only nodes that share a shingle and are still apart can add a link. For each shingle, those outside its most
    frequent component meet all others of a different component that pass the size and position filters (group pairs
    expanded to members), and are verified.
@@ -29,6 +29,7 @@ from pensio.llm.common import Words, components, map_batches, mix, stage
 
 SHINGLE = 3
 PERCENT = 90
+CELLS = 64  # parts of the hash range that a set's shingles are counted in
 SAMPLE_DOCUMENTS = 20_000  # documents whose frequent shingles are put last
 FREQUENT = 3
 BROADCAST_ROWS = 1_000_000  # of a few bytes each; longer lists are joined by shuffle
@@ -69,7 +70,8 @@ def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, s, g, prefix): set size, set hash, group hash and the prefix in the common order."""
+    """(doc_id, n, s, g, prefix, sketch): set size, set hash, group hash, the prefix in the common order, and how
+    many shingles lie in each part of the hash range."""
     heavy, count = frequent(docs, size)
 
     def make():
@@ -80,6 +82,9 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
             np.cumsum(mix(h), out=sums[1:], dtype=np.uint64)
             ends = np.cumsum(n)
             s = mix(sums[ends] - sums[ends - n] + n.astype(np.uint64))
+            cells = np.bincount(rows * CELLS + (h >> np.uint64(58)).astype(np.int64), minlength=batch.num_rows * CELLS)
+            cells = cells.astype("<u4").reshape(-1, CELLS)
+            sketch = [c.tobytes() for c in cells]
             rank = np.zeros(len(h), np.int64)
             if len(heavy):
                 at = np.minimum(np.searchsorted(heavy, h), len(heavy) - 1)
@@ -96,11 +101,46 @@ def prefixes(docs: DataFrame, size: int, percent: int) -> DataFrame:
             g = mix(sums[ends] - sums[ends - sizes] + n.astype(np.uint64))
             offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
             prefix = pa.ListArray.from_arrays(offsets, pa.array(h.view(np.int64)))
-            return {"doc_id": batch.column("doc_id"), "n": n, "s": s, "g": g, "prefix": prefix}
+            return {"doc_id": batch.column("doc_id"), "n": n, "s": s, "g": g, "prefix": prefix, "sketch": sketch}
 
         return step
 
-    return map_batches(docs.select("doc_id", "text"), "doc_id long, n long, s long, g long, prefix array<long>", make)
+    return map_batches(docs.select("doc_id", "text"), "doc_id long, n long, s long, g long, prefix array<long>, sketch binary", make)
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b) that may link: each set's shingles are counted in ``CELLS`` parts of the hash range, and two
+    sets share no more in a part than the smaller count. Unrelated sets fall far short, so no text is moved for them."""
+    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
+    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+
+    def make():
+        def step(batch):
+            one, two = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, CELLS).astype(np.int64)
+                for c in ("sketch_a", "sketch_b")
+            )
+            most = np.minimum(one, two).sum(1)
+            keep = pa.array(np.flatnonzero(most * (100 + percent) >= (one.sum(1) + two.sum(1)) * percent))
+            return {c: batch.column(c).take(keep) for c in ("a", "b")}
+
+        return step
+
+    joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "sketch_a", "sketch_b")
+    return map_batches(joined, "a long, b long", make)
+
+
+def verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``pairs`` (a, b) that link."""
+    pairs = stage(likely(pairs, sketches, percent))
+    nodes = stage(pairs.select(F.col("a").alias("w_node")).union(pairs.select("b")).distinct())
+    texts = stage(
+        docs.select(F.col("doc_id").alias("node"), "text")
+        .join(small(nodes), F.col("node") == F.col("w_node"))
+        .dropDuplicates(["node"])
+        .select("node", "text")
+    )
+    return verify(pairs, texts, size).where(linked(percent)).select("a", "b")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -160,11 +200,11 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     groups = stage(groups.join(bucket.select("g").distinct().withColumn("met", F.lit(True)), "g", "left")
                    .where("members > 1 or met"))
     members = stage(nodes.join(groups, "g").select("g", "first", "node", "n"))
-    texts = stage(
-        docs.select("doc_id", "text")
-        .join(small(members.select(F.col("node").alias("doc_id")).distinct()), "doc_id")
-        .dropDuplicates(["doc_id"])
-        .select(F.col("doc_id").alias("node"), "text")
+    sketches = stage(
+        sets.select(F.col("doc_id").alias("node"), "sketch")
+        .join(small(members.select(F.col("node").alias("w_node")).distinct()), F.col("node") == F.col("w_node"))
+        .dropDuplicates(["node"])
+        .select("node", "sketch")
     )
     # First meetings: the group in which a shingle comes first, for sets of about one size.
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).alias("band")
@@ -187,10 +227,10 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     pairs = stage(
         between.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).unionByName(within).distinct()
     )
-    links = stage(verify(pairs, texts, size).where(linked(percent)).select("a", "b"))
+    links = stage(verified(pairs, sketches, docs, size, percent))
     parts = stage(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-    more = stage(verify(stage(_apart(bucket, members, parts, percent).join(pairs, ["a", "b"], "left_anti")), texts, size)
-                 .where(linked(percent)).select("a", "b"))
+    apart = _apart(bucket, members, parts, percent).join(pairs, ["a", "b"], "left_anti")
+    more = stage(verified(apart, sketches, docs, size, percent))
     both = links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst"))
     whole = parts if more.isEmpty() else components(both)
     of = nodes.select("s", "node").join(whole, "node", "left").select("s", F.coalesce("component_id", "node").alias("c"))

@@ -26,6 +26,7 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 4000  # documents the trees learn from, at most
 SAMPLE_CANDIDATES = 20_000
 PRECISION = 0.995
+SURE = 20  # examples a kind needs
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -177,52 +178,63 @@ def examples(text: str) -> list[tuple[int, list[float]]]:
 
 
 class Model:
-    """Trees and one threshold a kind; a threshold above 1 adds nothing."""
+    """Trees and a threshold for each kind; a threshold above 1 adds nothing.
+
+    A kind without a single counter-example among at least ``SURE`` examples needs no trees: all its candidates are
+    as good as those seen.
+    """
 
     def __init__(self, labels: np.ndarray, rows: np.ndarray, precision: float = PRECISION):
-        self.trees, self.thresholds = None, dict.fromkeys(KINDS, 2.0)
-        if len(labels) < 20 or labels.min() == labels.max():
-            return
-        held = np.arange(len(labels)) % 3 == 0
-        if labels[~held].min() == labels[~held].max():
-            return
-        self.trees = Trees(rows[~held], labels[~held])
-        p = self.trees.probability(rows[held])
+        self.trees: dict[str, Trees | None] = {}
+        self.thresholds: dict[str, float] = {}
         for i, kind in enumerate(KINDS):
-            own = rows[held][:, 0] == i
-            q, y = p[own], labels[held][own]
-            order = np.argsort(-q, kind="stable")
-            right = np.cumsum(y[order]) / np.arange(1, len(y) + 1) if len(y) else np.zeros(0)
-            last = np.ones(len(y), bool)  # a threshold takes all candidates of one score
-            last[:-1] = q[order][1:] != q[order][:-1]
-            good = np.flatnonzero((right >= precision) & last & (q[order] >= 0.5))
-            if len(good) and y.sum() >= 5:
-                # Half way down to the next candidate, or to even odds where there is none.
-                after = q[order][good[-1] + 1] if good[-1] + 1 < len(y) else 0.5
-                self.thresholds[kind] = max(0.5, float(q[order][good[-1]] + after) / 2 if after > 0.5 else 0.5)
+            own = rows[:, 0] == i
+            x, y = rows[own], labels[own]
+            held = np.arange(len(y)) % 3 == 0
+            self.trees[kind], self.thresholds[kind] = None, 2.0
+            if len(y) >= SURE and y.all():
+                self.thresholds[kind] = 0.5
+            elif len(y) >= SURE and y[held].any() and y[~held].any() and not y[~held].all():
+                self.trees[kind] = Trees(x[~held], y[~held])
+                self.thresholds[kind] = _threshold(self.trees[kind].probability(x[held]), y[held], precision)
+
+    def score(self, kind: str, span: str, left: str, right: str) -> float:
+        trees = self.trees[kind]
+        return 1.0 if trees is None else float(trees.probability([features(kind, span, left, right)])[0])
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
-        if self.trees is None:
-            return []
-        free = [c for c in candidates(text) if not any(c[1] < d and a < c[2] for _, a, d in base)]
-        if not free:
-            return []
-        p = self.trees.probability([features(k, *_around(text, a, b)) for k, a, b in free])
+        free = [
+            c for c in candidates(text)
+            if self.thresholds[c[0]] <= 1 and not any(c[1] < d and a < c[2] for _, a, d in base)
+        ]
+        scored = sorted(((-self.score(k, *_around(text, a, b)), a, k, b) for k, a, b in free))
         out: list[Span] = []
-        for i in np.argsort(-p, kind="stable"):
-            kind, a, b = free[i]
-            if p[i] >= self.thresholds[kind] and not any(a < d and c < b for _, c, d in out):
-                out.append(free[i])
+        for p, a, kind, b in scored:
+            if -p >= self.thresholds[kind] and not any(a < d and c < b for _, c, d in out):
+                out.append((kind, a, b))
         return out
 
 
+def _threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
+    """The lowest score from which on candidates have the wanted precision, half way down to the next candidate."""
+    order = np.argsort(-p, kind="stable")
+    p, y = p[order], y[order]
+    right = np.cumsum(y) / np.arange(1, len(y) + 1)
+    last = np.append(p[1:] != p[:-1], True)  # a threshold takes all candidates of one score
+    good = np.flatnonzero((right >= precision) & last & (p >= 0.5))
+    if not len(good):
+        return 2.0
+    after = p[good[-1] + 1] if good[-1] + 1 < len(p) else 0.0
+    return max(0.5, float(p[good[-1]] + after) / 2)
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
     """A model from the ``sample`` documents whose doc_ids hash lowest. Documents without doc_id are not sampled."""
     order = F.xxhash64("doc_id")
     lowest = docs.where("doc_id is not null").select(order.alias("h")).distinct().orderBy("h").limit(sample)
     bound = lowest.agg(F.max("h")).first()[0]
     if bound is None:
-        return Model(np.zeros(0), np.zeros((0, 1)))
+        return Model(np.zeros(0), np.zeros((0, len(KINDS))))
 
     def make():
         def step(batch):
@@ -236,7 +248,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
     found = map_batches(chosen, "label int, row array<double>", make)
     rows = found.orderBy(F.xxhash64("row"), "row", "label").limit(SAMPLE_CANDIDATES).collect()
     labels = np.array([r.label for r in rows], float)
-    return Model(labels, np.array([r.row for r in rows], float).reshape(len(rows), -1))
+    return Model(labels, np.array([r.row for r in rows], float).reshape(len(rows), -1) if rows else np.zeros((0, 1)))
 
 
 def find(docs: DataFrame, model: Model) -> DataFrame:

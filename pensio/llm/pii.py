@@ -162,8 +162,17 @@ def _looser(kind: str, span: str) -> list[str]:
     return [span.lstrip("+"), f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}"]
 
 
+def plain(kind: str, span: str) -> str:
+    """The usual spelling of a candidate."""
+    if kind == "email":
+        return re.sub(r"[\[(]dot[\])]", ".", re.sub(r"[\[(]at[\])]", "@", span)).replace(" ", "")
+    if kind == "ip":
+        return span.replace("[", "").replace("]", "").replace(" ", "")
+    return re.sub(r"[^0-9]", "", span)
+
+
 def examples(text: str) -> list[tuple[int, list[float]]]:
-    """Labelled candidates of one text: base spans in looser spellings, and candidates that touch no base span."""
+    """Labelled candidates of one text: base spans in looser spellings, and other candidates that touch none."""
     base = base_spans(text)
     out = []
     for kind, a, b in base:
@@ -172,7 +181,9 @@ def examples(text: str) -> list[tuple[int, list[float]]]:
             if _LOOSE[kind].fullmatch(other):
                 out.append((1, features(kind, other, left, right)))
     for kind, a, b in candidates(text):
-        if not any(a < d and c < b for _, c, d in base):
+        usual = plain(kind, text[a:b])
+        # What meets the base rule once it is spelled as usual speaks neither for nor against.
+        if not any(a < d and c < b for _, c, d in base) and (kind, 0, len(usual)) not in base_spans(usual):
             out.append((0, features(kind, *_around(text, a, b))))
     return out
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pensio.llm import decontaminate, jaccard, packing, pii, quality
-from pensio.llm.common import documents, stage, table
+from pensio.llm.common import documents, small, stage, table
 
 #: Tokenizing, boosted trees and importance weights are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -23,7 +23,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     judged = quality.resample(docs, table(spark, sf_dir, "labels"))
     gone = stage(judged.where(~F.col("selected")).select(F.col("doc_id").alias("_gone_")).distinct())
-    return docs.where("doc_id is not null").join(jaccard.small(gone), F.col("doc_id") == F.col("_gone_"), "left_anti")
+    return docs.where("doc_id is not null").join(small(gone), F.col("doc_id") == F.col("_gone_"), "left_anti")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

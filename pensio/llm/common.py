@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+BROADCAST_ROWS = 1_000_000
 CHUNK_BYTES = 4 << 20  # text bytes that one vectorised step works on; a longer document is a step of its own
 
 
@@ -33,6 +34,12 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A written table of a few bytes a row, marked for broadcast where its row count allows it; else it is joined by
+    shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def crc32(c: str) -> Column:
     """crc32 of a number as text."""
     return F.crc32(F.col(c).cast("string").cast("binary"))

@@ -25,20 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pensio.llm.common import Words, components, map_batches, mix, stage
+from pensio.llm.common import Words, components, map_batches, mix, small, stage
 
 SHINGLE = 3
 PERCENT = 90
 CELLS = 64  # parts of the hash range that a set's shingles are counted in
 SAMPLE_DOCUMENTS = 20_000  # documents whose frequent shingles are put last
 FREQUENT = 3
-BROADCAST_ROWS = 1_000_000  # of a few bytes each; longer lists are joined by shuffle
-
-
-def small(df: DataFrame) -> DataFrame:
-    """A written table marked for broadcast where its row count allows it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
 
 def prefix_size(n, percent: int):
     """Shingles of a set of ``n`` that a link with any set must share one of."""

@@ -21,8 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pensio.llm.common import Words, characters, components, map_batches, mix, stage
-from pensio.llm.jaccard import small, verify
+from pensio.llm.common import Words, characters, components, map_batches, mix, small, stage
+from pensio.llm.jaccard import verify
 
 SHINGLE = 5
 SIMILARITY = 0.8

@@ -82,6 +82,8 @@ def test_no_job_runs_while_a_window_is_built(spark, folder):
     from pensio.demo.catalog import Plans
 
     plans = Plans(spark, folder)
+    for table in ("sp_pen_dog", "sp_pen_dog_arh", "sp_lspv", "contract_exclusions", "pension_agreement_addendums"):
+        getattr(plans, table)  # opening a file looks at its schema
     spark.sparkContext.setJobGroup("build", "build")
     try:
         for view in (plans.v_contracts, plans.v_segments):

@@ -23,7 +23,7 @@ from pensio.operators.constraints import (
 )
 from pensio.session import scratch_dir
 from pensio.sources.snapshots import publish
-from pensio.sources.tables import empty_like, ensure_reject_table, read_table
+from pensio.sources.tables import empty_like, ensure_reject_table, ensure_reject_tables, read_table
 
 D = dt.date
 RULES = [NotNull("a"), Digits("a", 2), Check("b over 0", "b > 0"), Unique(("a", "c"))]
@@ -187,6 +187,15 @@ def test_reject_tables(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_all_reject_tables(spark, tmp_path):
+    paths = ensure_reject_tables(spark, str(tmp_path), {"pay_decisions": schemas.schema("debt_withholdings")})
+    assert len(set(paths)) == len(REJECT_TABLES) == 12
+    columns = {p.rsplit("/", 1)[1]: spark.read.parquet(p).columns for p in paths}
+    assert columns["ERR$_IMP_PAY_DECISIONS"][-1] == "fk_debt_assignment"
+    assert columns["ERR$_IMP_PAY_PORTFOLIOS"] == ["error_number", "error_message", "error_operation", "error_tag"]
+    assert columns["ERR$_IMP_ASSIGNMENTS"] == columns["ERR$_ASSIGNMENTS"]
+
+
 def test_update_and_delete_keep_unknown_rows(spark):
     df = spark.createDataFrame([(1, 1), (2, None), (3, 3), (None, 4)], "k int, v int")
     keys = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")

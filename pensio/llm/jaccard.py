@@ -30,8 +30,9 @@ from pensio.llm.common import Words, components, map_batches, mix, small, stage
 SHINGLE = 3
 PERCENT = 90
 CELLS = 64  # parts of the hash range that a set's shingles are counted in
-SAMPLE_DOCUMENTS = 20_000  # documents whose frequent shingles are put last
-FREQUENT = 3
+SAMPLE_SHARE = 8  # one document in so many is looked at for frequent shingles, which are put last
+FREQUENT = 2
+LISTED = 1_000_000  # frequent shingles that are sent to the tasks, at most
 
 def prefix_size(n, percent: int):
     """Shingles of a set of ``n`` that a link with any set must share one of."""
@@ -39,12 +40,11 @@ def prefix_size(n, percent: int):
 
 
 def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in at least ``FREQUENT`` documents of a bounded sample, sorted, and their counts."""
-    order = F.xxhash64("doc_id")
-    lowest = docs.select(order.alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCUMENTS)
-    bound = lowest.agg(F.max("h")).first()[0]
-    if bound is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """Shingles in at least ``FREQUENT`` documents of the sample, sorted, and their counts.
+
+    The sample is a fixed share of the documents, so what counts as frequent does not change with their number. Where
+    more than ``LISTED`` shingles are, the rarest of them are left out.
+    """
 
     def make():
         def step(batch):
@@ -53,10 +53,19 @@ def frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
         return step
 
-    rows = (
-        map_batches(docs.where(order <= bound).select("text"), "h long, n long", make)
-        .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT).toArrow()
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_SHARE)) == 0).select("text")
+    counted = stage(
+        map_batches(sample, "h long, n long", make).groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
     )
+    # As many rows as there are different counts.
+    tally = sorted(((r.n, r.rows) for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
+    least, listed = FREQUENT, 0
+    for n, rows in tally:
+        listed += rows
+        if listed > LISTED:
+            least = n + 1
+            break
+    rows = counted.where(F.col("n") >= least).toArrow()
     h = rows.column("h").to_numpy().astype(np.int64).view(np.uint64)
     at = np.argsort(h)
     return h[at], rows.column("n").to_numpy().astype(np.int64)[at]

@@ -10,7 +10,8 @@ hash - two sets that link share a shingle among their first ones, the prefix. St
    in 64 parts of the hash range, then verified on the texts, and links make first components. So a cloud of near copies costs one pair per member and shingle.
 3. Only nodes that share a shingle and are still apart can add a link. For each shingle, those outside its most
    frequent component meet all others of a different component that pass the size and position filters (group pairs
-   expanded to members), and are verified.
+   expanded to members), and are verified. The members of one group share their whole prefix, also where no other
+   group has its shingles: the group itself stands for a shingle at place 0.
 
 Step 3 is complete: a pair left out is equal, already connected, or cannot reach the threshold. The sample only sets
 the order, which never changes the result. Sets are told apart by 64-bit hashes of shingles and sets.
@@ -231,7 +232,10 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
     )
     links = stage(verified(pairs, sketches, docs, size, percent))
     parts = stage(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-    apart = _apart(bucket, members, parts, percent).join(pairs, ["a", "b"], "left_anti")
+    # Different sets of one size n share n - 1 of n + 1 shingles at most.
+    inner = members.where((F.col("node") != F.col("first")) & ((F.col("n") - 1) * 100 >= (F.col("n") + 1) * percent))
+    inner = inner.select(F.col("g").alias("token"), "g", F.lit(0).alias("pos")).distinct()
+    apart = _apart(bucket.select("token", "g", "pos").unionByName(inner), members, parts, percent).join(pairs, ["a", "b"], "left_anti")
     more = stage(verified(apart, sketches, docs, size, percent))
     both = links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst"))
     whole = parts if more.isEmpty() else components(both)

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pensio.llm import decontaminate, jaccard, neighbours, substring
@@ -41,6 +42,34 @@ def test_links_and_components_are_those_of_all_pairs(docs, size, percent):
     assert left == set(wanted.values())
 
 
+def test_links_within_a_prefix_group_need_not_pass_its_first_member(docs):
+    """Texts of one prefix and size: the first links with none, the other two with each other."""
+
+    def look(text):
+        h = np.sort(jaccard.Words(pa.array([text])).sets(3)[1])
+        return len(h), h[: jaccard.prefix_size(len(h), 90)].tolist(), set(h.tolist())
+
+    def linked(x, y):
+        return 100 * len(x[2] & y[2]) >= 90 * len(x[2] | y[2])
+
+    rows, wanted = [], {}
+    for seed in range(60):
+        words, r = prose(5000 + seed, 100).split(" "), random.Random(seed)
+        b, c = " ".join(words), " ".join([*words[:-1], "near"])
+        for _ in range(20):
+            cut = r.sample(range(1, 99), 2)
+            a = " ".join("far" if i in cut else w for i, w in enumerate(words))
+            x, y, z = map(look, (a, b, c))
+            if x[:2] == y[:2] == z[:2] and linked(y, z) and not linked(x, y) and not linked(x, z):
+                i = 3 * len(rows)
+                rows += [(i, a), (i + 1, b), (i + 2, c)]
+                wanted |= {i: i, i + 1: i + 1, i + 2: i + 1}
+                break
+    assert len(rows) > 30
+    got = {r.doc_id: r.component_id for r in jaccard.similar(docs(*rows)).collect()}
+    assert got == wanted
+
+
 def test_odd_rows_of_the_join(odd, none):
     got = Counter((r.doc_id, r.component_id) for r in jaccard.similar(odd).collect())
     assert got[1, 1] == 2 and got[2, 1] == 1 and got[3, 3] == 1 and got[None, None] == 1

@@ -5,10 +5,13 @@ first words than one of the starts next to it. So the cuts follow the text itsel
 wherever it stands, also in the middle of a line. Paragraphs of at least ``MIN_WORDS`` words get MinHash values over
 their five-word shingles, combined into bands; ``bands`` finds the fewest bands that reach a recall at the threshold.
 
-Paragraphs with a band in common meet: within a batch of texts those with equal bands meet the first of them and only
-that one is shuffled, then the same over all batches in band order. So an endlessly repeated paragraph is a few rows
-per task. Pairs with equal sets are right; the others are verified by exact Jaccard. Components of paragraphs are the
-clusters: the first paragraph (lowest doc_id, then place) is kept, the others are removals.
+Paragraphs with a band in common meet: within a batch of texts equal sets are one, those with equal bands meet the
+first of them and only that one is shuffled, then the same over all batches in band order. So an endlessly repeated
+paragraph is a few rows per task. Pairs with equal sets are right; the others are verified by exact Jaccard, and links
+make first components. Paragraphs of one band that are still in different components then meet each other: for each
+band, those outside its most frequent component meet all of another one, and are verified. So whatever shares a band
+is found, however rows are batched. Components of paragraphs are the clusters: the first paragraph (lowest doc_id,
+then place) is kept, the others are removals.
 
 Only runs of clustered paragraphs with at least ``MIN_RUN`` words are reported, so a short common line is no finding.
 A document is known by doc_id (below 2**42) and holds fewer than 2**20 paragraphs; rows without doc_id take no part.
@@ -70,8 +73,10 @@ class Paragraphs:
         at = np.flatnonzero(begin)
         if len(at):
             pad = np.concatenate([words.hash, np.zeros(3, np.uint64)])
-            h = mix(pad[at] + mix(pad[at + 1] + mix(pad[at + 2])))
             row = words.row[at]
+            stop = words.first[row + 1]  # words of the next text do not count
+            one, two = (np.where(at + k < stop, pad[at + k], np.uint64(0)) for k in (1, 2))
+            h = mix(pad[at] + mix(one + mix(two)))
             edge = np.concatenate([[True], row[1:] != row[:-1]])
             last = np.concatenate([row[1:] != row[:-1], [True]])
             cut = edge.copy()
@@ -119,7 +124,9 @@ def band_keys(row: np.ndarray, h: np.ndarray, count: int, shape: tuple[int, int]
 
 
 def meetings(docs: DataFrame, shape: tuple[int, int]) -> DataFrame:
-    """(a, b, same): paragraphs a that share a band with paragraph b; ``same`` if their sets are equal."""
+    """(band, a, b, s, t, n, m): paragraphs a that share a band with paragraph b, the hashes of their sets and their
+    sizes. Every set of a band with several sets is in one of its rows. Band is 0 where the sets are equal."""
+    columns = ("pair", "key", "id", "s", "n", "band", "id2", "t", "m")
 
     def make():
         def step(batch):
@@ -129,49 +136,113 @@ def meetings(docs: DataFrame, shape: tuple[int, int]) -> DataFrame:
             row, h = own.sets()
             count = len(own.row)
             starts = np.searchsorted(row, np.arange(count))
+            n = np.bincount(row, minlength=count)
             whole = mix(np.add.reduceat(mix(h), starts))
             pid = ids(batch.column("doc_id"), own)
-            out = {"pair": [], "key": [], "id": [], "s": [], "id2": []}
-            for keys in band_keys(row, h, count, shape).T:
+            none = np.zeros(count, np.uint64)
+            out = []
+
+            def add(pair, key, at, band, to):
+                out.append((np.full(len(at), pair), key, pid[at], whole[at], n[at], band, pid[to], whole[to], n[to]))
+
+            _, at, back = np.unique(whole, return_index=True, return_inverse=True)
+            rest = np.flatnonzero(at[back] != np.arange(count))
+            add(True, mix(pid[rest].astype(np.uint64)), rest, none[rest], at[back][rest])
+            sets = at  # one paragraph of each set
+            for keys in band_keys(row, h, count, shape)[sets].T:
                 _, at, back = np.unique(keys, return_index=True, return_inverse=True)
-                rest = np.flatnonzero(at[back] != np.arange(count))
-                head = at[back][rest]
-                same = whole[rest] == whole[head]
-                out["pair"] += [np.zeros(len(at), bool), np.ones(len(rest), bool)]
-                out["key"] += [keys[at], mix(pid[rest].astype(np.uint64))]
-                out["id"] += [pid[at], pid[rest]]
-                out["s"] += [whole[at], same.astype(np.uint64)]
-                out["id2"] += [pid[at], pid[head]]
-            return {k: np.concatenate(v) for k, v in out.items()}
+                rest = np.flatnonzero(at[back] != np.arange(len(sets)))
+                add(False, keys[at], sets[at], none[at], sets[at])
+                add(True, mix(pid[sets[rest]].astype(np.uint64)), sets[rest], keys[rest], sets[at[back][rest]])
+            return dict(zip(columns, map(np.concatenate, zip(*out))))
 
         return step
 
-    rows = map_batches(docs, "pair boolean, key long, id long, s long, id2 long", make)
+    rows = map_batches(
+        docs, "pair boolean, key long, id long, s long, n long, band long, id2 long, t long, m long", make
+    )
     # All rows of a key lie together in one task, in order, and are read as a stream.
     rows = rows.repartition("key").sortWithinPartitions("key", "id")
 
     def meet():
-        last = None  # key, id and set of the first paragraph of the key read last
+        last = None  # key, id, set and size of the first paragraph of the key read last
 
         def step(batch):
             nonlocal last
-            pair, key, own, s, id2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names)
-            out = [(own[pair], id2[pair], s[pair] != 0)]
-            key, own, s = key[~pair], own[~pair], s[~pair]
+            c = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in batch.schema.names}
+            pair = c["pair"]
+            out = [tuple(c[x][pair] for x in ("band", "id", "id2", "s", "t", "n", "m"))]
+            key, own, s, n = (c[x][~pair] for x in ("key", "id", "s", "n"))
             if len(key):
                 new = np.concatenate([[last is None or key[0] != last[0]], key[1:] != key[:-1]])
                 at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-                head, whole = own[at], s[at]
+                head, t, m = own[at], s[at], n[at]
                 if at[0] < 0:
-                    head, whole = np.where(at < 0, last[1], head), np.where(at < 0, last[2], whole)
-                out.append((own[~new], head[~new], (s == whole)[~new]))
-                last = (key[-1], head[-1], whole[-1])
-            return {n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("a", "b", "same"))}
+                    head, t, m = (np.where(at < 0, last[i], x) for i, x in ((1, head), (2, t), (3, m)))
+                band = np.where(s == t, 0, key)
+                out.append(tuple(x[~new] for x in (band, own, head, s, t, n, m)))
+                last = (key[-1], head[-1], t[-1], m[-1])
+            return dict(zip(("band", "a", "b", "s", "t", "n", "m"), map(np.concatenate, zip(*out))))
 
         return step
 
-    met = map_batches(rows, "a long, b long, same boolean", meet).where("a <> b")
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "same").distinct()
+    met = map_batches(rows, "band long, a long, b long, s long, t long, n long, m long", meet)
+    return met.where("a <> b").distinct()
+
+
+def _ordered(x: str, y: str) -> list:
+    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+
+
+def _apart(sets: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of paragraphs that share a band, are in different components, and can link by their sizes."""
+    rows = stage(
+        sets.join(parts, "node", "left")
+        .withColumn("c", F.coalesce("component_id", "node"))
+        .groupBy("band", "s", "c").agg(F.min("node").alias("node"), F.min("n").alias("n"))
+    )
+    counts = rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("k"))
+    major = stage(
+        counts.groupBy("band").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1").select("band", F.col("m.c").alias("major"))
+    )
+    mixed = stage(rows.join(small(major), "band"))
+    x, y = mixed.where("c <> major").alias("x"), mixed.alias("y")
+    can = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * similarity
+    return x.join(y, "band").where((F.col("x.c") != F.col("y.c")) & can).select(*_ordered("x.node", "y.node")).distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
+    """``pairs`` (a, b) of paragraphs that link."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = stage(paragraph_texts(docs, nodes))
+    return verify(pairs, texts, SHINGLE).where(F.col("both") >= F.col("any") * similarity).select("a", "b")
+
+
+def clusters_of(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """(node, component_id) of the paragraphs of ``docs`` (doc_id, text) that link with another one."""
+    met = stage(meetings(docs, bands(similarity, recall)))
+    different = met.where("band <> 0")
+    sets = stage(
+        different.select("band", F.col("a").alias("node"), "s", "n")
+        .union(different.select("band", "b", "t", "m")).distinct()
+    )
+    # Equal sets that met others first.
+    first = sets.groupBy("s").agg(F.min("node").alias("b"))
+    equal = sets.select("s", F.col("node").alias("a")).distinct().join(first, "s").where("a <> b").select("a", "b")
+    near = F.least("n", "m") >= F.greatest("n", "m") * similarity
+    unsure = stage(different.where(near).select(*_ordered("a", "b")).distinct())
+    links = stage(
+        met.where("band = 0").select("a", "b").distinct().unionByName(equal)
+        .unionByName(_verified(unsure, docs, similarity))
+    )
+    parts = stage(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    apart = stage(_apart(sets, parts, similarity).join(unsure, ["a", "b"], "left_anti"))
+    more = stage(_verified(apart, docs, similarity))
+    if more.isEmpty():
+        return parts
+    both = links.unionByName(more)
+    return stage(components(both.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
 
 
 def paragraph_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -228,13 +299,7 @@ def repeated(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RE
     """(doc_id, paragraph, start, stop, n_words, run_words, component_id, kept) of every clustered paragraph in a
     run of at least ``min_run`` words. ``component_id`` is the first paragraph of the cluster."""
     docs = docs.where("doc_id is not null").select("doc_id", "text")
-    met = stage(meetings(docs, bands(similarity, recall)))
-    unsure = stage(met.where(~F.col("same")).select("a", "b"))
-    nodes = unsure.select(F.col("a").alias("node")).union(unsure.select("b")).distinct()
-    texts = stage(paragraph_texts(docs, nodes))
-    right = verify(unsure, texts, SHINGLE).where(F.col("both") >= F.col("any") * similarity).select("a", "b")
-    links = met.where("same").select("a", "b").unionByName(right)
-    clusters = stage(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    clusters = clusters_of(docs, similarity, recall)
     found = places(docs).join(small(clusters), "node")
     along = Window.partitionBy("doc_id").orderBy("paragraph")
     near = (F.col("paragraph") - F.lag("paragraph").over(along) == 1) & (

@@ -97,6 +97,32 @@ def test_passages_inside_other_texts_are_found(docs):
     assert any(r.kept for r in found)
 
 
+def test_paragraphs_that_share_a_band_meet_whatever_comes_first(docs):
+    """Clusters are those of all pairs with a band in common, where most paragraphs of a band are too far apart."""
+    r, rows = random.Random(3), []
+    for k in range(12):
+        base = prose(900 + k, 45)
+        rows += [altered(base, 3, 100 * k + i) for i in range(12)]
+        near = altered(base, 3, 100 * k + 50)
+        rows += [near, near, near + " x", altered(near, 1, 100 * k + 51)]
+    r.shuffle(rows)
+    own = substring.Paragraphs(pa.array(rows))
+    row, h = own.sets()
+    keys = substring.band_keys(row, h, len(own.row), substring.bands())
+    sets = [set(h[row == i].tolist()) for i in range(len(own.row))]
+    names = [int(own.row[i]) * substring.PLACES + int(own.number[i]) for i in range(len(sets))]
+    links = []
+    for i in range(len(sets)):
+        for j in range(i):
+            if (keys[i] == keys[j]).any() and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                links.append((names[j], names[i]))
+    wanted = reach(links)
+    # In one batch and in many.
+    for pieces in (1, 7):
+        found = substring.repeated(docs(*enumerate(rows)).repartition(pieces), min_run=0).collect()
+        assert {x.doc_id * substring.PLACES + x.paragraph: x.component_id for x in found} == wanted
+
+
 def test_odd_rows_of_passages(odd, none):
     found = substring.repeated(odd).collect()
     assert {r.doc_id for r in found} == {1, 2}

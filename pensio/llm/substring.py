@@ -2,7 +2,8 @@
 
 A text is cut where a sentence-like start - a line, a word after a full stop, a capital, some words by hash - has a smaller hash of its
 first words than one of the starts next to it. So the cuts follow the text itself: a passage keeps its inner cuts
-wherever it stands, also in the middle of a line. Paragraphs of at least ``MIN_WORDS`` words get MinHash values over
+wherever it stands, also in the middle of a line. What is left of ``LONG`` words or more, as texts without full stops and
+capitals give it, is cut further at the words whose hashes are smallest, ``MIN_WORDS`` apart. Paragraphs of at least ``MIN_WORDS`` words get MinHash values over
 their five-word shingles, combined into bands; ``bands`` finds the fewest bands that reach a recall at the threshold.
 
 Paragraphs with a band in common meet: within a batch of texts equal sets are one, those with equal bands meet the
@@ -33,6 +34,7 @@ RECALL = 0.99
 MIN_WORDS = 8
 MIN_RUN = 20
 HASHED = 32  # one word in so many is a start in any case, for texts without sentences
+LONG = 2 * MIN_WORDS  # paragraphs of so many words are cut further
 GAP = 100  # code points of short paragraphs that a run may skip
 PLACES = 1 << 20
 
@@ -49,6 +51,33 @@ def bands(similarity: float = SIMILARITY, recall: float = RECALL, noise: float =
     return min(fine)
 
 
+def further(h: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Places that cut the stretches ``first`` to ``end`` of ``LONG`` words or more into ones of ``MIN_WORDS`` to
+    ``LONG`` - 1 words: by rising ``h``, each place that is ``MIN_WORDS`` away from all cuts. So a cut depends on the
+    words around it only."""
+    size = end - first - 2 * MIN_WORDS + 1
+    first, size = first[size > 0] + MIN_WORDS, size[size > 0]
+    open_ = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+    part = np.repeat(np.arange(len(size)), size)
+    out = []
+    while len(open_):
+        value, low = h[open_], np.ones(len(open_), bool)
+        for k in range(1, MIN_WORDS):
+            # The k-th next open place; it matters where it is near.
+            near = (open_[k:] - open_[:-k] < MIN_WORDS) & (part[k:] == part[:-k])
+            less = value[k:] < value[:-k]
+            low[:-k] &= ~(near & less)
+            low[k:] &= ~(near & ~less)
+        cut, of = open_[low], part[low]
+        out.append(cut)
+        at = np.searchsorted(cut, open_)
+        left, right = np.maximum(at - 1, 0), np.minimum(at, len(cut) - 1)
+        gone = (np.abs(open_ - cut[left]) < MIN_WORDS) & (of[left] == part)
+        gone |= (np.abs(open_ - cut[right]) < MIN_WORDS) & (of[right] == part)
+        open_, part = open_[~gone], part[~gone]
+    return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
+
+
 class Paragraphs:
     """Paragraphs of a slice of texts: first and end word, row, and number within the text (of those long enough)."""
 
@@ -83,6 +112,8 @@ class Paragraphs:
             cut[1:] |= ~edge[1:] & (h[1:] <= h[:-1])
             cut[:-1] |= ~last[:-1] & (h[:-1] <= h[1:])
             at = at[cut]
+            end = np.minimum(np.concatenate([at[1:], [n]]), words.first[words.row[at] + 1])
+            at = np.sort(np.concatenate([at, further(mix(words.hash + mix(pad[1 : n + 1])), at, end)]))
         row = words.row[at]
         end = np.concatenate([at[1:], [n]]) if len(at) else at
         end = np.minimum(end, words.first[row + 1])

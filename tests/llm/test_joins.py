@@ -123,6 +123,25 @@ def test_paragraphs_that_share_a_band_meet_whatever_comes_first(docs):
         assert {x.doc_id * substring.PLACES + x.paragraph: x.component_id for x in found} == wanted
 
 
+def test_passages_of_lower_case_words_without_stops_are_found(docs):
+    def plain_words(seed, count):
+        return prose(seed, count).lower().replace(".", "")
+
+    rows = []
+    for k in range(40):
+        passage = plain_words(7000 + k, 80)
+        for i in (0, 1):
+            before, after = (plain_words(8000 + 4 * k + 2 * i + j, 100 + 7 * k) for j in (0, 1))
+            rows.append((2 * k + i, f"{before} {passage} {after}"))
+    found = substring.repeated(docs(*rows)).collect()
+    texts = dict(rows)
+    assert len({r.doc_id for r in found}) >= 74
+    assert all(r.n_words < substring.LONG for r in found)
+    for r in found:
+        # A paragraph may differ by a word at its end.
+        assert " ".join(texts[r.doc_id][r.start : r.stop].split(" ")[2:-2]) in texts[r.doc_id ^ 1]
+
+
 def test_odd_rows_of_passages(odd, none):
     found = substring.repeated(odd).collect()
     assert {r.doc_id for r in found} == {1, 2}

@@ -12,7 +12,8 @@ Retrieved pairs are verified on the passage: the share of the item's five-word s
 share reaches 0.8 and the answer's half.
 
 The index of ``SHARD_ITEMS`` items is sent to the tasks; more items make more such indexes, each read against all
-documents. Null and empty texts, and items without words, match nothing.
+documents. Null and empty texts, and items without words, match nothing. An item of fewer than five words matches only
+texts that are nothing but the item: inside a longer text so few words are no sign of a leak.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame
 from pensio.llm.common import Words, map_batches
 
 SHINGLE = 5
-SIMILARITY = 0.8
+PERCENT = 80  # in whole numbers, as 1 - 0.8 is less than a fifth
+SIMILARITY = PERCENT / 100
 ANSWER = 0.5
 SHARD_ITEMS = 2000
 BLOCK = 8
@@ -69,7 +71,8 @@ class Index:
         self.least = np.zeros(n)
         for i in range(n):
             own = self.impact[np.unique(term[words.first[i] : words.first[i + 1]]), i]
-            missing = int((1 - SIMILARITY) * max(1, size[i] - SHINGLE + 1))
+            shingles = max(1, int(size[i]) - SHINGLE + 1)
+            missing = shingles - -(-PERCENT * shingles // 100)
             self.least[i] = own.sum() - np.sort(own)[::-1][:missing].sum()
         blocked = np.full(self.blocks * BLOCK, np.inf)
         blocked[:n] = self.least

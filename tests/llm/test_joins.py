@@ -222,6 +222,25 @@ def test_items_are_found_with_few_changes_and_nothing_else(spark, docs):
     assert left == {i for i, _ in rows} - {i for i, _ in wanted}
 
 
+def test_items_that_lack_just_a_fifth_of_their_shingles_are_found(spark, docs):
+    """5, 10 and 25 shingles, cut at the end by a fifth of them."""
+    items, rows = [], []
+    for i, (count, less) in enumerate([(9, 1), (14, 2), (29, 5)] * 6):
+        words = prose(400 + i, count).lower().replace(".", "").split(" ")
+        items.append((i, " ".join(words)))
+        rows.append((i, " ".join([prose(500 + i, 60), *words[: count - less], prose(600 + i, 60)])))
+        rows.append((100 + i, " ".join([prose(500 + i, 60), *words[: count - less - 1], prose(600 + i, 60)])))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.overlap for r in decontaminate.contaminated(docs(*rows), bench).collect()}
+    assert got == {(i, i): 0.8 for i in range(len(items))}
+
+
+def test_items_of_few_words_match_whole_texts_only(spark, docs):
+    bench = spark.createDataFrame([(1, "who wrote faust")], "item_id long, text string")
+    found = decontaminate.contaminated(docs((1, "Who wrote Faust"), (2, "They asked who wrote faust and left")), bench)
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 1)]
+
+
 def test_odd_rows_of_decontamination(spark, odd, none):
     bench = spark.createDataFrame([(1, prose(1, 120)), (2, "word")], "item_id long, text string")
     got = Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(odd, bench).collect())

@@ -127,11 +127,12 @@ class Words:
 def viterbi(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     """The language of each row of ``scores`` in the best sequence."""
     best = int(np.argmax(scores.sum(0, dtype=np.float64)))
-    # No other sequence is better where no stretch of words gains more than one switch costs in another language.
+    # A sequence with s switches has s + 1 stretches at most in other languages. So none is better where no stretch of
+    # words gains more than half of what a switch costs.
     gain = np.cumsum(scores - scores[:, [best]], 0, dtype=np.float64)
     low = np.minimum(np.minimum.accumulate(gain, 0), 0)
     low[1:], low[0] = low[:-1].copy(), 0
-    if (gain - low).max() <= penalty:
+    if (gain - low).max() <= penalty / 2:
         return np.full(len(scores), best)
     count = scores.shape[1]
     value, back = [0.0] * count, []

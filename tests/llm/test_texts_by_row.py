@@ -145,6 +145,23 @@ def test_viterbi_is_the_best_of_all_sequences(seed):
     assert own == pytest.approx(slow_viterbi(scores, 1.5))
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_two_stretches_in_two_other_languages_cost_one_switch(seed):
+    """A first half in one language and a second in another, with a third best over the whole text."""
+    r = np.random.default_rng(seed)
+    scores = 0.2 * r.normal(size=(40, 3))
+    scores[:20, 0] += 0.4 + 0.4 * (seed % 4) / 3
+    scores[20:, 0] -= 2
+    scores[:20, 1] -= 2
+    scores[20:, 1] += 0.4 + 0.4 * (seed % 4) / 3
+    value = scores[0]
+    for row in scores[1:]:
+        value = np.maximum(value, value.max() - 12) + row
+    path = language.viterbi(scores, 12)
+    own = sum(scores[t, k] for t, k in enumerate(path)) - 12 * (path[1:] != path[:-1]).sum()
+    assert own == pytest.approx(value.max())
+
+
 def test_languages(docs, odd, none):
     letters = {"aa": "bcdfg", "bb": "klmnp", "ru": "бвгдж"}
     vowels = {"aa": "ae", "bb": "ou", "ru": "аио"}

@@ -242,28 +242,25 @@ def _outcomes(accepted: DataFrame, rejected: DataFrame, *more: str) -> DataFrame
 
 
 def _appended_stream(p: Plans) -> DataFrame:
-    """The control rows delivered in three parts by line number, as a stream of one part a micro-batch, with ids."""
+    """The control rows delivered in three parts by line number, as a stream of one part a micro-batch, with ids.
+
+    The stream is started once a part on the same checkpoint, so a micro-batch is all files of its part.
+    """
     root = scratch_dir(p.spark)
     for part in range(3):
-        arrived = p.lineitem.where(F.col("l_linenumber") % 3 == part)
-        arrived.repartition(1).write.mode("append").parquet(f"{root}/arriving")
-    arriving = p.with_table(
-        "lineitem",
-        p.spark.readStream.schema(p.lineitem.schema)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{root}/arriving"),
-    )
-    sink = append_stream(
-        arriving.control_batch.withColumn("given", F.lit(None).cast("long")),
-        f"{root}/accepted",
-        f"{root}/rejected",
-        f"{root}/checkpoint",
-        schemas.rules("transform_pa_assignments"),
-        ["line_id"],
-        ids="given",
-        first_id=100,
-    )
-    sink.trigger(availableNow=True).start().awaitTermination()
+        p.lineitem.where(F.col("l_linenumber") % 3 == part).write.mode("append").parquet(f"{root}/arriving")
+        arriving = p.with_table("lineitem", p.spark.readStream.schema(p.lineitem.schema).parquet(f"{root}/arriving"))
+        sink = append_stream(
+            arriving.control_batch.withColumn("given", F.lit(None).cast("long")),
+            f"{root}/accepted",
+            f"{root}/rejected",
+            f"{root}/checkpoint",
+            schemas.rules("transform_pa_assignments"),
+            ["line_id"],
+            ids="given",
+            first_id=100,
+        )
+        sink.trigger(availableNow=True).start().awaitTermination()
     return _outcomes(p.spark.read.parquet(f"{root}/accepted"), p.spark.read.parquet(f"{root}/rejected"), "given")
 
 

@@ -1,7 +1,10 @@
 """The validated append as a stream of micro-batches."""
 
 import os
+from pathlib import Path
 
+import __spark_entry__ as entry
+from pensio.demo import catalog
 from pensio.operators.constraints import NotNull, Unique
 from pensio.streaming.append import append_stream
 
@@ -63,3 +66,20 @@ def test_ids_and_keys_go_on_over_batches_and_checkpoints(spark, tmp_path):
     drain("other")
     assert taken() == [(1, 100), (3, 102), (5, 104)]
     assert sorted(int(i) for _, i in refused()) == [101, 103, 105, 106, 107, 108, 109]
+
+
+def test_a_part_of_the_demo_stream_is_many_files_and_one_batch(spark, tmp_path, monkeypatch):
+    given, data, root = Path("/root/testdata/sf0.001"), tmp_path / "sf", tmp_path / "scratch"
+    data.mkdir()
+    for table in given.glob("*.parquet"):
+        if table.stem != "lineitem":
+            (data / table.name).symlink_to(table)
+    lines = spark.read.parquet(str(given / "lineitem.parquet"))
+    lines.repartition(4).write.parquet(str(data / "lineitem.parquet"))
+    monkeypatch.setattr(catalog, "scratch_dir", lambda spark: str(root))
+    rows = entry.queries()["append_stream"](spark, str(data))
+    assert rows.count() > 0
+    assert len(list((root / "arriving").glob("*.parquet"))) > 3
+    assert len(list((root / "rejected_ids").glob("batch=*"))) == 3
+    given = [r.given for r in rows.where("given is not null").collect()]
+    assert len(given) == len(set(given))

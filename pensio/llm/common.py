@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 1_000_000
-CHUNK_BYTES = 4 << 20  # text bytes that one vectorised step works on; a longer document is a step of its own
+CHUNK_BYTES = 1 << 20  # bytes of all text columns that one vectorised step works on; a longer row is a step of its own
+STRETCH = 1 << 18  # bytes of a text that are scanned and hashed at a time
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,21 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is in ``ids`` (one column); a null doc_id is in no list."""
+    name = fresh(docs, "gone")
+    gone = stage(ids.toDF(name).distinct())
+    return docs.join(small(gone), docs["doc_id"] == F.col(name), "left_anti")
+
+
 def crc32(c: str) -> Column:
     """crc32 of a number as text."""
     return F.crc32(F.col(c).cast("string").cast("binary"))
@@ -77,11 +93,12 @@ def _array(values, kind: pa.DataType) -> pa.Array:
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``CHUNK_BYTES`` of ``text`` (one row at least)."""
-    if "text" not in batch.schema.names or batch.num_rows < 2:
+    """Slices with at most ``CHUNK_BYTES`` in all their text columns together (one row at least)."""
+    texts = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)]
+    if not texts or batch.num_rows < 2:
         yield batch
         return
-    ends = np.cumsum(lengths(batch.column("text")))
+    ends = np.cumsum(sum(lengths(c) for c in texts))
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
@@ -127,32 +144,65 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+_UP = _powers(_BASE, STRETCH)
+_DOWN = _powers(pow(_BASE, -1, 1 << 64), STRETCH)
+
+
+def _edges(data: np.ndarray, offsets: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte places where words start and where they end; a word never runs on into the next text."""
+    starts, ends, before = [], [], False
+    for at in range(0, len(data), STRETCH):
+        inside = ~space[data[at : at + STRETCH]]
+        previous = np.empty_like(inside)
+        previous[0], previous[1:] = before, inside[:-1]
+        cut = np.zeros(len(inside), bool)  # a text starts here
+        cut[offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, at + len(inside))] - at] = True
+        starts.append(np.flatnonzero(inside & (~previous | cut)) + at)
+        ends.append(np.flatnonzero(previous & (~inside | cut)) + at)
+        before = inside[-1]
+    if before:
+        ends.append(np.array([len(data)]))
+    empty = np.zeros(0, np.int64)
+    return np.concatenate(starts or [empty]), np.concatenate(ends or [empty])
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial over the folded bytes of each word."""
+    out = np.zeros(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        at = start[i]
+        j = int(np.searchsorted(end, at + STRETCH, "right"))
+        if j == i:  # one word longer than a stretch
+            for x in range(at, end[i], STRETCH):
+                part = _BYTE[data[x : min(x + STRETCH, end[i])]]
+                shift = np.uint64(pow(_BASE, int(x - at), 1 << 64))
+                out[i : i + 1] += np.sum(part * _UP[: len(part)] * shift, keepdims=True, dtype=np.uint64)
+            i += 1
+            continue
+        part = _BYTE[data[at : end[j - 1]]]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * _UP[: len(part)], out=sums[1:], dtype=np.uint64)
+        s = start[i:j] - at
+        out[i:j] = (sums[end[i:j] - at] - sums[s]) * _DOWN[s]
+        i = j
+    return out
+
+
 class Words:
     """The words of a slice of texts: maximal runs without ASCII white space, A-Z folded to lower case.
 
-    ``start`` and ``end`` are byte places in the slice, ``row`` the text's row, ``hash`` a 64-bit hash of the
+    ``space`` may name other bytes that part words. Texts are scanned in stretches, so a long text needs a few times
+    its size and no more. ``start`` and ``end`` are byte places in the slice, ``row`` the text's row, ``hash`` a 64-bit hash of the
     folded word (a polynomial over all its bytes), ``first`` the first word of each row and, at the end, the number.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, space: np.ndarray = _SPACE):
         self.data, self.offsets = utf8(column)
-        data, offsets = self.data, self.offsets
-        n = len(data)
-        inside = ~_SPACE[data]
-        fresh = np.zeros(n + 1, bool)  # a text starts here
-        fresh[offsets[:-1]] = True
-        before = np.zeros(n, bool)
-        before[1:] = inside[:-1]
-        self.start = np.flatnonzero(inside & (~before | fresh[:n]))
-        after = np.zeros(n, bool)
-        after[:-1] = inside[1:]
-        self.end = np.flatnonzero(inside & (~after | fresh[1:])) + 1
-        self.row = np.searchsorted(offsets, self.start, "right") - 1
-        self.first = np.searchsorted(self.start, offsets)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _powers(_BASE, n), out=sums[1:], dtype=np.uint64)
-        back = _powers(pow(_BASE, -1, 1 << 64), n)
-        self.hash = mix((sums[self.end] - sums[self.start]) * back[self.start] if n else np.zeros(0, np.uint64))
+        self.start, self.end = _edges(self.data, self.offsets, space)
+        self.row = np.searchsorted(self.offsets, self.start, "right") - 1
+        self.first = np.searchsorted(self.start, self.offsets)
+        self.hash = mix(_hashes(self.data, self.start, self.end))
 
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Row and hash of every run of ``size`` words; a row with fewer words has its whole sequence as one."""

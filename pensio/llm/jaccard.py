@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pensio.llm.common import Words, components, map_batches, mix, small, stage
+from pensio.llm.common import Words, components, map_batches, mix, small, stage, without
 
 SHINGLE = 3
 PERCENT = 90
@@ -272,8 +272,8 @@ def _apart(bucket: DataFrame, members: DataFrame, parts: DataFrame, percent: int
 
 
 def deduplicate(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group of linked ones: the one with the smallest doc_id."""
-    gone = stage(
-        similar(docs, size, percent).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone_")).distinct()
-    )
-    return docs.join(small(gone), F.col("doc_id") == F.col("_gone_"), "left_anti")
+    """``docs`` with one document of each group of linked ones: the one with the smallest doc_id.
+
+    Rows without doc_id, text or words stay; so do all rows that carry the smallest doc_id, if it is repeated.
+    """
+    return without(docs, similar(docs, size, percent).where("component_id <> doc_id").select("doc_id"))

@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pensio.llm import decontaminate, jaccard, language, lm, neighbours, packing, pii, quality, substring, toxicity
+from pensio.llm import (
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    lm,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    repetition,
+    substring,
+    toxicity,
+    whitening,
+)
 from pensio.llm.common import documents, table
 
 
@@ -51,6 +65,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.digests(documents(spark, sf_dir), repetition.planted)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digests(table(spark, sf_dir, "embeddings"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digests(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_lm_scoring,
@@ -63,6 +89,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_best_fit_packing,
         op9_substring_dedup,
         op10_embedding_dedup,
+        op11_periodic_runs,
+        op12_whitening,
+        op13_license_scan,
     )
     return {f.__name__: f for f in own}
 
@@ -116,5 +145,86 @@ SELECT *, vec_id = component_id AS kept FROM ("""
 )
 
 
+#: Seeds by doubled grams, each met with its next occurrence; the longest row of seeds of one lag is a run.
+_RUNS = r"""
+WITH RECURSIVE
+  hashed AS (SELECT doc_id, xor(list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                               lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                                  lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) AS h,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  cut AS (SELECT *, len(w) AS n, (h // 10) % len(w) AS a FROM hashed),
+  part AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p, h % 10 = 0 AND n > 0 AS moved FROM cut),
+  word AS (SELECT doc_id, i, n, w[1 + if(moved AND i >= a, a + (i - a) % p, i)] AS word
+           FROM (SELECT *, unnest(range(n)) AS i FROM part)),
+  five AS (SELECT doc_id, i, n, lead(i, 4) OVER one AS last,
+                  [word, lead(word, 1) OVER one, lead(word, 2) OVER one, lead(word, 3) OVER one, lead(word, 4) OVER one] AS g
+           FROM word WINDOW one AS (PARTITION BY doc_id ORDER BY i)),
+  gram(doc_id, i, n, k, g) AS (
+    SELECT doc_id, i, n, 5, dense_rank() OVER (ORDER BY g) FROM five WHERE last IS NOT NULL
+    UNION ALL
+    SELECT doc_id, i, n, 2 * k, dense_rank() OVER (ORDER BY g, more)
+    FROM  (SELECT *, lead(g, CAST(k AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS more FROM gram WHERE n >= 4 * k)
+    WHERE more IS NOT NULL),
+  met AS (SELECT doc_id, i, k, lead(i) OVER (PARTITION BY doc_id, k, g ORDER BY i) - i AS q FROM gram),
+  seed AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island
+           FROM met WHERE q <= k AND (k = 5 OR q > k // 2)),
+  run AS (SELECT doc_id, min(i) AS s, count(*) - 1 + k + q AS l, q FROM seed GROUP BY doc_id, q, k, island
+          HAVING count(*) - 1 + k + q >= greatest(6, 4 * q)),
+  best AS (SELECT doc_id, count(*) AS n_runs,
+                  arg_min({'s': s, 'l': l, 'q': q}, {'a': -l, 'b': s, 'c': q}) AS b,
+                  string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM run GROUP BY doc_id),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM run),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t
+           FROM word w WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = w.doc_id AND g.i = w.i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q AS period,
+       1000 * b.l // b.q AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(t, '')) AS collapsed_sha256
+FROM   documents d LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def _license_sql() -> str:
+    """Every block of a document against every template, counted whole."""
+    templates = ", ".join(
+        f"({i}, '{label}', '{text.lower()}')" for i, (label, text) in enumerate(licenses.TEMPLATES)
+    )
+    phrases = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES)
+    step = licenses.step_of(licenses.TEMPLATES)
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    return f"""
+WITH
+  template(t, label, text) AS (VALUES {templates}),
+  template_pair AS (SELECT DISTINCT t, label, w[i] || ' ' || w[i + 1] AS g
+                    FROM (SELECT *, unnest(range(1, len(w))) AS i
+                          FROM (SELECT t, label, regexp_extract_all(text, {word}) AS w FROM template))),
+  template_size AS (SELECT t, count(*) AS m FROM template_pair GROUP BY t),
+  phrase(phrase, label) AS (VALUES {phrases}),
+  folded AS (SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {word}) AS w
+             FROM documents),
+  placed AS (SELECT doc_id, i - 1 AS i, w[i] || ' ' || w[i + 1] AS two, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three
+             FROM (SELECT *, unnest(range(1, len(w))) AS i FROM folded)),
+  base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS l
+           FROM placed JOIN phrase ON phrase IN (two, three) GROUP BY doc_id),
+  paired AS (SELECT doc_id, i, t, label, g FROM placed JOIN template_pair ON g = two),
+  blocked AS (SELECT *, i // {step} AS b FROM paired
+              UNION ALL SELECT *, i // {step} - 1 AS b FROM paired WHERE i >= {step} AND i % {step} < {step} - 1),
+  shared AS (SELECT doc_id, t, label, b, count(DISTINCT g) AS o FROM blocked GROUP BY ALL),
+  hit AS (SELECT doc_id, max(CAST(o AS DOUBLE) / m) AS score, list(DISTINCT label) AS l
+          FROM shared JOIN template_size USING (t) WHERE 100 * o >= {licenses.PERCENT} * m GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(list_sort(coalesce(base.l, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.l, []), coalesce(hit.l, [])))), ',') AS labels,
+       if(n_base IS NOT NULL, 1.0::DOUBLE, coalesce(hit.score, 0.0)) AS score
+FROM   folded LEFT JOIN base USING (doc_id) LEFT JOIN hit USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_jaccard_join": _JACCARD, "op10_embedding_dedup": _VECTORS}
+    return {
+        "op6_jaccard_join": _JACCARD,
+        "op10_embedding_dedup": _VECTORS,
+        "op11_periodic_runs": _RUNS,
+        "op13_license_scan": _license_sql(),
+    }

@@ -7,10 +7,10 @@ writes each result as Parquet and reads it back as the next stage's ``docs``. Al
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from pensio.llm import decontaminate, jaccard, packing, pii, quality
-from pensio.llm.common import documents, small, stage, table
+from pensio.llm.common import documents, stage, table, without
 
 #: Tokenizing, boosted trees and importance weights are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -22,27 +22,32 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A row goes where its doc_id is not selected; one without doc_id cannot be selected and goes too.
     """
     judged = quality.resample(docs, table(spark, sf_dir, "labels"))
-    gone = stage(judged.where(~F.col("selected")).select(F.col("doc_id").alias("_gone_")).distinct())
-    return docs.where("doc_id is not null").join(small(gone), F.col("doc_id") == F.col("_gone_"), "left_anti")
+    return without(docs.where("doc_id is not null"), judged.where("not selected").select("doc_id"))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more.
+
+    The one with the smallest doc_id stays, with all rows that repeat it; texts without words stay.
+    """
     return jaccard.deduplicate(docs, size=5, percent=80)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a test item."""
+    """Without the documents that hold a test item. Each row is judged by its own text; null and empty texts stay."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind."""
+    """Personal data replaced by its kind, row by row; null and empty texts stay as they are."""
     return pii.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document left, each with its sequence and place."""
+    """The pieces of every document left, each with its sequence and place.
+
+    A null or empty text is a piece of one token; repeated rows are pieces of their own.
+    """
     return packing.pack_documents(docs)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -76,6 +78,8 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Reco
                 out = step(part)
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([_array(out[n], t) for n, t in fields], [n for n, _ in fields])
+        del step
+        give_back()
 
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
@@ -84,6 +88,15 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Reco
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system at the end of a task: workers live on beside those of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array):
         return values.cast(kind)

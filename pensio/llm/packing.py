@@ -26,7 +26,7 @@ from pensio.llm.common import map_batches, stage
 CAPACITY = 4096
 SEPARATOR = 1
 BUCKET_ROWS = 2000
-CACHED = 600_000  # words whose ids a Python worker keeps
+CACHED = 250_000  # words whose ids a Python worker keeps
 
 _SPECIAL = ("\u03a3", "\u0130", "<|")  # letters whose lower case is not one for one, and special tokens
 

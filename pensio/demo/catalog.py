@@ -71,6 +71,13 @@ class Plans(Model):
             self.v_restrictions_rev, self.v_periods, self.vypl_pen, starts
         )
 
+    @cached_property
+    def v_restrictions_fixed(self) -> DataFrame:
+        starts = self.sp_ogr_pv.select("nach_deistv").unionByName(self.sp_ogr_pv_arh.select("nach_deistv"))
+        return restrictions.restrictions_by_contract(
+            self.v_restrictions_rev, self.v_periods, self.vypl_pen, starts, fixed=True
+        )
+
     @cached_property
     def v_balances(self) -> DataFrame:
         return registry.ips_balances(self.sp_pen_dog, self.sp_ips, self.dv_sr_ips, self.kod_shifr_schet)
@@ -373,6 +380,7 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     "payments_by_contract": lambda p: p.v_payments,
     "paid_by_contract": lambda p: contracts.paid_by_contract(p.v_payments),
     "restrictions_by_contract": lambda p: p.v_restrictions_imp,
+    "restrictions_fixed": lambda p: p.v_restrictions_fixed,
     "addendum_segments": lambda p: p.v_segments,
     "addendum_months": lambda p: p.v_addendum_months,
     "pay_order_periods": lambda p: agreements.pay_order_periods(p.pay_orders),

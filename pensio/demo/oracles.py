@@ -91,6 +91,33 @@ VIEWS = {
                                          coalesce(c.data_okon_vypl, r.real_nach_deistv))
          AND    r.nach_deistv < DATE '2050-01-01'
          AND   (r.kod_ogr_pv <> 3 OR r.real_okon_deistv IS NOT NULL OR r.source_table = 'SP_OGR_PV_ARH')) m""",
+    "imp_fixed_v": """
+  SELECT source_table, nom_vkl, nom_ips, kod_ogr_pv, nach_deistv,
+         if(okon_deistv < nach_deistv, NULL, okon_deistv) AS okon_deistv, primech, ssylka_fl, kod_insz, ssylka_td,
+         rid_td, id, real_nach_deistv, real_okon_deistv, data_nach_vypl, status_pen,
+         CASE WHEN source_table = 'SP_OGR_PV_ARH' OR okon_deistv <= nach_deistv OR paid_in_gap OR paid_throughout THEN 'Y'
+              ELSE 'N' END AS is_cancel,
+         count(*) OVER (PARTITION BY ssylka_fl, data_nach_vypl, nach_deistv) AS cnt,
+         row_number() OVER (PARTITION BY ssylka_fl, data_nach_vypl, nach_deistv
+                            ORDER BY if(source_table = 'SP_OGR_PV', 2, 1),
+                                     coalesce(okon_deistv, DATE '9999-12-31') DESC, kod_ogr_pv, real_nach_deistv,
+                                     id, ref_kodinsz) AS rn
+  FROM  (SELECT r.*, c.data_nach_vypl, c.status_pen, c.ref_kodinsz,
+                r.kod_ogr_pv = 3 AND r.okon_deistv IS NULL
+                AND EXISTS (SELECT 1 FROM {vypl_pen} v
+                            WHERE v.ssylka_fl = r.ssylka_fl AND v.data_nachisl >= r.nach_deistv
+                            AND   v.data_nachisl <= c.to_date) AS paid_in_gap,
+                r.kod_ogr_pv = 3 AND r.okon_deistv IS NOT NULL AND c.to_date IS NOT NULL
+                AND (SELECT count(DISTINCT v.data_nachisl) FROM {vypl_pen} v
+                     WHERE v.ssylka_fl = r.ssylka_fl AND v.data_nachisl >= date_trunc('month', r.nach_deistv)
+                     AND   v.data_nachisl <= last_day(least(r.okon_deistv, c.to_date)))
+                    = date_diff('month', r.nach_deistv, r.okon_deistv) + 1 AS paid_throughout
+         FROM   {rev_v} r JOIN {periods_v} c ON c.ssylka = r.ssylka_fl
+         WHERE  r.real_nach_deistv >= if(c.dog_rn = 1, c.from_date, c.data_nach_vypl)
+         AND    r.real_nach_deistv <= if(c.dog_rn = c.dog_cnt, c.to_date,
+                                         coalesce(c.data_okon_vypl, r.real_nach_deistv))
+         AND    r.nach_deistv < DATE '2050-01-01'
+         AND   (r.kod_ogr_pv <> 3 OR r.real_okon_deistv IS NOT NULL OR r.source_table = 'SP_OGR_PV_ARH')) m""",
     "moves_v": """
   SELECT i.ssylka_fl AS ssylka, m.data_op AS date_op, CAST(k.ips * m.summa AS DECIMAL(18,2)) AS amount, m.shifr_schet,
          m.sub_shifr_schet, i.tip_lits, i.nom_vkl AS ips_nom_vkl, i.nom_ips AS ips_nom_ips
@@ -403,6 +430,10 @@ ORACLES: dict[str, tuple[str, str]] = {
         "SELECT * FROM {imp_v}",
         "nach_deistv okon_deistv real_nach_deistv real_okon_deistv data_nach_vypl",
     ),
+    "restrictions_fixed": (
+        "SELECT * FROM {imp_fixed_v}",
+        "nach_deistv okon_deistv real_nach_deistv real_okon_deistv data_nach_vypl",
+    ),
     "addendum_segments": (
         "SELECT * FROM {segments_v}",
         "from_month from_date end_date alt_date_begin alt_date_end last_day_from_month",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from pensio.operators.ordering import windowed
+
 
 def interval_join(
     points: DataFrame,
@@ -42,6 +44,24 @@ def interval_join(
     )
 
 
+def asof_join(points: DataFrame, intervals: DataFrame, *, key: str, point: str, lo: str, hi: str) -> DataFrame:
+    """As ``interval_join``, for intervals of one key that do not overlap: at most one holds a point.
+
+    That one is the last to start on or before the point. Points and starts form one list by day, cut into months; a
+    month hands the interval left open on to the next, so no interval is repeated and a key of any size is divided.
+    """
+    beside = [c for c in intervals.columns if c != key]
+    starts = intervals.where(F.col(lo) <= F.col(hi)).select(
+        F.col(key).alias("_key"), F.col(lo).alias("_day"), F.lit(0).alias("_kind"), F.struct(*beside).alias("_interval")
+    )
+    asked = points.where(F.col(point).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(point).alias("_day"), F.lit(1).alias("_kind"), F.struct(*points.columns).alias("_point")
+    )
+    both = starts.unionByName(asked, allowMissingColumns=True)
+    placed = windowed(both, ["_key"], ["_day", "_kind"], bucket=[F.trunc("_day", "MM")], carry={"_held": "_interval"})
+    return placed.where((F.col("_kind") == 1) & (F.col("_day") <= F.col(f"_held.{hi}"))).select("_point.*", "_held.*")
+
+
 def next_on_or_after(
     days: DataFrame, marks: DataFrame, *, key: str, day: str, mark: str, out: str
 ) -> DataFrame:
@@ -70,3 +90,35 @@ def next_on_or_after(
     )
 
 
+def count_in_ranges(
+    ranges: DataFrame, marks: DataFrame, *, key: str, lo: str, hi: str, mark: str, out: str
+) -> DataFrame:
+    """``ranges`` with the number of distinct marks of the key in lo..hi; 0 where a bound is NULL or lo > hi.
+
+    The marks up to a day are counted once per key and day asked for, over one list of distinct days cut into years;
+    a range's number is that of its end less that of the day before its start. Ranges never meet marks. ``ranges`` is
+    read more than once: pass a table or a staged result.
+    """
+    bounded = F.col(lo) <= F.col(hi)
+    before = F.when(bounded, F.date_sub(lo, 1))
+    asked = ranges.where(bounded).select(key, F.explode(F.array(before, F.col(hi))).alias("_day"))
+    given = (
+        marks.where(F.col(mark).isNotNull())
+        .join(asked.select(key), key, "left_semi")
+        .select(key, F.col(mark).alias("_day"))
+    )
+    days = (
+        asked.withColumn("_marked", F.lit(0))
+        .unionByName(given.withColumn("_marked", F.lit(1)))
+        .groupBy(key, "_day")
+        .agg(F.max("_marked").alias("_marked"))
+    )
+    ranked = windowed(days, [key], ["_day"], bucket=[F.year("_day")], sums={"_rank": "_marked"})
+
+    def rank(name: str) -> DataFrame:
+        return ranked.select(F.col(key).alias(f"{name}_key"), F.col("_day").alias(f"{name}_day"), F.col("_rank").alias(name))
+
+    met = ranges.join(rank("_below"), (F.col(key) == F.col("_below_key")) & (before == F.col("_below_day")), "left").join(
+        rank("_upto"), (F.col(key) == F.col("_upto_key")) & bounded & (F.col(hi) == F.col("_upto_day")), "left"
+    )
+    return met.select(*ranges.columns, F.coalesce(F.col("_upto") - F.col("_below"), F.lit(0)).alias(out))

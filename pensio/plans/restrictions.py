@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pensio.functions.semantics import OPEN_END, asc, day
-from pensio.operators.intervals import interval_join, next_on_or_after
+from pensio.functions.semantics import OPEN_END, asc, day, month_start, strict_least
+from pensio.operators.intervals import count_in_ranges, interval_join, next_on_or_after
 from pensio.operators.ordering import windowed
 from pensio.plans.contracts import SKIPPED_CONTRIBUTOR
 from pensio.sources.snapshots import stage
@@ -96,7 +96,7 @@ def sp_ogr_pv_rev(restrictions: DataFrame) -> DataFrame:
 
 
 def restrictions_by_contract(
-    rev: DataFrame, periods: DataFrame, vypl_pen: DataFrame, starts: DataFrame | None = None
+    rev: DataFrame, periods: DataFrame, vypl_pen: DataFrame, starts: DataFrame | None = None, *, fixed: bool = False
 ) -> DataFrame:
     """Restrictions with the contract that holds their real start, a cancel flag and a rank among equals.
 
@@ -106,7 +106,9 @@ def restrictions_by_contract(
     The rank and count run over the un-nulled end, the output blanks an end that lies before the start.
 
     The source system also cancels a closed gap when its number of paid days equals a months_between that is
-    never a whole number; that test is always false and therefore absent here.
+    never a whole number; that test is always false and therefore absent here. With ``fixed`` it is the test that was
+    meant: the gap is cancelled when as many distinct days were paid, from the month of its start to that of its end or
+    of the contract's, as the gap touches months.
 
     ``starts`` may name a cheap DataFrame (first column a date) covering the restriction start dates; it saves
     evaluating ``rev`` once more to learn the years that occur.
@@ -155,6 +157,17 @@ def restrictions_by_contract(
     ends_before = F.col("okon_deistv") <= F.col("nach_deistv")
     paid_in_gap = open_gap & (F.col("_next_paid") <= F.col("to_date"))
     cancelled = (F.col("source_table") == ARCHIVE) | ends_before | paid_in_gap
+    if fixed:
+        months = F.months_between(month_start("okon_deistv"), month_start("nach_deistv")).cast("int") + 1
+        closed = (F.col("kod_ogr_pv") == INVERTED_CODE) & F.col("okon_deistv").isNotNull()
+        ranges = held.withColumns({
+            "_from": F.when(closed, month_start("nach_deistv")),
+            "_until": F.when(closed, F.last_day(strict_least(F.col("okon_deistv"), F.col("to_date")))),
+        })
+        held = count_in_ranges(
+            stage(ranges), vypl_pen, key="ssylka_fl", lo="_from", hi="_until", mark="data_nachisl", out="_paid_days"
+        )
+        cancelled = cancelled | (closed & (F.col("_paid_days") == months))
     judged = held.select(
         *rev.columns,
         "data_nach_vypl",

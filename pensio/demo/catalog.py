@@ -11,8 +11,16 @@ from pyspark.sql import types as T
 
 from pensio import schemas
 from pensio.demo.mapping import Model
-from pensio.functions.semantics import MONEY, text
-from pensio.operators.constraints import Check, ForeignKey, NotNull, append_with_rejects, check_constraints
+from pensio.functions.semantics import MONEY, add_months_keeping_end, text
+from pensio.operators.constraints import (
+    REJECT_TABLES,
+    Check,
+    ForeignKey,
+    NotNull,
+    append_with_rejects,
+    check_constraints,
+    reject_table_name,
+)
 from pensio.operators.rows import (
     apply_corrections,
     delete_by_key,
@@ -23,12 +31,15 @@ from pensio.operators.rows import (
 )
 from pensio.plans import agreements, contracts, reconcile, registry, repair, reports, restrictions, run
 from pensio.session import scratch_dir
+from pensio.sources.runs import RunTable
 from pensio.sources.snapshots import publish, stage
-from pensio.sources.tables import read_table
+from pensio.sources.tables import ensure_reject_tables, read_table
 from pensio.streaming.append import append_stream
 
 # The operation date of the prepared run: that of payments accrued in August 1998.
 DATE_OP = dt.date(1998, 9, 10)
+# That of the run before it.
+EARLIER_OP = dt.date(1998, 8, 10)
 
 
 # Inline constants beside the fixed exclusions, for participants that every data folder holds.
@@ -80,7 +91,11 @@ class Plans(Model):
 
     @cached_property
     def v_balances(self) -> DataFrame:
-        return registry.ips_balances(self.sp_pen_dog, self.sp_ips, self.dv_sr_ips, self.kod_shifr_schet)
+        return self.factored_balances.of()
+
+    @cached_property
+    def factored_balances(self) -> registry.FactoredBalances:
+        return registry.factored_balances(self.sp_pen_dog, self.sp_ips, self.dv_sr_ips, self.kod_shifr_schet)
 
     @cached_property
     def v_changes(self) -> DataFrame:
@@ -145,7 +160,7 @@ class Plans(Model):
             self.recorded_participants,
             contracts=self.v_contracts,
             vypl_pen=self.vypl_pen,
-            balances=self.v_balances,
+            balances=self.factored_balances,
             changes=self.v_changes,
             restrictions=self.v_restrictions,
             invalid=self.v_invalid,
@@ -310,16 +325,50 @@ def _captured(p: Plans) -> DataFrame:
 
 
 def _purged(p: Plans) -> DataFrame:
-    """Rows left in each purged table, in the order of the purge."""
+    """What a purge removed from each table and what it left, with the layout of what is left."""
     tables = {"debt_withholdings": p.debt_withholdings, "assignments": p.assignments, "pay_orders": p.pay_orders}
-    return reduce(
-        DataFrame.unionByName,
-        [
-            t.groupBy().agg(F.count(F.lit(1)).alias("rows_left"))
-            .select(F.lit(i).alias("step"), F.lit(name).alias("tbl"), "rows_left")
-            for i, (name, t) in enumerate(run.purge_runs(tables).items(), 1)
-        ],
-    )
+    root = scratch_dir(p.spark)
+    gone = run.purge(tables, root)
+    layouts = [(name, ",".join(p.spark.read.parquet(f"{root}/{name}").columns)) for name in tables]
+    values = ", ".join(f"('{name}', '{columns}')" for name, columns in layouts)
+    return gone.join(p.spark.sql(f"SELECT * FROM VALUES {values} AS t(tbl, columns_left)"), "tbl").select(
+        "step", "tbl", "rows_removed", "rows_left", "columns_left"
+    )
+
+
+def _runs(p: Plans) -> DataFrame:
+    """Accruals kept by run: one run replaced by that of the second calculation, the one before it deleted."""
+    assignments = p.assignments
+    held = RunTable(p.spark, scratch_dir(p.spark), assignments.schema)
+    held.replace(assignments)
+    held.replace(run.snapshot_run(p.assignments_new, p.pay_orders, DATE_OP))
+    run.delete_run_folder(held, p.pay_orders, EARLIER_OP)
+    return held.read()
+
+
+def _reject_tables(p: Plans) -> DataFrame:
+    """The import's reject tables with their number of columns, and rejected rows by error number."""
+    root = scratch_dir(p.spark)
+    documents = T.StructType([p.assignments.schema["id"]])
+    ensure_reject_tables(p.spark, root, {"documents": documents})
+    batches = {
+        "ACCOUNTS_BALANCE": (p.accounts_balance, schemas.rules("accounts_balance", {"accounts": p.accounts}), "fk_account"),
+        "PENSION_AGREEMENTS": (p.pension_agreements, schemas.rules("pension_agreements"), "fk_contract"),
+        "PAY_RESTRICTIONS": (p.pay_restrictions, [NotNull("expiration_date")], "id"),
+    }
+    names = dict(REJECT_TABLES)
+    for table, (batch, rules, key) in batches.items():
+        _, rejected = append_with_rejects(batch, rules, [key], tag="import")
+        rejected.write.mode("append").parquet(f"{root}/{reject_table_name(table, names[table])}")
+
+    def described(table: str, name: str | None) -> DataFrame:
+        name = reject_table_name(table, name)
+        held = p.spark.read.parquet(f"{root}/{name}")
+        return held.groupBy("error_number", "error_tag").agg(F.count(F.lit(1)).alias("cnt")).unionByName(
+            p.spark.sql("SELECT CAST(NULL AS INT) AS error_number, CAST(NULL AS STRING) AS error_tag, 0L AS cnt")
+        ).select(F.lit(name).alias("tbl"), F.lit(len(held.columns)).alias("n_columns"), "error_number", "error_tag", "cnt")
+
+    return reduce(DataFrame.unionByName, [described(*t) for t in REJECT_TABLES])
 
 
 def _update_where(p: Plans) -> DataFrame:
@@ -408,13 +457,21 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     ),
     "capture_run": _captured,
     "purge_runs": _purged,
+    "run_folders": _runs,
+    "reject_tables": _reject_tables,
     # reconciliation and reports
     "reconcile_assignments": lambda p: reconcile.reconcile_assignments(
         p.assignments, p.assignments_new, p.v_agreement_periods, p.accounts_balance
     ),
+    "reconcile_two_way": lambda p: reconcile.reconcile_two_way(p.assignments, p.assignments_new),
     "run_size_compare": lambda p: reconcile.run_size_compare(
         {"reference": p.assignments.where("fk_asgmt_type = 2"), "new": p.assignments_new}
     ),
+    "ips_balance_sizes": lambda p: p.factored_balances.sizes(),
+    "payment_due_dates": lambda p: p.vypl_pen.select(
+        "ssylka_fl", "data_nachisl", "data_op", add_months_keeping_end("data_nachisl", 1).alias("next_month"),
+        add_months_keeping_end("data_nachisl", F.col("tip_vypl") * -1).alias("earlier_month"),
+    ).distinct(),
     "participant_agreement": lambda p: reports.participant_agreement(p.v_agreements, p.transform_contragents),
     "participant_balance": lambda p: registry.participant_balance(
         p.sp_pen_dog, p.sp_ips, p.dv_sr_ips, p.kod_shifr_schet
@@ -447,6 +504,9 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     "backfill_contract_ref": lambda p: repair.backfill_contract_ref(
         p.sp_pen_dog_unlinked, p.pension_agreements, p.contracts, p.transform_contragents
     ),
+    "backfill_contract_ref_strict": lambda p: repair.backfill_contract_ref(
+        p.sp_pen_dog_unlinked, p.pension_agreements, p.contracts, p.transform_contragents, strict=True
+    ),
     "contracts_without_agreement": lambda p: repair.contracts_without_agreement(
         p.sp_pen_dog_unlinked, p.pension_agreements
     ),

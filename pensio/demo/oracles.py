@@ -648,10 +648,80 @@ ORACLES: dict[str, tuple[str, str]] = {
         "",
     ),
     "purge_runs": (
-        """SELECT step, tbl, CAST(0 AS BIGINT) AS rows_left
-           FROM (VALUES (1, 'debt_withholdings'), (2, 'assignments'), (3, 'pay_orders')) AS v(step, tbl)""",
+        """SELECT 1 AS step, 'debt_withholdings' AS tbl, count(*) AS rows_removed, CAST(0 AS BIGINT) AS rows_left,
+                  (SELECT array_to_string(json_keys(to_json(x)), ',') FROM (SELECT * FROM {debt_withholdings} LIMIT 1) x) AS columns_left
+           FROM {debt_withholdings}
+           UNION ALL
+           SELECT 2, 'assignments', count(*), 0,
+                  (SELECT array_to_string(json_keys(to_json(x)), ',') FROM (SELECT * FROM {assignments} LIMIT 1) x) FROM {assignments}
+           UNION ALL
+           SELECT 3, 'pay_orders', count(*), 0,
+                  (SELECT array_to_string(json_keys(to_json(x)), ',') FROM (SELECT * FROM {pay_orders} LIMIT 1) x) FROM {pay_orders}""",
+        "",
+    ),
+    "run_folders": (
+        f"""SELECT a.* FROM {{assignments}} a WHERE a.fk_doc_with_action NOT IN (
+              SELECT fk_document FROM {{pay_orders}} WHERE fk_pay_order_type = 5
+              AND operation_date IN ({_OP_DATE}, DATE '1998-08-10'))
+            UNION ALL
+            SELECT n.* FROM {{assignments_new}} n WHERE n.fk_doc_with_action IN (
+              SELECT fk_document FROM {{pay_orders}} WHERE operation_date = {_OP_DATE} AND fk_pay_order_type = 5)""",
+        _ASSIGNMENT_DATES,
+    ),
+    "reject_tables": (
+        """WITH widths(tbl, n) AS (VALUES ('ERR$_ASSIGNMENTS', 28), ('ERR$_ACCOUNTS_BALANCE', 4), ('ERR$_IMP_DOCUMENTS', 1),
+                  ('ERR$_IMP_CONTRACTS', 7), ('ERR$_IMP_PENSION_AGREEMENTS', 12), ('ERR$_IMP_ACCOUNTS', 5),
+                  ('ERR$_IMP_PAY_ORDERS', 8), ('ERR$_IMP_ASSIGNMENTS', 28), ('ERR$_IMP_PAY_PORTFOLIOS', 0),
+                  ('ERR$_IMP_PAY_DECISIONS', 0), ('ERR$_PENSION_AGREEMENT_ADDEND', 9), ('ERR$_IMP_PAY_RESTRICTIONS', 5)),
+                rejected AS (
+                  SELECT 'ERR$_ACCOUNTS_BALANCE' AS tbl, 2291 AS error_number, count(*) AS cnt FROM {accounts_balance}
+                  WHERE fk_account NOT IN (SELECT id FROM {accounts})
+                  UNION ALL
+                  SELECT 'ERR$_IMP_PENSION_AGREEMENTS', 2290, count(*) FROM {pension_agreements} WHERE day(date_pension_age) <> 1
+                  UNION ALL
+                  SELECT 'ERR$_IMP_PAY_RESTRICTIONS', 1400, count(*) FROM {pay_restrictions} WHERE expiration_date IS NULL)
+           SELECT tbl, CAST(n + 4 AS INTEGER) AS n_columns, CAST(NULL AS INTEGER) AS error_number,
+                  CAST(NULL AS VARCHAR) AS error_tag, CAST(0 AS BIGINT) AS cnt FROM widths
+           UNION ALL
+           SELECT tbl, n + 4, error_number, 'import', cnt FROM widths JOIN rejected USING (tbl) WHERE cnt > 0""",
+        "",
+    ),
+    "reconcile_two_way": (
+        """SELECT * FROM (
+             SELECT fk_doc_with_acct, paydate, amount, coalesce(r.n, 0) AS cnt_reference, coalesce(w.n, 0) AS cnt_new
+             FROM (SELECT fk_doc_with_acct, paydate, round(amount, 2) AS amount, count(*) AS n FROM {assignments}
+                   WHERE fk_asgmt_type = 2 GROUP BY ALL) r
+             FULL JOIN (SELECT fk_doc_with_acct, paydate, round(amount, 2) AS amount, count(*) AS n FROM {assignments_new}
+                        WHERE fk_asgmt_type = 2 GROUP BY ALL) w USING (fk_doc_with_acct, paydate, amount))
+           WHERE cnt_reference <> cnt_new""",
+        "paydate",
+    ),
+    "ips_balance_sizes": (
+        """SELECT ssylka, count(DISTINCT (date_op, amount, shifr_schet, sub_shifr_schet, tip_lits, i)) AS movements,
+                  count(DISTINCT ref_kodinsz) AS contracts, count(*) AS balances
+           FROM  (SELECT c.ssylka, c.ref_kodinsz, m.* EXCLUDE (ssylka)
+                  FROM (SELECT *, row_number() OVER () AS i FROM {moves_v}) m JOIN {sp_pen_dog} c USING (ssylka)
+                  WHERE c.shema_dog IN (2, 3, 4, 5, 8) AND c.nom_vkl <> 1001) GROUP BY ssylka""",
         "",
     ),
+    "payment_due_dates": (
+        """SELECT DISTINCT ssylka_fl, data_nachisl, data_op,
+                  CAST(if(data_nachisl = last_day(data_nachisl), last_day(data_nachisl + INTERVAL 1 MONTH),
+                          data_nachisl + INTERVAL 1 MONTH) AS DATE) AS next_month,
+                  CAST(if(data_nachisl = last_day(data_nachisl), last_day(data_nachisl - to_months(tip_vypl)),
+                          data_nachisl - to_months(tip_vypl)) AS DATE) AS earlier_month
+           FROM {vypl_pen}""",
+        "data_nachisl data_op next_month earlier_month",
+    ),
+    "backfill_contract_ref_strict": (
+        """SELECT d.* REPLACE (coalesce(d.ref_kodinsz, (
+                    SELECT max(a.fk_contract)
+                    FROM   {pension_agreements} a JOIN {contracts} b ON b.fk_document = a.fk_base_contract
+                           JOIN {transform_contragents} t ON t.fk_contract = b.fk_document
+                    WHERE  t.ssylka_fl = d.ssylka AND a.effective_date = d.data_nach_vypl AND a.amount = d.razm_pen)) AS ref_kodinsz)
+           FROM {sp_pen_dog_unlinked} d""",
+        _SOURCE_CONTRACT_DATES,
+    ),
     "contracts_without_agreement": (
         """SELECT d.* FROM {sp_pen_dog_unlinked} d LEFT JOIN {pension_agreements} a ON a.fk_contract = d.ref_kodinsz
            WHERE d.shema_dog <> 7 AND a.fk_contract IS NULL""",

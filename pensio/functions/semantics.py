@@ -52,6 +52,13 @@ def text(*parts: Column) -> Column:
     return F.concat(*[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
 
 
+def add_months_keeping_end(d, months) -> Column:
+    """A day so many months on; the last day of a month stays the last day (Spark's own ``add_months`` keeps its number)."""
+    d = F.col(d) if isinstance(d, str) else d
+    moved = F.add_months(d, months)
+    return F.when(d == F.last_day(d), F.last_day(moved)).otherwise(moved)
+
+
 def cents(c) -> Column:
     """Whole cents of a two-place decimal amount."""
     return (F.col(c) * 100 if isinstance(c, str) else c * 100).cast("long")

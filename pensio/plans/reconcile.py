@@ -53,6 +53,27 @@ def reconcile_assignments(
     )
 
 
+def reconcile_two_way(reference: DataFrame, new: DataFrame) -> DataFrame:
+    """Accruals that two runs do not hold equally often, with how often each holds them.
+
+    Agreement, day and amount to the cent make an accrual; both sides are limited to the compared type. Each row counts
+    for its side, so repeated accruals are told apart and one aggregate, with a map-side part, compares both ways.
+    """
+    def side(df, a, b):
+        return df.where(F.col("fk_asgmt_type") == COMPARED_TYPE).select(
+            "fk_doc_with_acct", "paydate", F.round("amount", 2).alias("amount"),
+            F.lit(a).alias("_reference"), F.lit(b).alias("_new"),
+        )
+
+    return (
+        side(reference, 1, 0)
+        .unionByName(side(new, 0, 1))
+        .groupBy("fk_doc_with_acct", "paydate", "amount")
+        .agg(F.sum("_reference").alias("cnt_reference"), F.sum("_new").alias("cnt_new"))
+        .where("cnt_reference <> cnt_new")
+    )
+
+
 def run_size_compare(runs: dict[str, DataFrame]) -> DataFrame:
     """Accruals and distinct agreements of each run."""
     sizes = [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -95,8 +96,43 @@ def ips_balances(
     """Signed movements of each participant's accounts beside each of the participant's contracts.
 
     Every movement appears under every contract of its participant: that is the result asked for. Use
-    ``participant_balance`` for sums, which does not build it.
+    ``participant_balance`` for sums and ``factored_balances`` for numbers and sets of participants: they do not build it.
     """
+    return factored_balances(sp_pen_dog, sp_ips, dv_sr_ips, kod_shifr_schet).of()
+
+
+@dataclass(frozen=True)
+class FactoredBalances:
+    """``ips_balances`` as what it is made of: ``movements`` and ``contracts``, which meet on the participant.
+
+    The rows of the product are counted without building it, and built for a set of participants only.
+    """
+
+    movements: DataFrame
+    contracts: DataFrame
+
+    def sizes(self) -> DataFrame:
+        """(ssylka, movements, contracts, balances) of each participant who has both."""
+        a = self.movements.groupBy("ssylka").agg(F.count(F.lit(1)).alias("movements"))
+        b = self.contracts.groupBy("ssylka").agg(F.count(F.lit(1)).alias("contracts"))
+        return a.join(b, "ssylka").withColumn("balances", F.col("movements") * F.col("contracts"))
+
+    def of(self, participants: DataFrame | None = None) -> DataFrame:
+        """The rows of ``ips_balances``, of the participants in the first column of ``participants`` if given."""
+        left, right = self.movements, self.contracts
+        if participants is not None:
+            ids = participants.select(F.col(participants.columns[0]).alias("ssylka")).distinct()
+            left, right = (df.join(ids, "ssylka", "left_semi") for df in (left, right))
+        return left.join(right, "ssylka").select(
+            "ref_kodinsz", "ssylka", "data_nach_vypl", "date_op", "amount", "data_perevoda_5_cx", "shifr_schet",
+            "sub_shifr_schet", "nom_vkl", "nom_ips", "tip_lits", "ips_nom_vkl", "ips_nom_ips",
+        )
+
+
+def factored_balances(
+    sp_pen_dog: DataFrame, sp_ips: DataFrame, dv_sr_ips: DataFrame, kod_shifr_schet: DataFrame
+) -> FactoredBalances:
+    """Signed movements of each participant's accounts, and each participant's contracts."""
     movement = _movements(sp_ips, dv_sr_ips, kod_shifr_schet).select(
         F.col("ssylka_fl").alias("ssylka"), F.col("data_op").alias("date_op"), "amount", "shifr_schet",
         "sub_shifr_schet", "tip_lits", F.col("nom_vkl").alias("ips_nom_vkl"),
@@ -105,10 +141,7 @@ def ips_balances(
     contract = _account_contracts(sp_pen_dog).select(
         "ref_kodinsz", "ssylka", "data_nach_vypl", "data_perevoda_5_cx", "nom_vkl", "nom_ips"
     )
-    return movement.join(contract, "ssylka").select(
-        "ref_kodinsz", "ssylka", "data_nach_vypl", "date_op", "amount", "data_perevoda_5_cx", "shifr_schet",
-        "sub_shifr_schet", "nom_vkl", "nom_ips", "tip_lits", "ips_nom_vkl", "ips_nom_ips",
-    )
+    return FactoredBalances(movement, contract)
 
 
 def participant_balance(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pensio.functions.semantics import asc, desc, month_start
+from pensio.plans.registry import FactoredBalances
 
 
 def participant_agreement(agreements_v: DataFrame, transform_contragents: DataFrame,
@@ -33,7 +34,7 @@ def participant_dossier(
     *,
     contracts: DataFrame,
     vypl_pen: DataFrame,
-    balances: DataFrame,
+    balances: FactoredBalances,
     changes: DataFrame,
     restrictions: DataFrame,
     invalid: DataFrame,
@@ -44,7 +45,7 @@ def participant_dossier(
         "payments": of(vypl_pen, "ssylka_fl", participants).orderBy(
             *asc("data_op", "data_nachisl", "ssylka_fl", "ssylka_doc")
         ),
-        "balances": of(balances, "ssylka", participants).orderBy(
+        "balances": balances.of(participants).orderBy(
             *asc("date_op", "ssylka", "ref_kodinsz")
         ),
         "changes": of(changes, "ssylka_fl", participants),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -17,6 +18,7 @@ from pensio.plans.agreements import (
     is_active,
     pension_agreements,
 )
+from pensio.sources.runs import RunTable
 from pensio.sources.snapshots import publish, stage
 
 # Fixed values.
@@ -44,6 +46,20 @@ def delete_run(assignments: DataFrame, pay_orders: DataFrame, date_op: dt.date)
     )
 
 
+def delete_run_folder(table: RunTable, pay_orders: DataFrame, date_op: dt.date) -> int | None:
+    """Deletes the run of one operation date from a table kept by run; the other runs are neither read nor written.
+
+    Gives the pay order, None where there is none; more than one is an error.
+    """
+    found = run_order(pay_orders, date_op).limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"more than one accrual order on {date_op}")
+    if not found:
+        return None
+    table.delete([found[0].fk_document])
+    return found[0].fk_document
+
+
 def ensure_pay_orders(
     pay_orders: DataFrame, dates: DataFrame, first_id: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -134,6 +150,24 @@ def purge_runs(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: delete_where(tables[name]) for name in PURGE_ORDER}
 
 
+def purge(tables: dict[str, DataFrame], root: str) -> DataFrame:
+    """Writes the empty snapshots under ``root`` and tells what went: (step, tbl, rows_removed, rows_left), one row a table.
+
+    What is left is counted in the written snapshot, what was there in the table it replaces.
+    """
+    steps = []
+    for step, (name, empty) in enumerate(purge_runs(tables).items(), 1):
+        before = tables[name].groupBy().agg(F.count(F.lit(1)).alias("rows_before"))
+        after = publish(empty, f"{root}/{name}").groupBy().agg(F.count(F.lit(1)).alias("rows_left"))
+        steps.append(
+            before.join(after).select(
+                F.lit(step).alias("step"), F.lit(name).alias("tbl"),
+                (F.col("rows_before") - F.col("rows_left")).alias("rows_removed"), "rows_left",
+            )
+        )
+    return reduce(DataFrame.unionByName, steps)
+
+
 def _minus(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("fk_contract").join(b.select("fk_contract"), "fk_contract", "left_anti")
 

@@ -278,10 +278,14 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     """The same for several unique keys, where a row rejected for one key leaves its other keys free.
 
     Rows without a rival in any key are settled in one pass; the batch is written once, and only the places and keys
-    of the others go round. In each round a row that is first among the undecided rows of all its keys is accepted,
-    and those sharing a key with an accepted one are rejected. A round writes what it decided and what is left, and
-    removes the round before. Rows that follow each other in a chain of shared keys take a round for about every
-    second link, each over what is left only: first come, first served over several keys has no shorter plan known.
+    of the others go round. A row's fate is known once those of its earlier rivals are. Where it has only one, it is
+    accepted if and only if that one is not: such rows form chains, and a chain is followed to its head by doubling,
+    with the parity of its length, so a chain of n rows takes log2(n) steps. A phase accepts what its chains settle
+    and rejects what shares a key with that; each step and phase writes what it found.
+
+    What remains is decided by further phases: a row with two or more earlier rivals waits until they are decided, so
+    there is a phase for every such row that stands behind another one in a dependency, each over what is left only.
+    First come, first served over several keys is not known to have a plan of fewer rounds for those.
     """
     keys = [f"_k{i}" for i in range(len(rules))]
     bulk = judged.withColumn("_place", rank(order))
@@ -300,17 +304,9 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     rest, hits = bulk.where("_open").select("_place", *keys), []
     last = None
     while not rest.isEmpty():
-        frame = rest
-        for i, name in enumerate(keys):
-            first = rest.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("_f")).agg(F.min("_place").alias(f"_first{i}"))
-            frame = frame.join(first, F.col(name) == F.col("_f"), "left").drop("_f")
-        leads = reduce(
-            lambda a, b: a & b,
-            [F.col(n).isNull() | (F.col("_place") == F.col(f"_first{i}")) for i, n in enumerate(keys)],
-        )
-        led = stage(frame.select("_place", *keys, leads.alias("_in")))
+        led = _chains(_earlier_rivals(rest, keys))
         taken_by = F.lit(None).cast("string")
-        judged_now = led.where("not _in")
+        judged_now = led.where("not coalesce(_in, false)")
         for i, (name, rule) in reversed(list(enumerate(zip(keys, rules)))):
             held = led.where(F.col("_in") & F.col(name).isNotNull()).select(F.col(name).alias("_h")).distinct()
             held = held.withColumn(f"_hit{i}", F.lit(True))
@@ -331,3 +327,56 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
         .withColumn("_error", F.coalesce("_error", "_hit"))
         .drop("_place", "_p", "_hit")
     )
+
+
+def _earlier_rivals(rest: DataFrame, keys: list[str]) -> DataFrame:
+    """``rest`` (_place, keys) with ``_up``, a row's only earlier rival, and ``_in``: true where it has none.
+
+    Both are NULL for a row with several. The first and second place of each key are two map-side minima, so a key
+    with very many rows leaves each task as one row.
+    """
+    frame, ups, more = rest, [], []
+    for i, name in enumerate(keys):
+        own = rest.where(F.col(name).isNotNull())
+        first = own.groupBy(F.col(name).alias("_f")).agg(F.min("_place").alias(f"_first{i}"))
+        later = own.join(first, F.col(name) == F.col("_f")).where(F.col("_place") > F.col(f"_first{i}"))
+        second = later.groupBy(F.col(name).alias("_s")).agg(F.min("_place").alias(f"_second{i}"))
+        frame = frame.join(first, F.col(name) == F.col("_f"), "left").drop("_f")
+        frame = frame.join(second, F.col(name) == F.col("_s"), "left").drop("_s")
+        ups.append(F.when(F.col("_place") > F.col(f"_first{i}"), F.col(f"_first{i}")))
+        more.append(F.coalesce(F.col("_place") > F.col(f"_second{i}"), F.lit(False)))
+    earlier = F.array_distinct(F.array_compact(F.array(*ups)))
+    several = reduce(lambda a, b: a | b, more) | (F.size(earlier) > 1)
+    return stage(
+        frame.select(
+            "_place", *keys, F.when(~several, F.get(earlier, F.lit(0))).alias("_up"),
+            F.when(~several & (F.size(earlier) == 0), F.lit(True)).alias("_in"), F.lit(True).alias("_odd"),
+        )
+    )
+
+
+def _chains(rows: DataFrame) -> DataFrame:
+    """``rows`` (_place, _up, _in, _odd, more) with ``_in`` settled along the chains of ``_up``.
+
+    A row is in where the head of its chain is and lies an even number of links away, or is out at an odd number; it
+    stays NULL below a head that is undecided. Every step doubles the links that are skipped.
+    """
+    while not rows.where("_up is not null").isEmpty():
+        rows, done = _skip(rows), rows
+        unstage(done)
+    return rows
+
+
+def _skip(rows: DataFrame) -> DataFrame:
+    """One step: a row takes over where its upper row points, or the fate of one that is a head."""
+    upper = rows.select(F.col("_place").alias("_at"), F.col("_up").alias("_next"), F.col("_in").alias("_fate"), F.col("_odd").alias("_far"))
+    linked = F.col("_up").isNotNull()
+    ends = linked & F.col("_next").isNull()
+    return stage(
+        rows.join(upper, F.col("_up") == F.col("_at"), "left").select(
+            *[c for c in rows.columns if c not in ("_up", "_in", "_odd")],
+            F.when(linked, F.col("_next")).alias("_up"),
+            F.when(ends, F.col("_fate") != F.col("_odd")).otherwise(F.col("_in")).alias("_in"),
+            F.when(linked & ~ends, F.col("_odd") != F.col("_far")).otherwise(F.col("_odd")).alias("_odd"),
+        )
+    )

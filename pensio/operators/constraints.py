@@ -108,7 +108,7 @@ def _key(columns) -> Column:
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
 
-def _any_present(columns) -> Column:
+def any_present(columns) -> Column:
     """A wholly NULL key never collides, a partly NULL one does."""
     return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
 
@@ -144,7 +144,7 @@ def check_constraints(df: DataFrame, rules: list[Rule], key: list[str]) -> DataF
     )
     for rule in rules:
         if isinstance(rule, Unique):
-            keyed = df.where(_any_present(rule.columns)).withColumn("_key", _key(rule.columns))
+            keyed = df.where(any_present(rule.columns)).withColumn("_key", _key(rule.columns))
             repeated = keyed.groupBy("_key").count().where("count > 1").select("_key")
             found = found.unionByName(
                 keyed.join(repeated, "_key", "left_semi").select(F.lit(rule.name).alias("rule"), *key)
@@ -191,7 +191,7 @@ def append_with_rejects(
     rules: list[Rule],
     order: list[str],
     *,
-    target: DataFrame | None = None,
+    target: DataFrame | dict[str, DataFrame] | None = None,
     defaults: dict[str, Column] | None = None,
     ids: str | None = None,
     first_id: int = 1,
@@ -202,7 +202,8 @@ def append_with_rejects(
     ``order`` decides which of several rows with the same unique key comes first; it must tell all rows apart. A
     row that breaks another rule does not occupy its unique key. ``ids`` is renumbered from ``first_id`` in that
     order, rejected rows using up numbers too, as a sequence does. A rejected row carries the first rule it
-    breaks, in the order of ``rules``.
+    breaks, in the order of ``rules``. ``target`` may be several DataFrames with the key columns of each unique rule, by
+    the rule's name.
     """
     frame = batch.select(
         *[F.coalesce(F.col(c), defaults[c]).alias(c) if defaults and c in defaults else F.col(c)
@@ -216,7 +217,7 @@ def append_with_rejects(
     ).drop("_broken")
     unique = [r for r in rules if isinstance(r, Unique)]
     for rule in unique:
-        judged = _reject_existing(judged, rule, target)
+        judged = _reject_existing(judged, rule, target.get(rule.name) if isinstance(target, dict) else target)
     if len(unique) == 1:
         judged = _reject_repeats(judged, unique[0], order)
     elif unique:
@@ -240,7 +241,7 @@ def _reject_existing(judged: DataFrame, rule: Unique, target: DataFrame | None)
     if target is None:
         return judged
     taken = (
-        target.where(_any_present(rule.columns))
+        target.where(any_present(rule.columns))
         .select(_key(rule.columns).alias("_key"))
         .distinct()
         .withColumn("_taken", F.lit(True))
@@ -258,7 +259,7 @@ def _reject_repeats(judged: DataFrame, rule: Unique, order: list[str]) -> DataFr
 
     The first place per key is a map-side minimum: a key with very many rows leaves each task as one row.
     """
-    place, contending = rank(order), F.col("_error").isNull() & _any_present(rule.columns)
+    place, contending = rank(order), F.col("_error").isNull() & any_present(rule.columns)
     first = (
         judged.where(contending)
         .groupBy(_key(rule.columns).alias("_key"))
@@ -290,7 +291,7 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     keys = [f"_k{i}" for i in range(len(rules))]
     bulk = judged.withColumn("_place", rank(order))
     for name, rule in zip(keys, rules):
-        contending = F.col("_error").isNull() & _any_present(rule.columns)
+        contending = F.col("_error").isNull() & any_present(rule.columns)
         bulk = bulk.withColumn(name, F.when(contending, _key(rule.columns)))
     for i, name in enumerate(keys):
         repeated = (

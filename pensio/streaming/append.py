@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from pensio.operators.constraints import Unique, append_with_rejects
 from pensio.sources.snapshots import stage
+from pensio.streaming.ledger import RANGES, KeyLedger
 
 
 def append_stream(
@@ -20,33 +21,48 @@ def append_stream(
     unique_target: bool = True,
     ids: str | None = None,
     first_id: int = 1,
+    ranges: int = RANGES,
     **options,
 ) -> DataStreamWriter:
     """Micro-batch form of ``append_with_rejects``: one batch is one push-and-flush.
 
     A batch writes a folder of its own in both tables, named by the stream's id and the batch's number, so a batch
     that is run again after a lost driver replaces only itself, and a stream with a new checkpoint adds to what is
-    there. Unique keys are checked against all folders but the own one; of them only the key columns are read, and
-    of these only files whose values can meet the batch's.
+    there. Unique keys are checked against a ledger of keys beside the table (``<target_path>_keys``), of which a batch
+    reads the hash ranges it touches; it is made once for a table that already holds rows.
 
     ``ids`` is numbered from ``first_id`` over all batches, rejected rows included. The last number of each batch
     is kept in ``<reject_path>_ids``, one row a batch, so no history is read to go on. ``options`` go to
     ``append_with_rejects``.
     """
+    unique = [r for r in rules if isinstance(r, Unique)] if unique_target else []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}_{batch_id}"
-        batch = stage(batch)  # judged, and asked for its range of keys
+        batch = stage(batch)  # judged, and asked for its ranges of keys
         numbers = {}
         if ids:
             last = _others(spark, f"{reject_path}_ids", own, "last_id long")
             start = (last.agg(F.max("last_id")).first()[0] if last is not None else None) or first_id - 1
             numbers = {"ids": ids, "first_id": start + 1}
-        target = _near(spark, batch, rules, target_path, own) if unique_target else None
+        ledgers = [
+            KeyLedger(spark, f"{target_path}_keys/rule={i}", r, _types(batch, r), ranges) for i, r in enumerate(unique)
+        ]
+        target = {}
+        for ledger in ledgers:
+            if not ledger.exists():
+                held = _others(spark, target_path, own, ", ".join(f"`{c}` {t}" for c, t in zip(ledger.rule.columns, ledger.types)))
+                if held is not None:
+                    ledger.add(held, "before", 0)
+            found = ledger.taken(batch, own)
+            if found is not None:
+                target[ledger.rule.name] = found
         accepted, rejected = append_with_rejects(batch, rules, order, target=target, **numbers, **options)
         accepted.write.mode("overwrite").parquet(f"{target_path}/batch={own}")
         rejected.write.mode("overwrite").parquet(f"{reject_path}/batch={own}")
+        for ledger in ledgers:
+            ledger.add(accepted, own, batch_id)
         if ids:
             counted = batch.groupBy().agg((F.count(F.lit(1)) + start).alias("last_id"))
             counted.write.mode("overwrite").parquet(f"{reject_path}_ids/batch={own}")
@@ -54,29 +70,13 @@ def append_stream(
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def _types(batch: DataFrame, rule: Unique) -> tuple[str, ...]:
+    return tuple(batch.schema[c].dataType.simpleString() for c in rule.columns)
+
+
 def _others(spark: SparkSession, path: str, own: str, ddl: str) -> DataFrame | None:
     """What other batches wrote under ``path``; None if there is nothing yet."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return None
     return spark.read.schema(f"{ddl}, batch string").parquet(path).where(F.col("batch") != own)
-
-
-def _near(spark: SparkSession, batch: DataFrame, rules, path: str, own: str) -> DataFrame | None:
-    """Key columns of the rows of other batches that may hold a key of ``batch``, by the range of each key's first column."""
-    unique = [r for r in rules if isinstance(r, Unique)]
-    names = list(dict.fromkeys(c for r in unique for c in r.columns))
-    if not unique:
-        return None
-    fields = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in names)
-    others = _others(spark, path, own, fields)
-    if others is None:
-        return None
-    heads = list(dict.fromkeys(r.columns[0] for r in unique))
-    ends = batch.agg(*[f(c).alias(f"{c}_{n}") for c in heads for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    near = F.lit(False)
-    for c in heads:
-        if ends[f"{c}_lo"] is not None:
-            near = near | F.col(c).between(F.lit(ends[f"{c}_lo"]), F.lit(ends[f"{c}_hi"]))
-        near = near | F.col(c).isNull()
-    return others.where(near).select(*names)

@@ -29,7 +29,7 @@ from pensio.operators.rows import (
     update_where,
     with_ids,
 )
-from pensio.plans import agreements, contracts, reconcile, registry, repair, reports, restrictions, run
+from pensio.plans import agreements, contracts, monthly, reconcile, registry, repair, reports, restrictions, run
 from pensio.session import scratch_dir
 from pensio.sources.runs import RunTable
 from pensio.sources.snapshots import publish, stage
@@ -346,6 +346,44 @@ def _runs(p: Plans) -> DataFrame:
     return held.read()
 
 
+def _imported(p: Plans) -> DataFrame:
+    """An import of all months that is stopped once while it has claimed months: their state and what they paid."""
+    root = scratch_dir(p.spark)
+    control = monthly.ControlTable(p.spark, f"{root}/control")
+    control.write(p.transform_pa_assignments.withColumn("state", F.lit(monthly.NEW)))
+    kinds = T.StructType.fromDDL("date_op date, ssylka_doc long, payments long, paid decimal(18,2), pay_month int")
+    results = RunTable(p.spark, f"{root}/paid", kinds, monthly.MONTH)
+
+    def work(rows: DataFrame) -> DataFrame:
+        keys = rows.select("date_op", "ssylka_doc")
+        paid = p.vypl_pen.select(F.col("data_op").alias("date_op"), "ssylka_doc", "summa")
+        return (
+            keys.join(paid, ["date_op", "ssylka_doc"])
+            .groupBy("date_op", "ssylka_doc")
+            .agg(F.count(F.lit(1)).alias("payments"), F.sum("summa").alias("paid"))
+            .withColumn(monthly.MONTH, monthly.month_number("date_op"))
+        )
+
+    def stopped(rows: DataFrame) -> DataFrame:
+        raise InterruptedError
+
+    def now() -> dt.datetime:
+        return dt.datetime(1998, 9, 1, 12)
+
+    try:
+        monthly.import_months(control, results, stopped, now, at_once=5)
+    except InterruptedError:
+        pass
+    monthly.import_months(control, results, work, now, at_once=40)
+    states = control.read().groupBy(monthly.month_number("date_op").alias("month"), "state", "last_update_date").agg(
+        F.count(F.lit(1)).alias("control_rows")
+    )
+    totals = results.read().groupBy(F.col(monthly.MONTH).alias("month")).agg(
+        F.sum("payments").alias("payments"), F.sum("paid").alias("paid")
+    )
+    return states.join(totals, "month", "left")
+
+
 def _reject_tables(p: Plans) -> DataFrame:
     """The import's reject tables with their number of columns, and rejected rows by error number."""
     root = scratch_dir(p.spark)
@@ -459,6 +497,7 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     "purge_runs": _purged,
     "run_folders": _runs,
     "reject_tables": _reject_tables,
+    "monthly_import": _imported,
     # reconciliation and reports
     "reconcile_assignments": lambda p: reconcile.reconcile_assignments(
         p.assignments, p.assignments_new, p.v_agreement_periods, p.accounts_balance

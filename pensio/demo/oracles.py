@@ -686,6 +686,16 @@ ORACLES: dict[str, tuple[str, str]] = {
            SELECT tbl, n + 4, error_number, 'import', cnt FROM widths JOIN rejected USING (tbl) WHERE cnt > 0""",
         "",
     ),
+    "monthly_import": (
+        """SELECT CAST(year(date_op) * 100 + month(date_op) AS INTEGER) AS month, 'C' AS state,
+                  TIMESTAMP '1998-09-01 12:00:00' AS last_update_date, count(*) AS control_rows,
+                  CAST(sum(n) AS BIGINT) AS payments, sum(s) AS paid
+           FROM {transform_pa_assignments}
+                JOIN (SELECT data_op AS date_op, ssylka_doc, count(*) AS n, sum(summa) AS s FROM {vypl_pen} GROUP BY ALL)
+                USING (date_op, ssylka_doc)
+           GROUP BY ALL""",
+        "last_update_date",
+    ),
     "reconcile_two_way": (
         """SELECT * FROM (
              SELECT fk_doc_with_acct, paydate, amount, coalesce(r.n, 0) AS cnt_reference, coalesce(w.n, 0) AS cnt_new

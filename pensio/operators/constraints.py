@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql import types as T
 
-from pensio.operators.ordering import rank
-from pensio.operators.rows import with_ids
-from pensio.sources.snapshots import stage, unstage
+from pensio.operators.ordering import in_pieces, place_in_pieces, rank
+from pensio.session import scratch_dir
+from pensio.sources.snapshots import publish, stage, unstage
 
 # Public error numbers of the source database for each kind of rule.
 ERROR_NUMBERS = {
@@ -186,6 +186,15 @@ def reject_table_name(table: str, name: str | None = None) -> str:
     return (name or f"ERR$_{table}").upper()
 
 
+@dataclass(frozen=True)
+class Appended:
+    """Both outcomes of an append and how many rows each has."""
+
+    accepted: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
 def append_with_rejects(
     batch: DataFrame,
     rules: list[Rule],
@@ -205,13 +214,34 @@ def append_with_rejects(
     breaks, in the order of ``rules``. ``target`` may be several DataFrames with the key columns of each unique rule, by
     the rule's name.
     """
+    done = append(batch, rules, order, target=target, defaults=defaults, ids=ids, first_id=first_id, tag=tag)
+    return done.accepted, done.rejected
+
+
+def append(
+    batch: DataFrame,
+    rules: list[Rule],
+    order: list[str],
+    *,
+    target: DataFrame | dict[str, DataFrame] | None = None,
+    defaults: dict[str, Column] | None = None,
+    ids: str | None = None,
+    first_id: int = 1,
+    tag: str | None = None,
+) -> Appended:
+    """``append_with_rejects`` with the number of rows of each outcome.
+
+    The batch is judged and written once, one folder an outcome, and counted by the same job. Each row is written with
+    its place inside a range piece of the order; a number follows from the pieces' sizes when an outcome is read.
+    """
     frame = batch.select(
         *[F.coalesce(F.col(c), defaults[c]).alias(c) if defaults and c in defaults else F.col(c)
           for c in batch.columns]
     )
-    if ids:
-        frame = with_ids(frame, ids, order, first_id)
     columns = frame.columns
+    if ids:
+        columns = columns if ids in columns else [ids, *columns]
+        frame = in_pieces(frame.drop(ids), order).withColumn(ids, F.lit(None).cast("long"))
     judged = _row_rules(frame, rules).withColumn(
         "_error", F.when(F.size("_broken") > 0, F.col("_broken")[0])
     ).drop("_broken")
@@ -222,18 +252,25 @@ def append_with_rejects(
         judged = _reject_repeats(judged, unique[0], order)
     elif unique:
         judged = _reject_repeats_of_several(judged, unique, order)
-    judged = stage(judged)  # both outcomes come from one judgement
 
-    accepted = judged.where(F.col("_error").isNull()).select(*columns)
+    seen = Observation()
+    good = F.col("_error").isNull()
+    counted = judged.withColumn("_accepted", good).observe(
+        seen, F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected")
+    )
+    written = publish(counted, scratch_dir(batch.sparkSession), ["_accepted"])
+    if ids:
+        written = place_in_pieces(written, ids, first_id)
+    accepted = written.where("_accepted").select(*columns)
     numbers = F.create_map(*[F.lit(x) for r in rules for x in (r.name, ERROR_NUMBERS[r.kind])])
-    rejected = judged.where(F.col("_error").isNotNull()).select(
+    rejected = written.where("not _accepted").select(
         numbers[F.col("_error")].alias("error_number"),
         F.col("_error").alias("error_message"),
         F.lit("I").alias("error_operation"),
         F.lit(tag).cast("string").alias("error_tag"),
         *[F.col(c).cast("string").alias(c) for c in columns],
     )
-    return accepted, rejected
+    return Appended(accepted, rejected, dict(seen.get))
 
 
 def _reject_existing(judged: DataFrame, rule: Unique, target: DataFrame | None) -> DataFrame:

@@ -82,26 +82,37 @@ def windowed(
     return met.select(*df.columns, *[v.alias(n) for n, v in new.items()])
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``df`` with the place of each row in the order, which must tell the rows apart; no task sees more than a piece.
+def in_pieces(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` in even range pieces of the order, with each row's piece and a number that rises inside it.
 
-    The pieces are fixed by writing them: counting and numbering must see the same ones.
+    Write the result before ``place_in_pieces``: counting and numbering must see the same pieces.
     """
     along = asc(*order)
-    cut = stage(
+    return (
         df.repartitionByRange(*along)
         .sortWithinPartitions(*along)
         .withColumns({"_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
     )
-    # One row per piece.
+
+
+def place_in_pieces(written: DataFrame, name: str, first: int = 1) -> DataFrame:
+    """``written`` (with ``_piece`` and ``_at``) with each row's number in the order, from ``first`` on.
+
+    The pieces are counted from their two columns alone; their list has one row a piece.
+    """
     earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     pieces = (
-        cut.groupBy("_piece")
+        written.groupBy("_piece")
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
         .select("_piece", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    place = F.col("_before") + F.col("_at") - F.col("_first") + 1
-    return cut.join(pieces, "_piece").withColumn(name, place).select(*df.columns, name)
+    place = F.col("_before") + F.col("_at") - F.col("_first") + F.lit(first).cast("long")
+    return written.join(pieces, "_piece").withColumn(name, place)
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with the place of each row in the order, which must tell the rows apart; no task sees more than a piece."""
+    return place_in_pieces(stage(in_pieces(df, order)), name).select(*df.columns, name)
 
 
 def rank(order: list[str]) -> Column:

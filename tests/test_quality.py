@@ -118,7 +118,7 @@ def test_only_rivals_go_round(spark, monkeypatch, length):
     accepted, rejected = append_with_rejects(df, [Unique(("a",)), Unique(("b",))], ["o"])
     assert sorted(r["o"] for r in accepted.collect()) == [*range(100), *range(200, 200 + length, 2)]
     assert rejected.count() == length // 2
-    assert [n for n in sizes if n >= 100] == [100 + length, 100 + length]  # before and after the rounds
+    assert [n for n in sizes if n >= 100] == [100 + length]  # before the rounds; the outcome is written apart
     assert all(n <= length for n in sizes if n < 100)
 
 
@@ -229,3 +229,26 @@ def test_tables_round_trip(spark, table, tmp_path):
     assert read_table(spark, str(tmp_path), "accounts_balance").collect() == df.collect()
     publish(empty_like(spark, df.schema), f"{tmp_path}/accounts_balance")
     assert read_table(spark, str(tmp_path), "accounts_balance").count() == 0
+
+
+def test_a_batch_is_judged_and_written_once(spark, tmp_path, monkeypatch):
+    """One write with both outcomes, counted by its own job; what is read afterwards is that write, not the batch."""
+    spark.range(1000).selectExpr("id as o", "cast(id % 7 as int) as a").write.parquet(str(tmp_path / "in"))
+    given = spark.read.parquet(str(tmp_path / "in"))
+    writes = []
+    monkeypatch.setattr(constraints, "publish", lambda df, *a: writes.append(df) or publish(df, *a))
+    monkeypatch.setattr(constraints, "stage", lambda df: writes.append(df) or publish(df, scratch_dir(spark)))
+    done = constraints.append(given, [Check("a under 6", "a < 6")], ["o"], ids="id", first_id=10)
+    assert len(writes) == 1
+    assert writes[0]._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+    assert done.counts == {"accepted": 858, "rejected": 142}
+    assert sorted((r.o, r.id) for r in done.accepted.collect()) == [(i, i + 10) for i in range(1000) if i % 7 < 6]
+    assert sorted(int(r.id) for r in done.rejected.collect()) == [i + 10 for i in range(1000) if i % 7 == 6]
+    assert not any(str(tmp_path) in f for df in (done.accepted, done.rejected) for f in df.inputFiles())
+
+
+def test_counts_of_an_empty_batch(spark):
+    none = spark.createDataFrame([], "o int, a int")
+    done = constraints.append(none, [Unique(("a",))], ["o"], ids="id")
+    assert done.accepted.isEmpty() and done.rejected.isEmpty() and done.counts == {"accepted": 0, "rejected": 0}
+    assert done.accepted.columns == ["id", "o", "a"]

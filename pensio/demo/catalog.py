@@ -465,6 +465,7 @@ QUERIES: dict[str, Callable[[Plans], DataFrame]] = {
     "pension_contracts": lambda p: p.v_contracts,
     "contract_periods": lambda p: p.v_periods,
     "payments_by_contract": lambda p: p.v_payments,
+    "payments_by_contract_asof": lambda p: contracts.payments_by_contract(p.vypl_pen, p.v_periods, asof=True),
     "paid_by_contract": lambda p: contracts.paid_by_contract(p.v_payments),
     "restrictions_by_contract": lambda p: p.v_restrictions_imp,
     "restrictions_fixed": lambda p: p.v_restrictions_fixed,

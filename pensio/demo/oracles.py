@@ -421,6 +421,7 @@ ORACLES: dict[str, tuple[str, str]] = {
     "pension_contracts": ("SELECT * FROM {contracts_v}", _CONTRACT_DATES),
     "contract_periods": ("SELECT * FROM {periods_v}", _PERIOD_DATES),
     "payments_by_contract": ("SELECT * FROM {payments_v}", _PAYMENT_DATES),
+    "payments_by_contract_asof": ("SELECT * FROM {payments_v}", _PAYMENT_DATES),
     "paid_by_contract": (
         """SELECT ssylka_fl, ref_kodinsz, data_nach_vypl, count(*) AS payments, sum(summa) AS paid
            FROM {payments_v} GROUP BY ALL""",

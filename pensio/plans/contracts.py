@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from pensio.functions.semantics import OPEN_END, OPEN_START, day, month_start
-from pensio.operators.intervals import interval_join
+from pensio.operators.intervals import asof_join, interval_join
 from pensio.operators.ordering import windowed
 
 # Archived contract versions to leave out, as (participant, archive time).
@@ -152,11 +152,13 @@ def contract_periods(contracts: DataFrame) -> DataFrame:
 
 
 def payments_by_contract(
-    vypl_pen: DataFrame, periods: DataFrame, accruals: DataFrame | None = None
+    vypl_pen: DataFrame, periods: DataFrame, accruals: DataFrame | None = None, *, asof: bool = False
 ) -> DataFrame:
     """Each payment with the contract whose interval contains its accrual date.
 
-    ``accruals`` may name a cheaper DataFrame than ``vypl_pen`` whose first column covers the accrual dates.
+    ``accruals`` may name a cheaper DataFrame than ``vypl_pen`` whose first column covers the accrual dates. With
+    ``asof`` the contract is looked up in one sorted list of payments and contract starts instead of a join by year: open
+    intervals are not repeated, and a participant of any size is cut by month, for a sort of all payments.
     """
     contract = periods.select(
         F.col("ssylka").alias("ssylka_fl"), "status_pen", "data_nach_vypl", "data_okon_vypl",
@@ -167,10 +169,11 @@ def payments_by_contract(
         "ssylka_fl", "data_op", "data_nachisl", "tip_vypl", "summa", "oplach_dni", "nom_vkl", "nom_ips",
         "ssylka_doc",
     )
-    matched = interval_join(
-        payment, contract, key="ssylka_fl", point="data_nachisl", lo="from_date", hi="to_date",
-        years=accruals,
-    )
+    at = dict(key="ssylka_fl", point="data_nachisl", lo="from_date", hi="to_date")
+    if asof:
+        matched = asof_join(payment, contract, **at)
+    else:
+        matched = interval_join(payment, contract, **at, years=accruals)
     return matched.select(
         "status_pen", "ssylka_fl", "data_op", "data_nachisl", "tip_vypl", "summa", "oplach_dni",
         "data_nach_vypl", "data_okon_vypl", "lspv_nach_vypl_pen", "pd_data_okon_vypl", "ref_kodinsz",

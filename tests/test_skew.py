@@ -21,6 +21,8 @@ def folder(tmp_path_factory):
     [
         "pension_contracts",
         "payments_by_contract",
+        "payments_by_contract_asof",
+        "restrictions_fixed",
         "sp_ogr_pv_rev",
         "restrictions_by_contract",
         "registry_pay_orders",

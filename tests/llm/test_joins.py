@@ -248,3 +248,35 @@ def test_odd_rows_of_decontamination(spark, odd, none):
     assert decontaminate.decontaminate(odd, bench).columns == odd.columns
     assert decontaminate.contaminated(none, bench).count() == 0
     assert decontaminate.decontaminate(odd, bench.where("item_id < 0")).count() == odd.count()
+
+
+def test_pairs_at_the_threshold_meet_among_many_cells(spark, monkeypatch):
+    """Random vectors and partners at just above the threshold, with more than a hundred cells for one label."""
+    monkeypatch.setattr(neighbours, "CELL", 20)
+    r = np.random.default_rng(8)
+    x = neighbours.normalised(r.normal(size=(1300, 64)))
+    w = r.normal(size=x.shape)
+    w = neighbours.normalised(w - x * (x * w).sum(1, keepdims=True))
+    y = 0.932 * x + np.sqrt(1 - 0.932**2) * w
+    rows = [(i, v.tolist(), "one label") for i, v in enumerate(np.concatenate([x, y]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    nodes = df.selectExpr("vec_id as node", "label", "size(embedding) as dim", "1L as copies", "embedding")
+    assert len(neighbours.fit_centres(nodes)[("one label", 64)][0]) > 100
+    result = neighbours.near_duplicates(df)
+    assert neighbours.audit(df, result, 2600) >= 0.98
+    found = {v.vec_id: v.component_id for v in result.collect()}
+    assert np.mean([found[i] == found[i + 1300] for i in range(1300)]) >= 0.98
+
+
+def test_vectors_of_any_label_type_size_and_repetition(spark):
+    big = [1e300, 2e300, 0.0]
+    rows = [(1, big, 5_000_000_000), (2, big, 5_000_000_000), (2, big, 5_000_000_000), (3, [1.0, 2.0, 0.0], 5_000_000_000),
+            (4, big, 7), (5, None, 7), (6, big, None), (7, [0.93, (1 - 0.93**2) ** 0.5, 0.0], 8), (8, [1.0, 0.0, 0.0], 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").selectExpr("*", "1 as node", "2 as cell", "'h' as h")
+    got = sorted((v.vec_id, v.n_links, v.component_id, v.kept) for v in neighbours.near_duplicates(df).collect())
+    linked = float(np.dot(*neighbours.normalised([rows[7][1], rows[8][1]]))) >= 0.93
+    assert got == [
+        (1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (3, 3, 1, False), (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True),
+        (7, int(linked), 7, True), (8, int(linked), 7 if linked else 8, not linked),
+    ]
+    assert neighbours.near_duplicates(df.where("vec_id > 99")).count() == 0

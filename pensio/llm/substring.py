@@ -6,17 +6,16 @@ wherever it stands, also in the middle of a line. What is left of ``LONG`` words
 capitals give it, is cut further at the words whose hashes are smallest, ``MIN_WORDS`` apart. Paragraphs of at least ``MIN_WORDS`` words get MinHash values over
 their five-word shingles, combined into bands; ``bands`` finds the fewest bands that reach a recall at the threshold.
 
-Paragraphs with a band in common meet: within a batch of texts equal sets are one, those with equal bands meet the
-first of them and only that one is shuffled, then the same over all batches in band order. So an endlessly repeated
-paragraph is a few rows per task. Pairs with equal sets are right; the others are verified by exact Jaccard, and links
-make first components. Paragraphs of one band that are still in different components then meet each other: for each
-band, those outside its most frequent component meet all of another one, and are verified. So whatever shares a band
-is found, however rows are batched. Components of paragraphs are the clusters: the first paragraph (lowest doc_id,
-then place) is kept, the others are removals.
+Paragraphs are worked on as shingle sets, told apart by a 64-bit hash; equal paragraphs are one set. A task sends a set
+and its band keys once. The sets of a band meet the first of them, pairs are verified by exact Jaccard, and links make
+first components. Sets of one band that are still in different components then meet each other: for each band, those
+outside its most frequent component meet all of another one that have a shingle in common among the rarest ones, of
+which two sets that link must share one. So whatever shares a band is found, however rows are batched. Components of
+sets are the clusters: the first paragraph (lowest doc_id, then place) is kept, the others are removals.
 
 Only runs of clustered paragraphs with at least ``MIN_RUN`` words are reported, so a short common line is no finding.
-A document is known by doc_id (below 2**42) and holds fewer than 2**20 paragraphs; rows without doc_id take no part.
-Null and empty texts have no paragraphs.
+A document is known by doc_id, of any size; rows without doc_id take no part. Rows that repeat doc_id and text are found
+once; different texts of one doc_id are read one by one. Null and empty texts have no paragraphs.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pensio.llm.common import Words, characters, components, map_batches, mix, small, stage
-from pensio.llm.jaccard import verify
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -36,7 +34,7 @@ MIN_RUN = 20
 HASHED = 32  # one word in so many is a start in any case, for texts without sentences
 LONG = 2 * MIN_WORDS  # paragraphs of so many words are cut further
 GAP = 100  # code points of short paragraphs that a run may skip
-PLACES = 1 << 20
+SEEN = 500_000  # sets that a task remembers having sent
 
 
 def bands(similarity: float = SIMILARITY, recall: float = RECALL, noise: float = 0.2, false: float = 0.2) -> tuple[int, int]:
@@ -137,8 +135,11 @@ class Paragraphs:
         return part.sets(SHINGLE)
 
 
-def ids(doc_ids: pa.Array, paragraphs: Paragraphs) -> np.ndarray:
-    return doc_ids.to_numpy(zero_copy_only=False).astype(np.int64)[paragraphs.row] * PLACES + paragraphs.number
+def set_hashes(row: np.ndarray, h: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First shingle, size and hash of the set of each paragraph."""
+    starts = np.searchsorted(row, np.arange(count))
+    n = np.bincount(row, minlength=count)
+    return starts, n, mix(np.add.reduceat(mix(h), starts) + n.astype(np.uint64))
 
 
 def band_keys(row: np.ndarray, h: np.ndarray, count: int, shape: tuple[int, int]) -> np.ndarray:
@@ -154,197 +155,224 @@ def band_keys(row: np.ndarray, h: np.ndarray, count: int, shape: tuple[int, int]
     return out
 
 
+class Sent:
+    """Sets that a task has sent before; it forgets them where they are more than ``SEEN``."""
+
+    def __init__(self):
+        self.sets = np.zeros(0, np.uint64)
+
+    def new(self, sets: np.ndarray) -> np.ndarray:
+        """Which of the distinct ``sets`` are sent for the first time."""
+        first = ~np.isin(sets, self.sets)
+        self.sets = np.union1d(self.sets, sets) if len(self.sets) < SEEN else sets
+        return first
+
+
 def meetings(docs: DataFrame, shape: tuple[int, int]) -> DataFrame:
-    """(band, a, b, s, t, n, m): paragraphs a that share a band with paragraph b, the hashes of their sets and their
-    sizes. Every set of a band with several sets is in one of its rows. Band is 0 where the sets are equal."""
-    columns = ("pair", "key", "id", "s", "n", "band", "id2", "t", "m")
+    """(band, a, b, n, m): sets a that share a band with set b, the first of the band, and their sizes. Band is 0, and
+    b is a, for the sets of several paragraphs."""
 
     def make():
+        sent = Sent()
+
         def step(batch):
             own = Paragraphs(batch.column("text"))
-            if not len(own.row):
+            count = len(own.row)
+            if not count:
                 return None
             row, h = own.sets()
-            count = len(own.row)
-            starts = np.searchsorted(row, np.arange(count))
-            n = np.bincount(row, minlength=count)
-            whole = mix(np.add.reduceat(mix(h), starts))
-            pid = ids(batch.column("doc_id"), own)
-            none = np.zeros(count, np.uint64)
-            out = []
-
-            def add(pair, key, at, band, to):
-                out.append((np.full(len(at), pair), key, pid[at], whole[at], n[at], band, pid[to], whole[to], n[to]))
-
-            _, at, back = np.unique(whole, return_index=True, return_inverse=True)
-            rest = np.flatnonzero(at[back] != np.arange(count))
-            add(True, mix(pid[rest].astype(np.uint64)), rest, none[rest], at[back][rest])
-            sets = at  # one paragraph of each set
-            for keys in band_keys(row, h, count, shape)[sets].T:
-                _, at, back = np.unique(keys, return_index=True, return_inverse=True)
-                rest = np.flatnonzero(at[back] != np.arange(len(sets)))
-                add(False, keys[at], sets[at], none[at], sets[at])
-                add(True, mix(pid[sets[rest]].astype(np.uint64)), sets[rest], keys[rest], sets[at[back][rest]])
-            return dict(zip(columns, map(np.concatenate, zip(*out))))
+            _, n, s = set_hashes(row, h, count)
+            sets, at, times = np.unique(s, return_index=True, return_counts=True)
+            at = at[sent.new(sets)]
+            keys = band_keys(row, h, count, shape)[at].T
+            return {
+                "key": np.concatenate([sets, keys.ravel()]),
+                "s": np.concatenate([sets, np.tile(s[at], len(keys))]),
+                # A set's own row has the paragraphs it was found in, below 0; that of a band the size.
+                "n": np.concatenate([-times, np.tile(n[at], len(keys))]),
+            }
 
         return step
 
-    rows = map_batches(
-        docs, "pair boolean, key long, id long, s long, n long, band long, id2 long, t long, m long", make
-    )
-    # All rows of a key lie together in one task, in order, and are read as a stream.
-    rows = rows.repartition("key").sortWithinPartitions("key", "id")
+    rows = map_batches(docs.select("text"), "key long, s long, n int", make)
+    # All rows of a key lie together in one task, in order, and are read as a stream: a row a set and task.
+    rows = rows.repartition("key").sortWithinPartitions("key", "s")
 
     def meet():
-        last = None  # key, id, set and size of the first paragraph of the key read last
+        last = None  # key, set and size of the first set of the band read last
+        before = None  # the set of the row read last
 
         def step(batch):
-            nonlocal last
-            c = {x: batch.column(x).to_numpy(zero_copy_only=False) for x in batch.schema.names}
-            pair = c["pair"]
-            out = [tuple(c[x][pair] for x in ("band", "id", "id2", "s", "t", "n", "m"))]
-            key, own, s, n = (c[x][~pair] for x in ("key", "id", "s", "n"))
+            nonlocal last, before
+            key, s, n = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("key", "s", "n"))
+            whole, n = n < 0, n.astype(np.int64)
+            found = s[whole]
+            if len(found):
+                again = np.concatenate([[found[0] == before], found[1:] == found[:-1]]) | (n[whole] < -1)
+                before, found = found[-1], found[again]
+            none = np.zeros(len(found), np.int64)
+            out = [(none, found, found, none, none)]
+            key, s, n = key[~whole], s[~whole], n[~whole]
             if len(key):
                 new = np.concatenate([[last is None or key[0] != last[0]], key[1:] != key[:-1]])
                 at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-                head, t, m = own[at], s[at], n[at]
+                head, m = s[at], n[at]
                 if at[0] < 0:
-                    head, t, m = (np.where(at < 0, last[i], x) for i, x in ((1, head), (2, t), (3, m)))
-                band = np.where(s == t, 0, key)
-                out.append(tuple(x[~new] for x in (band, own, head, s, t, n, m)))
-                last = (key[-1], head[-1], t[-1], m[-1])
-            return dict(zip(("band", "a", "b", "s", "t", "n", "m"), map(np.concatenate, zip(*out))))
+                    head, m = np.where(at < 0, last[1], head), np.where(at < 0, last[2], m)
+                last = (key[-1], head[-1], m[-1])
+                other = s != head
+                out.append(tuple(x[other] for x in (key, s, head, n, m)))
+            return dict(zip(("band", "a", "b", "n", "m"), map(np.concatenate, zip(*out))))
 
         return step
 
-    met = map_batches(rows, "band long, a long, b long, s long, t long, n long, m long", meet)
-    return met.where("a <> b").distinct()
+    return map_batches(rows, "band long, a long, b long, n long, m long", meet).distinct()
 
 
-def _ordered(x: str, y: str) -> list:
-    return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(s, h): the shingles of the sets in ``wanted`` (s)."""
 
+    def make():
+        sent = Sent()
 
-def _apart(sets: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of paragraphs that share a band, are in different components, and can link by their sizes."""
-    rows = stage(
-        sets.join(parts, "node", "left")
-        .withColumn("c", F.coalesce("component_id", "node"))
-        .groupBy("band", "s", "c").agg(F.min("node").alias("node"), F.min("n").alias("n"))
-    )
+        def step(batch):
+            own = Paragraphs(batch.column("text"))
+            count = len(own.row)
+            if not count:
+                return None
+            row, h = own.sets()
+            starts, n, s = set_hashes(row, h, count)
+            sets, at = np.unique(s, return_index=True)
+            new = sent.new(sets)
+            sets, size, first = sets[new], n[at[new]], starts[at[new]]
+            ends = np.cumsum(size)
+            places = np.arange(size.sum()) + np.repeat(first - ends + size, size)
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            return {"s": sets, "h": pa.ListArray.from_arrays(offsets, pa.array(h[places].view(np.int64)))}
+
+        return step
+
+    rows = map_batches(docs.select("text"), "s long, h array<long>", make)
+    return rows.join(small(wanted), "s").dropDuplicates(["s"])
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``pairs`` (a, b) whose exact Jaccard similarity is at least ``similarity``."""
+    left = sets.select(F.col("s").alias("a"), F.col("h").alias("h_a"))
+    right = sets.select(F.col("s").alias("b"), F.col("h").alias("h_b"))
+    both = F.size(F.array_intersect("h_a", "h_b"))
+    union = F.size("h_a") + F.size("h_b") - both
+    return pairs.join(left, "a").join(right, "b").where(both >= union * similarity).select("a", "b")
+
+
+def _rarest(sets: DataFrame, similarity: float) -> DataFrame:
+    """(s, token): those shingles of each set, the rarest first, of which sets that link share one."""
+    tokens = sets.select("s", F.size("h").alias("size"), F.explode("h").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
+    order = F.sort_array(F.collect_list(F.struct("k", "token")))  # a paragraph has no more than LONG shingles
+    listed = tokens.join(counts, "token").groupBy("s", "size").agg(order.alias("order"))
+    needed = F.ceil(F.col("size") * similarity - 1e-9)
+    prefix = F.slice("order", F.lit(1), (F.col("size") - needed + 1).cast("int"))
+    return listed.select("s", F.explode(prefix.getField("token")).alias("token"))
+
+
+def _apart(members: DataFrame, parts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of sets that share a band, are in different components, and can link by their sizes and their
+    rarest shingles. ``members`` has (band, s, n)."""
+    component = parts.select(F.col("node").alias("s"), "component_id")
+    rows = stage(members.join(component, "s", "left").select("band", "s", "n", F.coalesce("component_id", "s").alias("c")))
     counts = rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("k"))
     major = stage(
         counts.groupBy("band").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1").select("band", F.col("m.c").alias("major"))
     )
     mixed = stage(rows.join(small(major), "band"))
-    x, y = mixed.where("c <> major").alias("x"), mixed.alias("y")
+    rare = _rarest(sets.join(mixed.select("s").distinct(), "s"), similarity)
+    both = stage(mixed.join(rare, "s"))
+    x, y = both.where("c <> major").alias("x"), both.alias("y")
     can = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * similarity
-    return x.join(y, "band").where((F.col("x.c") != F.col("y.c")) & can).select(*_ordered("x.node", "y.node")).distinct()
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` (a, b) of paragraphs that link."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = stage(paragraph_texts(docs, nodes))
-    return verify(pairs, texts, SHINGLE).where(F.col("both") >= F.col("any") * similarity).select("a", "b")
+    pair = [F.greatest("x.s", "y.s").alias("a"), F.least("x.s", "y.s").alias("b")]
+    return x.join(y, ["band", "token"]).where((F.col("x.c") != F.col("y.c")) & can).select(*pair).distinct()
 
 
 def clusters_of(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """(node, component_id) of the paragraphs of ``docs`` (doc_id, text) that link with another one."""
+    """(s, c): the sets that several paragraphs of ``docs`` have, or that link with another one, and their component."""
     met = stage(meetings(docs, bands(similarity, recall)))
     different = met.where("band <> 0")
-    sets = stage(
-        different.select("band", F.col("a").alias("node"), "s", "n")
-        .union(different.select("band", "b", "t", "m")).distinct()
+    members = stage(
+        different.select("band", F.col("a").alias("s"), "n").union(different.select("band", "b", "m")).distinct()
     )
-    # Equal sets that met others first.
-    first = sets.groupBy("s").agg(F.min("node").alias("b"))
-    equal = sets.select("s", F.col("node").alias("a")).distinct().join(first, "s").where("a <> b").select("a", "b")
+    sets = stage(contents(docs, stage(members.select("s").distinct())))
     near = F.least("n", "m") >= F.greatest("n", "m") * similarity
-    unsure = stage(different.where(near).select(*_ordered("a", "b")).distinct())
-    links = stage(
-        met.where("band = 0").select("a", "b").distinct().unionByName(equal)
-        .unionByName(_verified(unsure, docs, similarity))
-    )
+    links = stage(_linked(different.where(near).select("a", "b").distinct(), sets, similarity))
     parts = stage(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-    apart = stage(_apart(sets, parts, similarity).join(unsure, ["a", "b"], "left_anti"))
-    more = stage(_verified(apart, docs, similarity))
-    if more.isEmpty():
-        return parts
-    both = links.unionByName(more)
-    return stage(components(both.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-
-
-def paragraph_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text) of the paragraphs in ``wanted`` (node)."""
-    by_doc = stage(
-        wanted.select(F.floor(F.col("node") / PLACES).alias("w_doc"), F.pmod("node", F.lit(PLACES)).cast("int").alias("p"))
-        .groupBy("w_doc").agg(F.collect_set("p").alias("places"))
-    )
-    rows = docs.join(small(by_doc), F.col("doc_id") == F.col("w_doc")).select("doc_id", "text", "places")
-
-    def make():
-        def step(batch):
-            own = Paragraphs(batch.column("text"))
-            pid = ids(batch.column("doc_id"), own)
-            sizes = [len(x) for x in batch.column("places").to_pylist()]
-            doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), sizes)
-            asked = doc * PLACES + batch.column("places").flatten().to_numpy()
-            data, words = own.words.data, own.words
-            at = np.flatnonzero(np.isin(pid, asked))
-            return {
-                "node": pid[at],
-                "text": [data[words.start[own.first[i]] : words.end[own.end[i] - 1]].tobytes().decode() for i in at],
-            }
-
-        return step
-
-    return map_batches(rows, "node long, text string", make).dropDuplicates(["node"])
+    more = stage(_linked(_apart(members, parts, sets, similarity), sets, similarity))
+    if not more.isEmpty():
+        both = links.unionByName(more)
+        parts = stage(components(both.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    linked = parts.select(F.col("node").alias("s"), F.col("component_id").alias("c"))
+    alone = met.where("band = 0").select(F.col("a").alias("s")).join(linked, "s", "left_anti")
+    return stage(linked.unionByName(alone.withColumn("c", F.col("s"))))
 
 
 def places(docs: DataFrame) -> DataFrame:
-    """(node, doc_id, paragraph, start, stop, n_words) of every paragraph; code points, stop exclusive."""
+    """(s, doc_id, text_hash, paragraph, start, stop, n_words) of every paragraph; code points, stop exclusive."""
 
     def make():
         def step(batch):
             own = Paragraphs(batch.column("text"))
+            if not len(own.row):
+                return None
             words = own.words
             points = characters(words.data)
             base = points[words.offsets[own.row]]
+            sums = np.zeros(len(words.hash) + 1, np.uint64)
+            place = np.arange(len(words.hash)) - words.first[words.row]
+            np.cumsum(mix(words.hash + place.astype(np.uint64)), out=sums[1:], dtype=np.uint64)
+            texts = sums[words.first[1:]] - sums[words.first[:-1]]
             return {
-                "node": ids(batch.column("doc_id"), own),
+                "s": set_hashes(*own.sets(), len(own.row))[2],
                 "doc_id": batch.column("doc_id").to_numpy(zero_copy_only=False)[own.row],
+                "text_hash": texts[own.row],
                 "paragraph": own.number,
                 "start": points[words.start[own.first]] - base,
-                "stop": points[words.end[own.end - 1]] - base if len(own.row) else base,
+                "stop": points[words.end[own.end - 1]] - base,
                 "n_words": own.end - own.first,
             }
 
         return step
 
-    return map_batches(docs, "node long, doc_id long, paragraph long, start long, stop long, n_words long", make)
+    schema = "s long, doc_id long, text_hash long, paragraph long, start long, stop long, n_words long"
+    return map_batches(docs.select("doc_id", "text"), schema, make)
 
 
 def repeated(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, min_run: int = MIN_RUN) -> DataFrame:
-    """(doc_id, paragraph, start, stop, n_words, run_words, component_id, kept) of every clustered paragraph in a
-    run of at least ``min_run`` words. ``component_id`` is the first paragraph of the cluster."""
+    """(doc_id, paragraph, start, stop, n_words, run_words, first_doc_id, first_paragraph, kept) of every clustered
+    paragraph in a run of at least ``min_run`` words. The first paragraph of its cluster names the cluster."""
     docs = docs.where("doc_id is not null").select("doc_id", "text")
-    clusters = clusters_of(docs, similarity, recall)
-    found = places(docs).join(small(clusters), "node")
-    along = Window.partitionBy("doc_id").orderBy("paragraph")
+    found = stage(places(docs).join(small(clusters_of(docs, similarity, recall)), "s").drop("s"))
+    first = F.min(F.struct("doc_id", "paragraph")).alias("first")
+    firsts = stage(
+        found.groupBy("c").agg(first)
+        .select("c", F.col("first.doc_id").alias("first_doc_id"), F.col("first.paragraph").alias("first_paragraph"))
+    )
+    text = ["doc_id", "text_hash"]
+    along = Window.partitionBy(*text).orderBy("paragraph")
     near = (F.col("paragraph") - F.lag("paragraph").over(along) == 1) & (
         F.col("start") - F.lag("stop").over(along) <= GAP
     )
     apart = F.when(near, 0).otherwise(1)
     run = F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    return (
-        found.withColumn("new", apart)
+    runs = (
+        found.repartition(*text)
+        .dropDuplicates([*text, "paragraph"])
+        .withColumn("new", apart)
         .withColumn("run", run)
-        .withColumn("run_words", F.sum("n_words").over(Window.partitionBy("doc_id", "run")))
+        .withColumn("run_words", F.sum("n_words").over(Window.partitionBy(*text, "run")))
         .where(F.col("run_words") >= min_run)
-        .select(
-            "doc_id", "paragraph", "start", "stop", "n_words", "run_words", "component_id",
-            (F.col("node") == F.col("component_id")).alias("kept"),
-        )
+    )
+    kept = (F.col("doc_id") == F.col("first_doc_id")) & (F.col("paragraph") == F.col("first_paragraph"))
+    return runs.join(small(firsts), "c").select(
+        "doc_id", "paragraph", "start", "stop", "n_words", "run_words", "first_doc_id", "first_paragraph",
+        kept.alias("kept"),
     )

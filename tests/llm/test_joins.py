@@ -91,7 +91,7 @@ def test_passages_inside_other_texts_are_found(docs):
     assert not {r.doc_id for r in found} & set(range(20))
     texts = dict(rows)
     for r in found:
-        assert r.kept == (r.doc_id * substring.PLACES + r.paragraph == r.component_id)
+        assert r.kept == ((r.doc_id, r.paragraph) == (r.first_doc_id, r.first_paragraph))
         if r.doc_id < 26:
             assert texts[r.doc_id][r.start : r.stop] in passage or r.run_words > 60
     assert any(r.kept for r in found)
@@ -110,7 +110,7 @@ def test_paragraphs_that_share_a_band_meet_whatever_comes_first(docs):
     row, h = own.sets()
     keys = substring.band_keys(row, h, len(own.row), substring.bands())
     sets = [set(h[row == i].tolist()) for i in range(len(own.row))]
-    names = [int(own.row[i]) * substring.PLACES + int(own.number[i]) for i in range(len(sets))]
+    names = [(int(own.row[i]), int(own.number[i])) for i in range(len(sets))]
     links = []
     for i in range(len(sets)):
         for j in range(i):
@@ -120,7 +120,7 @@ def test_paragraphs_that_share_a_band_meet_whatever_comes_first(docs):
     # In one batch and in many.
     for pieces in (1, 7):
         found = substring.repeated(docs(*enumerate(rows)).repartition(pieces), min_run=0).collect()
-        assert {x.doc_id * substring.PLACES + x.paragraph: x.component_id for x in found} == wanted
+        assert {(x.doc_id, x.paragraph): (x.first_doc_id, x.first_paragraph) for x in found} == wanted
 
 
 def test_passages_of_lower_case_words_without_stops_are_found(docs):
@@ -142,6 +142,18 @@ def test_passages_of_lower_case_words_without_stops_are_found(docs):
         assert " ".join(texts[r.doc_id][r.start : r.stop].split(" ")[2:-2]) in texts[r.doc_id ^ 1]
 
 
+def test_documents_of_any_id_and_repeated_rows(docs):
+    passage, high = prose(99, 60), 1 << 62
+    mine = prose(31, 100)
+    rows = [(high + i, f"{prose(40 + i, 100)} {passage}") for i in range(3)] + [(5, mine), (5, mine), (6, mine), (7, prose(8, 90))]
+    for pieces in (1, 4):
+        found = substring.repeated(docs(*rows).repartition(pieces)).collect()
+        assert {r.doc_id for r in found} == {high, high + 1, high + 2, 5, 6}
+        assert len({(r.doc_id, r.paragraph) for r in found}) == len(found)
+        assert {r.first_doc_id for r in found} == {high, 5}
+        assert all(r.kept == (r.doc_id == r.first_doc_id) for r in found)
+
+
 def test_odd_rows_of_passages(odd, none):
     found = substring.repeated(odd).collect()
     assert {r.doc_id for r in found} == {1, 2}

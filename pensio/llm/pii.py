@@ -1,13 +1,18 @@
 """Personal data: overlapping candidates from generous generators, selected by boosted trees.
 
 Spans that meet the base rules are always kept. Beside them, generous patterns propose spans that the base rules do not
-read as personal data: addresses written with "(at)" and "[dot]", phone numbers without a plus sign, cards cut by dots.
-Boosted trees score such a span by its format and the words around it; a span is added where its score reaches the
-threshold calibrated for its kind and it overlaps no other.
-
-The trees learn from the base spans of a bounded sample of documents, also in those looser spellings, against all
-candidates that fail the base rules. A kind whose held-out candidates never reach the wanted precision gets no
-additions. Null and empty texts have no spans; equal rows get equal results.
+read as personal data: addresses written with "(at)" and "[dot]", phone numbers without a plus sign, cards cut by dots,
+and, as a kind of its own, secrets (long words of letters and digits). Boosted trees score such a span by its format and
+the words around it; a span is added where its score reaches the threshold calibrated for its kind and it overlaps no
+other.
+
+The trees learn from a bounded sample of documents. Examples are the base spans in looser spellings; counter-examples
+are the same spans broken - a digit that spoils the Luhn sum, a part above 255, a version number, a date, too few
+digits, a host without a domain - in the same surroundings, and all candidates of the sample that fail the base rules.
+A secret is an example where a word such as "token" or "password" stands before it or its format is a known one, and
+once more without its surroundings; other long words are counter-examples. Thresholds come from a held-out third. A
+kind without counter-examples, or whose held-out candidates never reach the wanted precision, gets no additions. Null
+and empty texts have no spans; equal rows get equal results.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from pensio.llm.boosting import Trees
 from pensio.llm.common import map_batches
 
 KINDS = ("email", "ip", "card", "phone")
+ADDED = (*KINDS, "secret")  # kinds of the method; base spans have the first four
 SAMPLE_DOCUMENTS = 4000  # documents the trees learn from, at most
 SAMPLE_CANDIDATES = 20_000
 PRECISION = 0.995
@@ -38,18 +44,22 @@ _DIGIT = re.compile(r"[0-9]")
 _LOOSE = {
     "email": re.compile(
         r"[A-Za-z0-9._%+-]{1,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,64}"
-        r"(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z0-9-]{1,64}){1,8}"
+        r"(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z0-9-]{1,64}){0,8}"
     ),
     "ip": re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\x20\.\x20|\.)[0-9]{1,3}){3}(?![0-9])"),
     "card": re.compile(r"(?<![0-9])[0-9]{3,6}(?:[.\x20/_-]?[0-9]{2,6}){2,4}(?![0-9])"),
     "phone": re.compile(r"(?<![0-9A-Za-z+])\(?[0-9]{1,4}\)?(?:[.\x20/-]\(?[0-9]{2,4}\)?){2,4}(?![0-9A-Za-z])"),
+    "secret": re.compile(r"[A-Za-z0-9+/_-]{16,}"),
 }
 _HINTS = {
     "email": re.compile(r"e?-?mail|write|contact", re.I),
     "ip": re.compile(r"\bip\b|host|server|address", re.I),
     "card": re.compile(r"card|visa|credit|account", re.I),
     "phone": re.compile(r"phone|tel|call|mobile|fax", re.I),
+    "secret": re.compile(r"(?:token|secret|passw(?:or)?d|pwd|key)\W{0,4}$", re.I),
 }
+#: Formats of access keys that say what they are. Fixed values.
+_KNOWN = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}")
 
 Span = tuple[str, int, int]
 
@@ -108,20 +118,27 @@ def candidates(text: str) -> list[Span]:
     if _DIGIT.search(text):
         for kind in KINDS[1:]:
             out += [(kind, *m.span()) for m in _LOOSE[kind].finditer(text)]
+    out += [("secret", *m.span()) for m in _LOOSE["secret"].finditer(text)]
     return out
 
 
 def features(kind: str, span: str, left: str, right: str) -> list[float]:
     """Format and context of a span: its kind, characters and groups, and what stands around it."""
     digits = [c for c in span if "0" <= c <= "9"]
+    size = max(1, len(span))
     groups = re.split(r"[^0-9]+", span)
     groups = [g for g in groups if g] or [""]
     parts = [int(g) for g in groups if len(g) <= 4 and g] or [0]
     return [
-        KINDS.index(kind),
+        ADDED.index(kind),
         len(span),
         len(digits),
-        len(digits) / max(1, len(span)),
+        len(digits) / size,
+        sum("A" <= c <= "Z" for c in span) / size,
+        sum("a" <= c <= "z" for c in span) / size,
+        sum(c in "0123456789abcdefABCDEF" for c in span) / size,
+        sum(("0" <= c <= "9") != ("0" <= d <= "9") for c, d in zip(span, span[1:])) / size,
+        float(bool(_KNOWN.fullmatch(span))),
         len(groups),
         max(map(len, groups)),
         min(map(len, groups)),
@@ -130,6 +147,7 @@ def features(kind: str, span: str, left: str, right: str) -> list[float]:
         max(parts),
         float(luhn("".join(digits))) if digits else 0.0,
         span.count("."),
+        span.count(".") + span.count("dot"),
         span.count("-") + span.count("/"),
         span.count(" "),
         span.count("(") + span.count("["),
@@ -140,6 +158,8 @@ def features(kind: str, span: str, left: str, right: str) -> list[float]:
         float(right[:1].isalnum()),
         float(left[-1:] in "=\"'#$/"),
         float(bool(_HINTS[kind].search(left))),
+        float(left.rstrip()[-7:].lower() == "version" or left[-1:] in "vV"),
+        float(right[:1] == "." and right[1:2].isdigit()),
         float(sum("0" <= c <= "9" for c in left + right)),
     ]
 
@@ -162,6 +182,28 @@ def _looser(kind: str, span: str) -> list[str]:
     return [span.lstrip("+"), f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}"]
 
 
+def _broken(kind: str, span: str, left: str, right: str) -> list[tuple[str, str, str]]:
+    """Spans made from a base span that look like one and are none, with what stands around them."""
+    digits = re.sub(r"[^0-9]", "", span)
+    if kind == "email":
+        name, _, host = span.partition("@")
+        first = host.split(".")[0]
+        before, after = (re.findall(r"[A-Za-z0-9]+", x) or ["x"] for x in (left, right))
+        spans = [f"{name} (at) {first}", f"{name}[at]{len(name)}.{len(host)}", f"{before[-1]} (at) {after[0]}"]
+    elif kind == "ip":
+        parts = span.split(".")
+        high = [*parts[:1], str(256 + int(parts[1]) % 700), *parts[2:]]
+        version = ".".join(str(int(x) % 10) for x in parts)
+        return [("[.]".join(high), left, right), (".".join(high), left, right), (version, "version ", right), (version, left, ".1" + right[:6])]
+    elif kind == "card":
+        wrong = digits[:-1] + str((int(digits[-1]) + 1 + int(digits[0]) % 8) % 10)
+        spans = [*_looser("card", wrong), wrong]
+    else:
+        day = f"{1990 + int(digits[-2:]) % 40}", f"{1 + int(digits[-3:]) % 12:02d}", f"{1 + int(digits[:3]) % 28:02d}"
+        spans = ["-".join(day), ".".join(reversed(day)), f"{digits[:2]} {digits[2:4]} {digits[4:6]}"]
+    return [(s, left, right) for s in spans]
+
+
 def plain(kind: str, span: str) -> str:
     """The usual spelling of a candidate."""
     if kind == "email":
@@ -172,46 +214,49 @@ def plain(kind: str, span: str) -> str:
 
 
 def examples(text: str) -> list[tuple[int, list[float]]]:
-    """Labelled candidates of one text: base spans in looser spellings, and other candidates that touch none."""
+    """Labelled candidates of one text: base spans in looser spellings, the same broken, and other candidates that
+    touch none."""
     base = base_spans(text)
     out = []
     for kind, a, b in base:
         span, left, right = _around(text, a, b)
-        for other in _looser(kind, span):
-            if _LOOSE[kind].fullmatch(other):
-                out.append((1, features(kind, other, left, right)))
+        whole = _LOOSE[kind].fullmatch
+        out += [(1, features(kind, s, left, right)) for s in _looser(kind, span) if whole(s)]
+        out += [(0, features(kind, *near)) for near in _broken(kind, span, left, right) if whole(near[0])]
     for kind, a, b in candidates(text):
-        usual = plain(kind, text[a:b])
+        if any(a < d and c < b for _, c, d in base):
+            continue
+        span, left, right = _around(text, a, b)
+        if kind == "secret":
+            sure = bool(_HINTS[kind].search(left) or _KNOWN.fullmatch(span))
+            out.append((int(sure), features(kind, span, left, right)))
+            if sure:
+                out.append((1, features(kind, span, "", "")))
+            continue
+        usual = plain(kind, span)
         # What meets the base rule once it is spelled as usual speaks neither for nor against.
-        if not any(a < d and c < b for _, c, d in base) and (kind, 0, len(usual)) not in base_spans(usual):
-            out.append((0, features(kind, *_around(text, a, b))))
+        if (kind, 0, len(usual)) not in base_spans(usual):
+            out.append((0, features(kind, span, left, right)))
     return out
 
 
 class Model:
-    """Trees and a threshold for each kind; a threshold above 1 adds nothing.
-
-    A kind without a single counter-example among at least ``SURE`` examples needs no trees: all its candidates are
-    as good as those seen.
-    """
+    """Trees and a threshold for each kind; a threshold above 1 adds nothing."""
 
     def __init__(self, labels: np.ndarray, rows: np.ndarray, precision: float = PRECISION):
-        self.trees: dict[str, Trees | None] = {}
+        self.trees: dict[str, Trees] = {}
         self.thresholds: dict[str, float] = {}
-        for i, kind in enumerate(KINDS):
+        for i, kind in enumerate(ADDED):
             own = rows[:, 0] == i
             x, y = rows[own], labels[own]
             held = np.arange(len(y)) % 3 == 0
-            self.trees[kind], self.thresholds[kind] = None, 2.0
-            if len(y) >= SURE and y.all():
-                self.thresholds[kind] = 0.5
-            elif len(y) >= SURE and y[held].any() and y[~held].any() and not y[~held].all():
+            self.thresholds[kind] = 2.0
+            if len(y) >= SURE and all(part.any() and not part.all() for part in (y[held], y[~held])):
                 self.trees[kind] = Trees(x[~held], y[~held])
                 self.thresholds[kind] = _threshold(self.trees[kind].probability(x[held]), y[held], precision)
 
     def score(self, kind: str, span: str, left: str, right: str) -> float:
-        trees = self.trees[kind]
-        return 1.0 if trees is None else float(trees.probability([features(kind, span, left, right)])[0])
+        return float(self.trees[kind].probability([features(kind, span, left, right)])[0])
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         free = [
@@ -245,7 +290,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
     lowest = docs.where("doc_id is not null").select(order.alias("h")).distinct().orderBy("h").limit(sample)
     bound = lowest.agg(F.max("h")).first()[0]
     if bound is None:
-        return Model(np.zeros(0), np.zeros((0, len(KINDS))))
+        return Model(np.zeros(0), np.zeros((0, 1)))
 
     def make():
         def step(batch):
@@ -273,7 +318,7 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
                 base = base_spans(text) if text else []
                 more = model.added(text, base) if text else []
                 both = [(*s, True) for s in base] + [(*s, False) for s in more]
-                both.sort(key=lambda s: (s[1], KINDS.index(s[0])))
+                both.sort(key=lambda s: (s[1], ADDED.index(s[0])))
                 spans.append([dict(zip(("kind", "start", "stop", "base"), s)) for s in both])
             return {"doc_id": batch.column("doc_id"), "text": batch.column("text"), "spans": spans}
 
@@ -297,7 +342,7 @@ def digests(docs: DataFrame, model: Model | None = None) -> DataFrame:
                     out[f"n_{kind}"].append(sum(s[0] == kind for s in base))
                 joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
                 out["base_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
-                both = sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0])))
+                both = sorted(base + more, key=lambda s: (s[1], ADDED.index(s[0])))
                 out["spans"].append(",".join(f"{k}:{a}:{b}" for k, a, b in both))
             return out | {"doc_id": batch.column("doc_id")}
 
@@ -328,7 +373,7 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
             texts, sizes = [], batch.column("n_chars").to_pylist() if "n_chars" in columns else []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 base = base_spans(text) if text else []
-                spans = sorted(base + (model.added(text, base) if text else []), key=lambda s: (s[1], KINDS.index(s[0])))
+                spans = sorted(base + (model.added(text, base) if text else []), key=lambda s: (s[1], ADDED.index(s[0])))
                 texts.append(redacted(text, spans) if spans else text)
                 if spans and sizes:
                     sizes[i] = len(texts[-1])

@@ -13,7 +13,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from pensio.llm import language, lm, packing, pii, quality, toxicity
+from pensio.llm import boosting, language, lm, packing, pii, quality, toxicity
 from pensio.llm.common import crc32_of
 from tests.llm.conftest import prose
 
@@ -127,6 +127,103 @@ def test_personal_data_of_documents(odd, none, docs):
     assert pii.digests(none).count() == 0
 
 
+def plain_boosting(x, y, rounds=6, depth=2, rate=0.3, bins=4, ridge=1.0):
+    """Logistic boosting one split at a time, without bins' sums."""
+    cuts = [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1]))) for j in range(x.shape[1])]
+    base = np.log(y.mean() / (1 - y.mean()))
+    margin = np.full(len(y), base)
+
+    def grow(rows, g, h, level):
+        value = -g[rows].sum() / (h[rows].sum() + ridge)
+        if level == depth or len(rows) < 8:
+            return lambda i: value
+        gain_of = lambda part: g[part].sum() ** 2 / (h[part].sum() + ridge)
+        best = (1e-6, None, None)
+        for j, own in enumerate(cuts):
+            for cut in own:
+                low, high = rows[x[rows, j] <= cut], rows[x[rows, j] > cut]
+                if h[low].sum() < 1e-3 or h[high].sum() < 1e-3:
+                    continue
+                gain = gain_of(low) + gain_of(high) - gain_of(rows)
+                if gain > best[0] + 1e-12:
+                    best = (gain, j, cut)
+        if best[1] is None:
+            return lambda i: value
+        _, j, cut = best
+        left = grow(rows[x[rows, j] <= cut], g, h, level + 1)
+        right = grow(rows[x[rows, j] > cut], g, h, level + 1)
+        return lambda i: left(i) if x[i, j] <= cut else right(i)
+
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        tree = grow(np.arange(len(y)), p - y, p * (1 - p), 0)
+        margin = margin + rate * np.array([tree(i) for i in range(len(y))])
+    return 1 / (1 + np.exp(-margin))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_trees_are_those_of_a_plain_version(seed):
+    r = np.random.default_rng(seed)
+    x = np.round(r.normal(size=(150, 4)), 2)
+    y = ((x[:, 0] * x[:, 1] > 0) ^ (r.random(150) < 0.1)).astype(float)
+    trees = boosting.Trees(x, y, rounds=6, depth=2, bins=4)
+    assert trees.probability(x) == pytest.approx(plain_boosting(x, y), abs=1e-9)
+
+
+@given(st.lists(st.tuples(st.integers(0, 10), st.booleans()), min_size=1, max_size=30))
+def test_threshold_is_the_lowest_with_the_precision(pairs):
+    p, y = np.array([a / 10 for a, _ in pairs]), np.array([float(b) for _, b in pairs])
+    good = [c for c in sorted(set(p)) if c >= 0.5 and y[p >= c].mean() >= 0.9]
+    got = pii._threshold(p, y, 0.9)
+    if not good:
+        assert got == 2.0
+    else:
+        assert set(np.flatnonzero(p >= got)) == set(np.flatnonzero(p >= good[0]))
+
+
+def valid_card(r):
+    body = "4" + "".join(r.choice("0123456789") for _ in range(14))
+    return next(body + d for d in "0123456789" if pii.luhn(body + d))
+
+
+def test_added_spans_of_held_out_texts_by_kind(docs):
+    """Trees of one set of texts find other spellings in another one and leave what only looks alike."""
+    r = random.Random(11)
+
+    def filled(i, *things):
+        return " ".join([prose(i, 12), *(f"{x} {prose(5000 * k + i, 6)}" for k, x in enumerate(things, 1))])
+
+    def usual():
+        return (
+            f"user{r.randrange(10**6)}@mail{r.randrange(9)}.example.com", ".".join(str(r.randrange(1, 256)) for _ in range(4)),
+            valid_card(r), f"+1 ({r.randrange(200, 999)}) 555-{r.randrange(10**4):04d}", f'token = "{r.getrandbits(160):040x}"',
+        )
+
+    train = docs(*((i, filled(i, *usual(), "internationalization" + "s" * (i % 9))) for i in range(250)))
+    model = pii.fit(train)
+    assert all(model.thresholds[k] <= 1 for k in pii.ADDED)
+    right, wrong, wanted = Counter(), Counter(), Counter()
+    for i in range(300, 400):
+        email, ip, card, phone, token = usual()
+        secret = token.split('"')[1]
+        bad = card[:-1] + str((int(card[-1]) + 3) % 10)
+        true = {
+            "email": email.replace("@", " (at) "), "ip": ip.replace(".", "[.]"),
+            "card": ".".join(card[k : k + 4] for k in (0, 4, 8, 12)), "phone": phone[1:], "secret": secret,
+        }
+        false = ["see (at) noon", "version 3.4.1.2", f"{bad[:4]}.{bad[4:8]}.{bad[8:12]}.{bad[12:]}", "2021-05-17", "electroencephalography"]
+        text = filled(i, *true.values(), *false)
+        added = {(k, text[a:b]) for k, a, b in model.added(text, pii.base_spans(text))}
+        for kind in pii.ADDED:
+            mine = {s for k, s in added if k == kind}
+            wanted[kind] += 1
+            right[kind] += any(s in true[kind] and 2 * len(s) > len(true[kind]) for s in mine)
+            wrong[kind] += sum(s not in true[kind] and true[kind] not in s for s in mine)
+    for kind in pii.ADDED:
+        assert right[kind] >= 0.9 * wanted[kind], (kind, right, wrong)
+        assert wrong[kind] <= 0.05 * wanted[kind], (kind, right, wrong)
+
+
 def slow_viterbi(scores, penalty):
     import itertools
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pensio.llm.common import Words, characters, components, map_batches, mix, small, stage
 
@@ -34,7 +34,7 @@ MIN_RUN = 20
 HASHED = 32  # one word in so many is a start in any case, for texts without sentences
 LONG = 2 * MIN_WORDS  # paragraphs of so many words are cut further
 GAP = 100  # code points of short paragraphs that a run may skip
-SEEN = 500_000  # sets that a task remembers having sent
+SEEN = 1 << 18  # places in which a task remembers sets that it has sent
 
 
 def bands(similarity: float = SIMILARITY, recall: float = RECALL, noise: float = 0.2, false: float = 0.2) -> tuple[int, int]:
@@ -156,15 +156,16 @@ def band_keys(row: np.ndarray, h: np.ndarray, count: int, shape: tuple[int, int]
 
 
 class Sent:
-    """Sets that a task has sent before; it forgets them where they are more than ``SEEN``."""
+    """Sets that a task has sent before: a set has one of ``SEEN`` places, where a later one takes over."""
 
     def __init__(self):
-        self.sets = np.zeros(0, np.uint64)
+        self.sets = np.zeros(SEEN, np.uint64)
 
     def new(self, sets: np.ndarray) -> np.ndarray:
-        """Which of the distinct ``sets`` are sent for the first time."""
-        first = ~np.isin(sets, self.sets)
-        self.sets = np.union1d(self.sets, sets) if len(self.sets) < SEEN else sets
+        """Which of the distinct ``sets`` are not known to be sent."""
+        place = sets & np.uint64(SEEN - 1)
+        first = self.sets[place] != sets
+        self.sets[place] = sets
         return first
 
 
@@ -183,8 +184,13 @@ def meetings(docs: DataFrame, shape: tuple[int, int]) -> DataFrame:
             row, h = own.sets()
             _, n, s = set_hashes(row, h, count)
             sets, at, times = np.unique(s, return_index=True, return_counts=True)
-            at = at[sent.new(sets)]
-            keys = band_keys(row, h, count, shape)[at].T
+            new = sent.new(sets)
+            at = at[new]
+            mine = np.zeros(count, bool)
+            mine[at] = True
+            number = np.cumsum(mine) - 1
+            own_row = mine[row]
+            keys = band_keys(number[row[own_row]], h[own_row], len(at), shape)[number[at]].T
             return {
                 "key": np.concatenate([sets, keys.ravel()]),
                 "s": np.concatenate([sets, np.tile(s[at], len(keys))]),
@@ -256,13 +262,16 @@ def contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.join(small(wanted), "s").dropDuplicates(["s"])
 
 
+def _similar(x: str, y: str, similarity: float) -> Column:
+    both = F.size(F.array_intersect(x, y))
+    return both >= (F.size(x) + F.size(y) - both) * similarity
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """``pairs`` (a, b) whose exact Jaccard similarity is at least ``similarity``."""
     left = sets.select(F.col("s").alias("a"), F.col("h").alias("h_a"))
     right = sets.select(F.col("s").alias("b"), F.col("h").alias("h_b"))
-    both = F.size(F.array_intersect("h_a", "h_b"))
-    union = F.size("h_a") + F.size("h_b") - both
-    return pairs.join(left, "a").join(right, "b").where(both >= union * similarity).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(_similar("h_a", "h_b", similarity)).select("a", "b")
 
 
 def _rarest(sets: DataFrame, similarity: float) -> DataFrame:
@@ -277,22 +286,26 @@ def _rarest(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _apart(members: DataFrame, parts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of sets that share a band, are in different components, and can link by their sizes and their
-    rarest shingles. ``members`` has (band, s, n)."""
+    """Links (a, b) of sets that share a band and are in different components; candidates share one of their rarest
+    shingles, and are verified where they meet. ``members`` has (band, s)."""
     component = parts.select(F.col("node").alias("s"), "component_id")
-    rows = stage(members.join(component, "s", "left").select("band", "s", "n", F.coalesce("component_id", "s").alias("c")))
+    rows = stage(members.join(component, "s", "left").select("band", "s", F.coalesce("component_id", "s").alias("c")))
     counts = rows.groupBy("band", "c").agg(F.count(F.lit(1)).alias("k"))
     major = stage(
         counts.groupBy("band").agg(F.max(F.struct("k", "c")).alias("m"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1").select("band", F.col("m.c").alias("major"))
     )
-    mixed = stage(rows.join(small(major), "band"))
-    rare = _rarest(sets.join(mixed.select("s").distinct(), "s"), similarity)
-    both = stage(mixed.join(rare, "s"))
-    x, y = both.where("c <> major").alias("x"), both.alias("y")
-    can = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * similarity
+    # A set is in few bands. Of two sets of one band in different components, one is not of its most frequent component.
+    mixed = rows.join(small(major), "band").groupBy("s", "c").agg(
+        F.collect_set("band").alias("bands"), F.max(F.col("c") != F.col("major")).alias("minor")
+    )
+    known = stage(mixed.join(sets, "s"))
+    both = stage(known.join(_rarest(known, similarity), "s"))
+    x, y = both.where("minor").alias("x"), both.alias("y")
+    can = F.least(F.size("x.h"), F.size("y.h")) >= F.greatest(F.size("x.h"), F.size("y.h")) * similarity
+    meet = (F.col("x.c") != F.col("y.c")) & can & F.arrays_overlap("x.bands", "y.bands") & _similar("x.h", "y.h", similarity)
     pair = [F.greatest("x.s", "y.s").alias("a"), F.least("x.s", "y.s").alias("b")]
-    return x.join(y, ["band", "token"]).where((F.col("x.c") != F.col("y.c")) & can).select(*pair).distinct()
+    return x.join(y, (F.col("x.token") == F.col("y.token")) & meet).select(*pair).distinct()
 
 
 def clusters_of(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
@@ -306,7 +319,7 @@ def clusters_of(docs: DataFrame, similarity: float, recall: float) -> DataFrame:
     near = F.least("n", "m") >= F.greatest("n", "m") * similarity
     links = stage(_linked(different.where(near).select("a", "b").distinct(), sets, similarity))
     parts = stage(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
-    more = stage(_linked(_apart(members, parts, sets, similarity), sets, similarity))
+    more = stage(_apart(members.drop("n"), parts, sets, similarity))
     if not more.isEmpty():
         both = links.unionByName(more)
         parts = stage(components(both.select(F.col("a").alias("src"), F.col("b").alias("dst"))))

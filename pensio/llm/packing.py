@@ -26,12 +26,10 @@ from pensio.llm.common import map_batches, stage
 CAPACITY = 4096
 SEPARATOR = 1
 BUCKET_ROWS = 2000
-CACHED = 250_000  # words whose ids a Python worker keeps
+CACHED = 100_000  # words whose ids a task keeps, about
 
 _SPECIAL = ("\u03a3", "\u0130", "<|")  # letters whose lower case is not one for one, and special tokens
 
-_known: dict[str, dict[str, bytes]] = {}  # by tokenizer file; kept while the worker lives
-
 
 def tokenizer_path() -> str:
     import public_tokenizers
@@ -54,7 +52,7 @@ def encoder(path: str) -> Callable[[str], bytes]:
     last = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
     for token, i in tokenizer.get_vocab().items():
         last[i] = token.endswith("</w>")
-    known = _known.setdefault(path, {})
+    known: dict[str, bytes] = {}
 
     def ids(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()

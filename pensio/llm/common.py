@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 1_000_000
 CHUNK_BYTES = 1 << 20  # bytes of all text columns that one vectorised step works on; a longer row is a step of its own
 STRETCH = 1 << 18  # bytes of a text that are scanned and hashed at a time
+BATCH_BYTES = 1 << 22  # of an Arrow batch, where the session sets no limit; a longer row is a batch of its own
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +69,15 @@ def crc32_of(doc_id: int) -> int:
     return zlib.crc32(str(doc_id).encode())
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, with smaller Arrow batches set for its session unless that sets a size itself: both ends of the pipe to
+    a Python worker hold whole batches, of 64 MB each where nothing is set."""
+    conf = df.sparkSession.conf
+    if _LIMIT not in conf.getAll:
+        conf.set(_LIMIT, str(BATCH_BYTES))
+    return df
+
+
 def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
     """``mapInArrow`` with ``make()`` called once a task and its result once a batch; it returns columns by name."""
     fields = None
@@ -78,14 +89,14 @@ def map_batches(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Reco
                 out = step(part)
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([_array(out[n], t) for n, t in fields], [n for n, _ in fields])
-        del step
+        step = batch = part = out = None
         give_back()
 
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
     fields = [(f.name, to_arrow_type(f.dataType)) for f in _parse_datatype_string(schema).fields]
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(run, schema)
 
 
 def give_back() -> None:

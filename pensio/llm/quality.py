@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pensio.llm.common import Words, give_back, map_batches, mix, stage, _parts
+from pensio.llm.common import Words, bounded, give_back, map_batches, mix, stage, _parts
 
 BUCKETS = 1 << 14  # of each of the four kinds of n-gram
 LABELLED = 20_000  # labelled documents of each class, at most
@@ -83,13 +83,14 @@ def fit(docs: DataFrame, good: np.ndarray) -> Model:
                 rows, at = features(Words(part.column("text")))
                 raw += np.bincount(at, minlength=len(raw))
                 target += np.bincount(at[_is_in(part.column("doc_id"), good)[rows]], minlength=len(raw))
+        batch = part = rows = at = None
         give_back()
         used = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used, pa.int32()), pa.array(raw[used]), pa.array(target[used])], ["bucket", "raw", "target"]
         )
 
-    counted = docs.select("doc_id", "text").mapInArrow(run, "bucket int, raw long, target long")
+    counted = bounded(docs.select("doc_id", "text")).mapInArrow(run, "bucket int, raw long, target long")
     # At most as many rows as there are buckets.
     sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()
     raw, target = np.zeros(_KINDS * BUCKETS), np.zeros(_KINDS * BUCKETS)

@@ -25,8 +25,7 @@ from pensio.llm.common import documents, table
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return lm.score(docs, lm.fit(docs, lm.good_documents(table(spark, sf_dir, "labels"))))
+    return lm.whole_scores(documents(spark, sf_dir), lm.good_documents(table(spark, sf_dir, "labels")))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -413,3 +413,45 @@ def test_cross_entropies_are_those_of_dictionaries(docs, odd, none):
     some = lm.score(odd, lm.fit(odd, odd.select("doc_id"))).collect()
     assert len(some) == odd.count()
     assert lm.score(none, lm.fit(none, none)).count() == 0
+
+
+def whole_losses(texts, wanted):
+    """Losses a word under the models of all words and bigrams, from dictionaries."""
+    lists = [[f"{w}" for w in (text or "").split()] for text in texts]
+    out = []
+    for k in (0, 1):
+        n, pairs, starts = Counter(), Counter(), 0
+        for own, t in zip(lists, wanted):
+            if t or k:
+                n.update(own)
+                pairs.update(zip([None, *own], own))
+                starts += bool(own)
+        distinct, total = len({w for own in lists for w in own}), sum(n.values())
+
+        def loss(a, b):
+            base = lm.PRIOR * (n[b] + 0.5) / (total + 0.5 * distinct)
+            return np.log((n[a] if a else starts) + lm.PRIOR) - np.log(pairs[a, b] + base)
+
+        out.append([np.mean([loss(*ab) for ab in zip([None, *own], own)]) if own else None for own in lists])
+    return out
+
+
+@pytest.mark.parametrize("sent", [lm.SENT, 0.02, 1.0])
+def test_every_word_and_bigram_counts_listed_or_not(docs, odd, none, sent):
+    r = random.Random(5)
+    words = ["a", "b", "c", *(f"w{i}" for i in range(300))]
+    texts = [" ".join(r.choices(words, [60, 40, 30] + [1] * 300, k=r.randrange(1, 60))) for _ in range(80)]
+    texts += [None, "", "once", "once", "a b a b w1 w1 w1", *["same words again and again"] * 5]
+    ids = [*range(80), 80, 81, 82, 82, 83, None, None, 84, 84, 84]  # repeated rows, and rows without an id
+    wanted = [i is not None and i % 3 == 0 for i in ids]
+    df = docs(*zip(ids, texts))
+    got = lm.whole_scores(df, df.where("doc_id % 3 = 0").select("doc_id"), sent).collect()
+    target, background = whole_losses(texts, wanted)
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or 0)
+    want = sorted(((i, t, b) for i, t, b in zip(ids, target, background)), key=key)
+    have = sorted(((x.doc_id, x.ce_target, x.ce_background) for x in got), key=key)
+    assert [x[0] for x in have] == [x[0] for x in want]
+    for x, y in zip(have, want):
+        assert x[1:] == (None, None) if y[1] is None else x[1:] == pytest.approx(y[1:], rel=1e-9)
+    assert lm.whole_scores(odd, odd.select("doc_id"), sent).count() == odd.count()
+    assert lm.whole_scores(none, none, sent).count() == 0

@@ -48,18 +48,37 @@ def asof_join(points: DataFrame, intervals: DataFrame, *, key: str, point: str,
     """As ``interval_join``, for intervals of one key that do not overlap: at most one holds a point.
 
     That one is the last to start on or before the point. Points and starts form one list by day, cut into months; a
-    month hands the interval left open on to the next, so no interval is repeated and a key of any size is divided.
+    month that has points gets the interval left open before it, so a key of any size is divided and the points are
+    moved and sorted once. What is left open is found from the months alone, at most two rows a key and month.
     """
     beside = [c for c in intervals.columns if c != key]
-    starts = intervals.where(F.col(lo) <= F.col(hi)).select(
-        F.col(key).alias("_key"), F.col(lo).alias("_day"), F.lit(0).alias("_kind"), F.struct(*beside).alias("_interval")
-    )
+    given = {key: "_key", point: "_day"}  # the list's own columns, moved once
+    more = F.struct(F.lit(1).alias("_is"), *[c for c in points.columns if c not in given])
+    starts = intervals.where((F.col(lo) <= F.col(hi)) & F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.trunc(lo, "MM").alias("_month"), F.col(lo).alias("_day"),
+        F.struct(*beside).alias("_interval"),
+    )
     asked = points.where(F.col(point).isNotNull() & F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(point).alias("_day"), F.lit(1).alias("_kind"), F.struct(*points.columns).alias("_point")
+        F.col(key).alias("_key"), F.trunc(point, "MM").alias("_month"), F.col(point).alias("_day"),
+        more.alias("_point"),
+    )
+    # Starts of a month come after the question of what was open before it.
+    months = asked.select("_key", "_month").distinct().withColumn("_day", F.lit(None).cast("date"))
+    so_far = Window.partitionBy("_key").orderBy("_month", F.col("_day").asc_nulls_first())
+    left = (
+        months.unionByName(starts, allowMissingColumns=True)
+        .withColumn("_open", F.last("_interval", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
+        .where(F.col("_day").isNull() & F.col("_open").isNotNull())
+        .select("_key", "_month", "_day", F.col("_open").alias("_interval"))
+    )
+    both = left.unionByName(starts).unionByName(asked, allowMissingColumns=True)
+    # By day: what was left open, a start, the points.
+    order = [F.col("_day").asc_nulls_first(), F.col("_point").isNotNull()]
+    inside = Window.partitionBy("_key", "_month").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = both.withColumn("_held", F.last("_interval", ignorenulls=True).over(inside))
+    return placed.where(F.col("_point").isNotNull() & (F.col("_day") <= F.col(f"_held.{hi}"))).select(
+        *[F.col(given.get(c, f"_point.{c}")).alias(c) for c in points.columns], "_held.*"
     )
-    both = starts.unionByName(asked, allowMissingColumns=True)
-    placed = windowed(both, ["_key"], ["_day", "_kind"], bucket=[F.trunc("_day", "MM")], carry={"_held": "_interval"})
-    return placed.where((F.col("_kind") == 1) & (F.col("_day") <= F.col(f"_held.{hi}"))).select("_point.*", "_held.*")
 
 
 def next_on_or_after(

@@ -326,10 +326,11 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     First come, first served over several keys is not known to have a plan of fewer rounds for those.
     """
     keys = [f"_k{i}" for i in range(len(rules))]
-    bulk = judged.withColumn("_place", rank(order))
+    bulk = judged
     for name, rule in zip(keys, rules):
         contending = F.col("_error").isNull() & any_present(rule.columns)
-        bulk = bulk.withColumn(name, F.when(contending, _key(rule.columns)))
+        key = _key(rule.columns) if len(rule.columns) > 1 else F.col(rule.columns[0])
+        bulk = bulk.withColumn(name, F.when(contending, key))
     for i, name in enumerate(keys):
         repeated = (
             bulk.where(F.col(name).isNotNull()).groupBy(name).count().where("count > 1")
@@ -339,6 +340,8 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     rivals = reduce(lambda a, b: a | b, [F.coalesce(f"_rival{i}", F.lit(False)) for i in range(len(rules))])
     bulk = stage(bulk.withColumn("_open", rivals).drop(*[f"_rival{i}" for i in range(len(rules))]))
 
+    bulk = bulk.withColumn("_place", _place(bulk, order))
+
     rest, hits = bulk.where("_open").select("_place", *keys), []
     last = None
     while not rest.isEmpty():
@@ -367,6 +370,16 @@ def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: li
     )
 
 
+def _place(staged: DataFrame, order: list[str]) -> Column:
+    """A value that sorts as ``order`` does; the column itself where that is one whole number without a NULL, whose
+    minima are kept in hash tables while those of structs need sorts."""
+    whole = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+    if len(order) == 1 and isinstance(staged.schema[order[0]].dataType, whole):
+        if staged.where(F.col(order[0]).isNull()).isEmpty():
+            return F.col(order[0]).cast("long")
+    return rank(order)
+
+
 def _earlier_rivals(rest: DataFrame, keys: list[str]) -> DataFrame:
     """``rest`` (_place, keys) with ``_up``, a row's only earlier rival, and ``_in``: true where it has none.
 

@@ -45,3 +45,13 @@ def test_several_keys_are_first_come_first_served(spark):
         dense.append((i, r.randrange(40), r.randrange(40)))
     for rows in (chains, dense):
         assert judged(spark, rows) == greedy(rows)
+
+
+def test_places_are_whole_numbers_where_none_is_missing(spark):
+    """A missing place comes last; without one, a place is the plain column, which has minima in hash tables."""
+    df = spark.createDataFrame([(1, 5, 7), (2, 5, 8), (None, 6, 8), (2**63 - 1, 6, 9)], "place long, a int, b int")
+    accepted, rejected = append_with_rejects(df, [Unique(("a",)), Unique(("b",))], ["place"])
+    assert sorted(r.place for r in accepted.collect()) == [1, 2**63 - 1]
+    assert sorted(str(r.place) for r in rejected.collect()) == ["2", "None"]
+    whole = df.where("place is not null")
+    assert whole.select(constraints._place(whole, ["place"]).alias("p")).schema["p"].dataType.simpleString() == "bigint"

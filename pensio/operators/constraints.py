@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql import types as T
 
-from pensio.operators.ordering import in_pieces, place_in_pieces, rank
+from pensio.operators.ordering import in_pieces, numbered, place_in_pieces, rank
 from pensio.session import scratch_dir
 from pensio.sources.snapshots import publish, stage, unstage
 
@@ -218,6 +218,14 @@ def append_with_rejects(
     return done.accepted, done.rejected
 
 
+def with_defaults(batch: DataFrame, defaults: dict[str, Column] | None) -> DataFrame:
+    """``batch`` with the defaults in the place of what it does not bring."""
+    return batch.select(
+        *[F.coalesce(F.col(c), defaults[c]).alias(c) if defaults and c in defaults else F.col(c)
+          for c in batch.columns]
+    )
+
+
 def append(
     batch: DataFrame,
     rules: list[Rule],
@@ -228,30 +236,38 @@ def append(
     ids: str | None = None,
     first_id: int = 1,
     tag: str | None = None,
+    number: str | None = None,
 ) -> Appended:
     """``append_with_rejects`` with the number of rows of each outcome.
 
     The batch is judged and written once, one folder an outcome, and counted by the same job. Each row is written with
-    its place inside a range piece of the order; a number follows from the pieces' sizes when an outcome is read.
+    its place inside a range piece of the order; a number follows from the pieces' sizes when an outcome is read. With
+    ``ids`` and unique rules the batch is numbered before: its numbers are then the places by which rivals are compared.
+    ``number`` names a column of the batch that already holds them, from 1 on; it is in neither outcome.
     """
-    frame = batch.select(
-        *[F.coalesce(F.col(c), defaults[c]).alias(c) if defaults and c in defaults else F.col(c)
-          for c in batch.columns]
-    )
-    columns = frame.columns
+    frame = with_defaults(batch, defaults)
+    columns = [c for c in frame.columns if c != number]
+    unique = [r for r in rules if isinstance(r, Unique)]
     if ids:
         columns = columns if ids in columns else [ids, *columns]
-        frame = in_pieces(frame.drop(ids), order).withColumn(ids, F.lit(None).cast("long"))
+        frame = frame.drop(ids)
+        if unique and not number:
+            number = "_number"
+            frame = numbered(frame, order, number)
+        elif not number:
+            frame = in_pieces(frame, order)
+        frame = frame.withColumn(ids, F.lit(None).cast("long"))
     judged = _row_rules(frame, rules).withColumn(
         "_error", F.when(F.size("_broken") > 0, F.col("_broken")[0])
     ).drop("_broken")
-    unique = [r for r in rules if isinstance(r, Unique)]
-    for rule in unique:
-        judged = _reject_existing(judged, rule, target.get(rule.name) if isinstance(target, dict) else target)
+    place = [number] if number else order
+    held = {r.name: target.get(r.name) if isinstance(target, dict) else target for r in unique}
     if len(unique) == 1:
-        judged = _reject_repeats(judged, unique[0], order)
+        judged = _reject_repeats(judged, unique[0], F.col(number) if number else rank(order), held[unique[0].name])
     elif unique:
-        judged = _reject_repeats_of_several(judged, unique, order)
+        for rule in unique:
+            judged = _reject_existing(judged, rule, held[rule.name])
+        judged = _reject_repeats_of_several(judged, unique, place)
 
     seen = Observation()
     good = F.col("_error").isNull()
@@ -259,7 +275,9 @@ def append(
         seen, F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected")
     )
     written = publish(counted, scratch_dir(batch.sparkSession), ["_accepted"])
-    if ids:
+    if ids and number:
+        written = written.withColumn(ids, F.col(number) + F.lit(first_id - 1).cast("long"))
+    elif ids:
         written = place_in_pieces(written, ids, first_id)
     accepted = written.where("_accepted").select(*columns)
     numbers = F.create_map(*[F.lit(x) for r in rules for x in (r.name, ERROR_NUMBERS[r.kind])])
@@ -291,25 +309,30 @@ def _reject_existing(judged: DataFrame, rule: Unique, target: DataFrame | None)
     )
 
 
-def _reject_repeats(judged: DataFrame, rule: Unique, order: list[str]) -> DataFrame:
-    """Marks all but the first of the faultless rows that share a key.
+def _reject_repeats(judged: DataFrame, rule: Unique, place: Column, target: DataFrame | None) -> DataFrame:
+    """Marks the faultless rows whose unique key the target holds, and all but the first of those that share a key.
 
-    The first place per key is a map-side minimum: a key with very many rows leaves each task as one row.
+    Both are found in one list of keys, so the rows are moved once. The first place per key is a map-side minimum: a key
+    with very many rows leaves each task as one row.
     """
-    place, contending = rank(order), F.col("_error").isNull() & any_present(rule.columns)
+    contending = F.col("_error").isNull() & any_present(rule.columns)
+    keys = judged.where(contending).select(*rule.columns, place.alias("_place"), F.lit(False).alias("_held"))
+    if target is not None:
+        no_place = F.lit(None).cast(keys.schema["_place"].dataType).alias("_place")
+        held = target.where(any_present(rule.columns)).select(*rule.columns, no_place, F.lit(True).alias("_held"))
+        keys = keys.union(held)
     first = (
-        judged.where(contending)
-        .groupBy(_key(rule.columns).alias("_key"))
-        .agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-        .where("_rows > 1")
+        keys.groupBy(_key(rule.columns).alias("_key"))
+        .agg(F.min("_place").alias("_first"), F.max("_held").alias("_taken"), F.count(F.lit(1)).alias("_rows"))
+        .where("_rows > 1 or _taken")
         .drop("_rows")
     )
+    lost = contending & (F.col("_taken") | (place > F.col("_first")))
     return (
-        judged.withColumn("_key", _key(rule.columns))
-        .join(first, "_key", "left")
-        .withColumn("_error", F.when(contending & (place > F.col("_first")), F.lit(rule.name)).otherwise(F.col("_error")))
-        .drop("_key", "_first")
-    )
+        judged.join(first, _key(rule.columns) == F.col("_key"), "left")
+        .withColumn("_error", F.when(lost, F.lit(rule.name)).otherwise(F.col("_error")))
+        .drop("_key", "_first", "_taken")
+    )
 
 
 def _reject_repeats_of_several(judged: DataFrame, rules: list[Unique], order: list[str]) -> DataFrame:

@@ -98,7 +98,8 @@ def in_pieces(df: DataFrame, order: list[str]) -> DataFrame:
 def place_in_pieces(written: DataFrame, name: str, first: int = 1) -> DataFrame:
     """``written`` (with ``_piece`` and ``_at``) with each row's number in the order, from ``first`` on.
 
-    The pieces are counted from their two columns alone; their list has one row a piece.
+    The pieces are counted from their two columns alone; their list has one row a piece and is sent to every task, so
+    the rows themselves stay where they are.
     """
     earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     pieces = (
@@ -107,7 +108,7 @@ def place_in_pieces(written: DataFrame, name: str, first: int = 1) -> DataFrame:
         .select("_piece", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
     place = F.col("_before") + F.col("_at") - F.col("_first") + F.lit(first).cast("long")
-    return written.join(pieces, "_piece").withColumn(name, place)
+    return written.join(F.broadcast(pieces), "_piece").withColumn(name, place)
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from pensio.operators.constraints import Unique, append_with_rejects
+from pensio.operators.constraints import Unique, append, with_defaults
+from pensio.operators.ordering import numbered
 from pensio.sources.snapshots import stage
 from pensio.streaming.ledger import RANGES, KeyLedger
 
@@ -22,7 +23,8 @@ def append_stream(
     ids: str | None = None,
     first_id: int = 1,
     ranges: int = RANGES,
-    **options,
+    defaults: dict[str, Column] | None = None,
+    tag: str | None = None,
 ) -> DataStreamWriter:
     """Micro-batch form of ``append_with_rejects``: one batch is one push-and-flush.
 
@@ -32,20 +34,27 @@ def append_stream(
     reads the hash ranges it touches; it is made once for a table that already holds rows.
 
     ``ids`` is numbered from ``first_id`` over all batches, rejected rows included. The last number of each batch
-    is kept in ``<reject_path>_ids``, one row a batch, so no history is read to go on. ``options`` go to
-    ``append_with_rejects``.
+    is kept in ``<reject_path>_ids``, one row a batch, so no history is read to go on. ``defaults`` and ``tag`` are those
+    of ``append_with_rejects``.
+
+    A batch is written once before it is judged, with ``ids`` in range pieces of its order, from whose sizes the numbers
+    follow.
     """
     unique = [r for r in rules if isinstance(r, Unique)] if unique_target else []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}_{batch_id}"
-        batch = stage(batch)  # judged, and asked for its ranges of keys
-        numbers = {}
-        if ids:
+        batch, numbers = with_defaults(batch, defaults), {}
+        if not ids:
+            batch = stage(batch)  # judged, and asked for its ranges of keys
+        else:
+            given = batch.columns if ids in batch.columns else [ids, *batch.columns]
+            batch = numbered(batch.drop(ids), order, "_number")
+            batch = batch.withColumn(ids, F.lit(None).cast("long")).select(*given, "_number")
             last = _others(spark, f"{reject_path}_ids", own, "last_id long")
             start = (last.agg(F.max("last_id")).first()[0] if last is not None else None) or first_id - 1
-            numbers = {"ids": ids, "first_id": start + 1}
+            numbers = {"ids": ids, "first_id": start + 1, "number": "_number"}
         ledgers = [
             KeyLedger(spark, f"{target_path}_keys/rule={i}", r, _types(batch, r), ranges) for i, r in enumerate(unique)
         ]
@@ -58,7 +67,8 @@ def append_stream(
             found = ledger.taken(batch, own)
             if found is not None:
                 target[ledger.rule.name] = found
-        accepted, rejected = append_with_rejects(batch, rules, order, target=target, **numbers, **options)
+        done = append(batch, rules, order, target=target, tag=tag, **numbers)
+        accepted, rejected = done.accepted, done.rejected
         accepted.write.mode("overwrite").parquet(f"{target_path}/batch={own}")
         rejected.write.mode("overwrite").parquet(f"{reject_path}/batch={own}")
         for ledger in ledgers:

@@ -61,16 +61,19 @@ class KeyLedger:
 
     def add(self, rows: DataFrame, own: str, number: int) -> None:
         """Adds the keys of ``rows``, the accepted rows of batch ``own``, which is the ``number``-th (from 0)."""
-        self._write(rows.withColumn("batch", F.lit(own)), 0)
+        self._write(rows, 0, own)
         level, due = 0, number + 1
         while due % MERGE == 0:
             self._gather(level)
             level, due = level + 1, due // MERGE
 
-    def _write(self, rows: DataFrame, level: int) -> None:
-        keys = rows.where(any_present(self.rule.columns)).select(*self.rule.columns, "batch").distinct()
-        keys = keys.withColumn("level", F.lit(level)).withColumn("range", self._range())
-        keys.repartition("range").write.mode("append").partitionBy("level", "range").parquet(self.path)
+    def _write(self, rows: DataFrame, level: int, own: str | None = None) -> None:
+        """Writes the keys of ``rows``, which batch ``own`` wrote; without, their column ``batch`` says who."""
+        keys = rows.where(any_present(self.rule.columns)).select(*self.rule.columns, *([] if own else ["batch"]))
+        # Equal keys share a range, so they are moved once, and a batch's name is put beside its keys after that.
+        keys = keys.withColumn("range", self._range()).repartition("range").distinct()
+        keys = keys.withColumn("level", F.lit(level)).withColumns({} if not own else {"batch": F.lit(own)})
+        keys.write.mode("append").partitionBy("level", "range").parquet(self.path)
 
     def _gather(self, level: int) -> None:
         folder, fs = self._folder(f"level={level}")

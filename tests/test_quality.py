@@ -252,3 +252,24 @@ def test_counts_of_an_empty_batch(spark):
     done = constraints.append(none, [Unique(("a",))], ["o"], ids="id")
     assert done.accepted.isEmpty() and done.rejected.isEmpty() and done.counts == {"accepted": 0, "rejected": 0}
     assert done.accepted.columns == ["id", "o", "a"]
+
+
+def test_a_numbered_batch_is_moved_by_its_order_and_once_by_its_key(spark, monkeypatch):
+    """Keys of the target and of the batch are one list, and neither outcome is moved to learn its numbers."""
+    rows = [(5, 1, None), (1, 1, None), (2, 2, "x"), (4, None, "y"), (3, None, "y"), (6, None, None), (7, None, None), (8, 3, "z")]
+    batch = spark.createDataFrame(rows, "o int, a int, b string")
+    held = spark.createDataFrame([(2, "x"), (None, None), (9, "x")], "a long, b string")
+    writes = []
+    monkeypatch.setattr(constraints, "publish", lambda df, *a: writes.append(df) or publish(df, *a))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as on a batch too large for one
+    try:
+        done = constraints.append(batch, [Check("o under 8", "o < 8"), Unique(("a", "b"))], ["o"], target=held, ids="id")
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (done.accepted, done.rejected)]
+        kept = sorted((r.o, r.id) for r in done.accepted.collect())
+        lost = sorted((int(r.o), r.error_number) for r in done.rejected.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert kept == [(1, 1), (3, 3), (6, 6), (7, 7)]
+    assert lost == [(2, 1), (4, 1), (5, 1), (8, 2290)]
+    assert writes[-1]._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+    assert not any("SortMergeJoin" in p for p in plans)

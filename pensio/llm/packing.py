@@ -13,6 +13,7 @@ pieces by hash and summed over the buckets, so a length that many documents shar
 from __future__ import annotations
 
 import bisect
+import re
 import string
 import unicodedata
 import zlib
@@ -26,9 +27,13 @@ from pensio.llm.common import map_batches, stage
 CAPACITY = 4096
 SEPARATOR = 1
 BUCKET_ROWS = 2000
-CACHED = 100_000  # words whose ids a task keeps, about
+CACHED = 300_000  # words whose ids a task keeps, unless one batch has more
+AT_ONCE = 4000  # words that one call of the tokenizer gets
 
 _SPECIAL = ("\u03a3", "\u0130", "<|")  # letters whose lower case is not one for one, and special tokens
+# A lone mark between a letter and a space is a token sequence of its own; after another mark it would belong to that one.
+_LETTER = "[a-z\u00df-\u00f6\u00f8-\u00ff\u03b1-\u03c9\u0430-\u045f]"
+_LONE = [(re.compile(rf"\{m}(?<={_LETTER}\{m}) "), f" {m} ") for m in ".,"]
 
 
 def tokenizer_path() -> str:
@@ -38,10 +43,17 @@ def tokenizer_path() -> str:
 
 
 def encoder(path: str) -> Callable[[str], bytes]:
-    """Ids of a text as little-endian unsigned 32-bit numbers, as the tokenizer file gives them without special tokens.
+    """``texts_encoder`` of one text."""
+    encode = texts_encoder(path)
+    return lambda text: encode([text])[0]
+
+
+def texts_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of each text as little-endian unsigned 32-bit numbers, as the tokenizer file gives them without special tokens.
 
     The tokenizer drops white space and never joins text across it, so the parts between spaces and line ends are
-    encoded one by one and remembered; only parts not seen before reach the tokenizer.
+    encoded one by one and remembered; only parts not seen before reach the tokenizer, those of all texts together. A full stop or comma after a
+    word is a part of its own, so a word is remembered once, not once for every mark after it.
     """
     from tokenizers import Tokenizer
     from tokenizers.normalizers import Sequence
@@ -59,13 +71,14 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     def learn(parts: set[str]) -> None:
         # A word of letters with marks after it is the ids of the word and of the marks.
-        fresh, marked, whole = [], {}, []
-        for part in parts:
-            if part.isalpha() and (part.isascii() or unicodedata.is_normalized("NFC", part)):
+        normal = unicodedata.is_normalized("NFC", " ".join(parts))
+        fresh, marked, whole = [part for part in parts if normal and part.isalpha()], {}, []
+        for part in parts.difference(fresh):
+            if part.isalpha() and unicodedata.is_normalized("NFC", part):
                 fresh.append(part)
                 continue
             word = part.rstrip(string.punctuation)
-            if word.isalpha() and unicodedata.is_normalized("NFC", word):
+            if word.isalpha() and (normal or unicodedata.is_normalized("NFC", word)):
                 marked[part] = (word, part[len(word) :])
                 if word not in known and word not in parts:
                     fresh.append(word)
@@ -73,29 +86,43 @@ def encoder(path: str) -> Callable[[str], bytes]:
                 whole.append(part)
         known.update((part, ids(part)) for part in whole)
         known.update((m, ids(m)) for m in {m for _, m in marked.values()} if m not in known)
-        if fresh:
-            fresh = list(dict.fromkeys(fresh))
-            flat = plain.encode_batch_fast([" ".join(fresh)], add_special_tokens=False)[0].ids
-            flat = np.array(flat, np.uint32)
-            ends = np.flatnonzero(last[flat]) + 1
-            if len(ends) == len(fresh):
-                own, bounds = flat.tobytes(), [0, *(4 * ends).tolist()]
-                known.update((w, own[i:j]) for w, i, j in zip(fresh, bounds, bounds[1:]))
-            else:
-                known.update((w, ids(w)) for w in fresh)
+        fresh = list(dict.fromkeys(fresh))
+        for i in range(0, len(fresh), AT_ONCE):
+            learn_words(fresh[i : i + AT_ONCE])
         known.update((part, known[word] + known[mark]) for part, (word, mark) in marked.items())
 
-    def encode(text: str) -> bytes:
+    def learn_words(words: list[str]) -> None:
+        flat = plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
+        flat = np.array(flat, np.uint32)
+        ends = np.flatnonzero(last[flat]) + 1
+        if len(ends) == len(words):
+            own, bounds = flat.tobytes(), [0, *(4 * ends).tolist()]
+            known.update(zip(words, map(own.__getitem__, map(slice, bounds, bounds[1:]))))
+        elif len(words) == 1:
+            known[words[0]] = ids(words[0])
+        else:  # one of them is not a word to the tokenizer
+            half = len(words) // 2
+            learn_words(words[:half])
+            learn_words(words[half:])
+
+    def split(text: str) -> list[str] | None:
         if any(x in text for x in _SPECIAL):
-            return ids(text)
-        parts = text.lower().replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            if len(known) > CACHED:
-                known.clear()
-            learn({part for part in parts if part not in known})
-            return b"".join(map(known.__getitem__, parts))
+            return None
+        text = text.lower().replace("\n", " ")
+        for mark, apart in _LONE:
+            text = mark.sub(apart, text)
+        return text.split(" ")
+
+    def encode(texts: list[str]) -> list[bytes]:
+        parts = [split(text) for text in texts]
+        every = set().union(*[p for p in parts if p is not None])
+        new = every.difference(known)
+        if len(known) + len(new) > CACHED:
+            known.clear()
+            new = every
+        learn(new)
+        take = known.__getitem__
+        return [ids(t) if p is None else b"".join(map(take, p)) for t, p in zip(texts, parts)]
 
     return encode
 
@@ -108,12 +135,13 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, d
     last = "ids_crc32" if digest else "ids"
 
     def make():
-        encode = encoder(path)
+        encode = texts_encoder(path)
 
         def step(batch):
             out = {"doc_id": [], "piece": [], "start": [], "length": [], last: []}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encode(text or "") + SEPARATOR.to_bytes(4, "little")
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
+                ids += SEPARATOR.to_bytes(4, "little")
                 for k, start in enumerate(range(0, len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + capacity)]
                     out["doc_id"].append(doc_id)

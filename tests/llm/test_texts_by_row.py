@@ -31,6 +31,44 @@ def test_ids_are_those_of_the_tokenizer(text):
     assert own == tokenizer().encode(text, add_special_tokens=False).ids
 
 
+def test_texts_of_a_batch_reach_the_tokenizer_together(monkeypatch):
+    """Words of all texts go in few calls, once for all marks after them, and every text keeps its own ids."""
+    import tokenizers
+
+    real, calls = tokenizers.Tokenizer, []
+
+    class Counted:
+        def __init__(self, inner):
+            self.__dict__["inner"] = inner
+
+        @staticmethod
+        def from_file(path):
+            return Counted(real.from_file(path))
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.inner, name, value)
+
+        def encode_batch_fast(self, texts, **options):
+            calls.append(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    r = random.Random(8)
+    odd = ["a?. b", "e\u0301. x", "x'. y", "it's. so", "5. a", "a5, b", "\u65e5. b", "\u1c89. a", "\ua7da b", "...", "a .b", "a. . b", "\u0301. a", "_. a", ""]
+    some = ["ab", "zu", "\u00e9t\u00e9", "Ma\u00df", ".", ",", "?", "'", " ", " ", "\n", "3", "e\u0301", "\u65e5", "\t", "<|", "\u03a3"]
+    texts = [*odd, *("".join(r.choice(some) for _ in range(r.randrange(12))) for _ in range(400))]
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    own = packing.texts_encoder(packing.tokenizer_path())
+    t = real.from_file(packing.tokenizer_path())
+    assert [np.frombuffer(b, "<u4").tolist() for b in own(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    calls.clear()
+    plain = [f"wort{c}. haus{c}, wort{c}, haus{c}. wort{c} haus{c}" for c in "abcdefghij"]
+    own(plain)
+    assert [sorted(c[0].split()) for c in calls] == [sorted(w + c for w in ("wort", "haus") for c in "abcdefghij")]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.dictionaries(st.integers(1, 60), st.integers(1, 40), max_size=12))
 def test_plan_places_every_piece_once(counts):

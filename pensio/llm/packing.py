@@ -28,6 +28,7 @@ CAPACITY = 4096
 SEPARATOR = 1
 BUCKET_ROWS = 2000
 CACHED = 300_000  # words whose ids a task keeps, unless one batch has more
+CACHED_LETTERS = 6_000_000  # and how long they are together: texts without spaces have long ones
 AT_ONCE = 4000  # words that one call of the tokenizer gets
 
 _SPECIAL = ("\u03a3", "\u0130", "<|")  # letters whose lower case is not one for one, and special tokens
@@ -65,6 +66,7 @@ def texts_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     for token, i in tokenizer.get_vocab().items():
         last[i] = token.endswith("</w>")
     known: dict[str, bytes] = {}
+    letters = 0
 
     def ids(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -114,12 +116,15 @@ def texts_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         return text.split(" ")
 
     def encode(texts: list[str]) -> list[bytes]:
+        nonlocal letters
         parts = [split(text) for text in texts]
         every = set().union(*[p for p in parts if p is not None])
         new = every.difference(known)
-        if len(known) + len(new) > CACHED:
+        letters += sum(map(len, new))
+        if len(known) + len(new) > CACHED or letters > CACHED_LETTERS:
             known.clear()
             new = every
+            letters = sum(map(len, new))
         learn(new)
         take = known.__getitem__
         return [ids(t) if p is None else b"".join(map(take, p)) for t, p in zip(texts, parts)]
